@@ -92,3 +92,13 @@ def read_pointer(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
+    """``df`` over all cores, for work that is heavy on CPU.
+
+    A scan gives one task per file split, so small or few files would leave cores idle;
+    only then the rows are dealt out anew.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * per_core)
