@@ -35,8 +35,15 @@ BLOCK = 1 << 20
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 _MULT = 0x9E3779B97F4A7C15 | 1
-_POW = np.cumprod(np.concatenate([[1], np.full(BLOCK + 256, _MULT, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-_INV = np.cumprod(np.concatenate([[1], np.full(BLOCK + 256, pow(_MULT, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+
+
+def _powers(base: int) -> np.ndarray:
+    out = np.full(BLOCK + 256, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+_POW, _INV = _powers(_MULT), _powers(pow(_MULT, -1, 1 << 64))
 
 
 def words_of(text: str | None) -> list[str]:
