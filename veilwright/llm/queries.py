@@ -6,7 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import leaks, tokens
+from . import leaks, pii, tokens
+
+
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = read_table(spark, sf, "documents").select(F.lit("documents").alias("source_table"), F.col("doc_id").alias("row_id"), "text")
+    notes = read_table(spark, sf, "encounter_notes").select(F.lit("encounter_notes").alias("source_table"), F.col("nd_auto_increment_id").alias("row_id"), F.col("content").alias("text"))
+    return docs.unionByName(notes)
+
+
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of personal data in documents and notes."""
+    return pii.find_personal_data(_texts(spark, sf), pii.lexicon_words(read_table(spark, sf, "pii_data_table")))
+
+
+def p3_masked(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents and notes with typed placeholders; the key is a parameter of the operator."""
+    return pii.mask_personal_data(_texts(spark, sf), pii.lexicon_words(read_table(spark, sf, "pii_data_table")), b"example key")
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -27,7 +43,7 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p8_roundtrip, p9_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_masked, p8_ids, p8_roundtrip, p9_found)}
 
 ORACLES = {
     "p8_roundtrip": """
