@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import read_table
-from . import leaks, pii, tokens
+from . import leaks, pii, subjects, tokens
 
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +43,12 @@ def p9_found(spark: SparkSession, sf: str) -> DataFrame:
     return leaks.find_leaks(read_table(spark, sf, "documents"), read_table(spark, sf, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_masked, p8_ids, p8_roundtrip, p9_found)}
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Subject areas of every document."""
+    return subjects.assign_subjects(*(read_table(spark, sf, t) for t in ("documents", "subject_labels", "subject_areas")))
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_masked, p8_ids, p8_roundtrip, p9_found, p10_found)}
 
 ORACLES = {
     "p8_roundtrip": """
