@@ -1 +1,189 @@
+"""Configuration and table plans: what is done to which column, checked before anything runs."""
 
+from __future__ import annotations
+
+import json
+import os
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.rules import DEFAULT_OFFSET, RULES, rule_of
+from ..operators import resolve as rs
+
+_VAR = re.compile(r"\$\{(\w+)(?::-([^}]*))?\}")
+
+
+def interpolate(value, env: Mapping[str, str] | None = None):
+    """``${NAME}`` and ``${NAME:-default}`` in texts, through maps and lists; a value that is JSON of a list or map becomes that."""
+    env = os.environ if env is None else env
+    if isinstance(value, dict):
+        return {k: interpolate(v, env) for k, v in value.items()}
+    if isinstance(value, list):
+        return [interpolate(v, env) for v in value]
+    if not isinstance(value, str):
+        return value
+
+    def one(m: re.Match) -> str:
+        got = env.get(m[1], m[2])
+        if got is None:
+            raise KeyError(f"no value for {m[1]}")
+        return got
+
+    out = _VAR.sub(one, value)
+    if out != value and out[:1] in "[{":
+        try:
+            return json.loads(out)
+        except ValueError:
+            return out
+    return out
+
+
+def overlay(base: Mapping, over: Mapping) -> dict:
+    """Deep merge; lists and scalars of ``over`` replace."""
+    out = dict(base)
+    for k, v in over.items():
+        out[k] = overlay(out[k], v) if isinstance(v, Mapping) and isinstance(out.get(k), Mapping) else v
+    return out
+
+
+#: What column names say about their rule; the first that fits counts.
+NAME_RULES = [
+    (r"^(patient_?id|pat_?id|pid)$", "PATIENT_ID"),
+    (r"^(encounter_?id|enc_?id|visit_?id)$", "ENCOUNTER_ID"),
+    (r"^(appo?intment_?id|appt_?id)$", "APPOINTMENT_ID"),
+    (r"(^|_)(dob|date_?of_?birth|birth_?date|patientdob)($|_)", "PATIENT_DOB"),
+    (r"(^|_)(date|datetime|_dt|_date|timestamp|_time|_ts)($|_)|(date|time)$", "DATE_OFFSET"),
+    (r"(^|_)(zip|zip_?code|postal_?code|zipcode)($|_)", "ZIP_CODE"),
+    (r"(^|_)(first_?name|last_?name|middle_?name|patient_?name|full_?name|fname|lname|mname|maiden_?name|preferred_?name|nick_?name|display_?name)($|_)", "MASK"),
+    (r"(^|_)(ssn|social_?security|tax_?id|tin|phone|fax|cell|mobile|home_?phone|work_?phone|phone_?number|email|e_?mail|email_?address)($|_)", "MASK"),
+    (r"(^|_)(address|addr|street|address_?line|city|state|county)($|_)", "MASK"),
+    (r"(^|_)(notes?|comment|narrative|description|free_?text|remarks|memo|clinical_?notes?)($|_)", "NOTES"),
+    (r"(^|_)(doc_?content|document_?text|document_?body|doc_?text|doc_?body|bin_?content|blob_?content|text_?content|content_?text|report_?text|clinical_?text|note_?text)($|_)", "NOTES"),
+]
+DATE_TYPES, LONG_TEXT_TYPES = r"(?i)(DATE|TIME)", r"(?i)(LONGTEXT|MEDIUMTEXT|NTEXT|NVARCHAR\s*\(\s*MAX\s*\)|\bTEXT\b)"
+
+
+def snake(c: Column) -> Column:
+    """camelCase and PascalCase to snake_case."""
+    return F.lower(F.regexp_replace(F.regexp_replace(c, "([a-z0-9])([A-Z])", "$1_$2"), "([A-Z]+)([A-Z][a-z])", "$1_$2"))
+
+
+def auto_rule(name: Column, kind: Column) -> Column:
+    """Rule suggested by a column's name, else by its type, else empty."""
+    n = snake(name)
+    out = F.when(kind.rlike(DATE_TYPES), "DATE_OFFSET").when(kind.rlike(LONG_TEXT_TYPES), "GENERIC_NOTES").otherwise("")
+    for p, rule in reversed(NAME_RULES):
+        out = F.when(n.rlike(p), rule).otherwise(out)
+    return out
+
+
+@dataclass
+class TableRoles:
+    """Columns of a table by what they mean to quality control."""
+
+    patient_col: str | None = None
+    encounter_col: str | None = None
+    note_cols: list[str] = field(default_factory=list)
+    name_cols: list[str] = field(default_factory=list)
+    date_cols: list[str] = field(default_factory=list)
+
+
+def roles(rules: Sequence[tuple[str, str, str]]) -> dict[str, TableRoles]:
+    """Roles per table of rows ``(table, column, rule)``; columns in lower case, the first id column counts."""
+    out: dict[str, TableRoles] = {}
+    for table, column, rule in rules:
+        r, c, rule = out.setdefault(table, TableRoles()), column.lower(), (rule or "").upper()
+        if rule in ("DATE_OFFSET", "STATIC_OFFSET") and c not in r.date_cols:
+            r.date_cols.append(c)
+        elif rule in ("NOTES", "GENERIC_NOTES") and c not in r.note_cols:
+            r.note_cols.append(c)
+        elif rule == "MASK" and "name" in c and c not in r.name_cols:
+            r.name_cols.append(c)
+        elif rule == "ENCOUNTER_ID":
+            r.encounter_col = r.encounter_col or c
+        elif rule_of(rule) == "PATIENT_ID":
+            r.patient_col = r.patient_col or c
+    return out
+
+
+class UnsafePlan(ValueError):
+    """A table can't be released as planned."""
+
+
+@dataclass
+class TablePlan:
+    """Rules of one table: column to rule; ``tokens`` names masks (upper-case column name otherwise)."""
+
+    table: str
+    rules: Mapping[str, str]
+    tokens: Mapping[str, str] = field(default_factory=dict)
+    default_offset: int = DEFAULT_OFFSET
+
+    def classify(self) -> dict[str, list[str]]:
+        """Identifier columns by group: patient, encounter, referencepid, appointment, chart."""
+        groups = {"ENCOUNTER_ID": "encounter", "REFERENCE_PID": "referencepid", "APPOINTMENT_ID": "appointment", "CHART_ID": "chart"}
+        out: dict[str, list[str]] = {g: [] for g in ("patient", *groups.values())}
+        for c, r in self.rules.items():
+            r = (r or "").upper()
+            if r in groups:
+                out[groups[r]].append(c.lower())
+            elif r not in ("PATIENT_DOB",) and rule_of(r) == "PATIENT_ID":
+                out["patient"].append(c.lower())
+        return out
+
+    def check(self, columns: Sequence[str]) -> None:
+        """Refuse a table without rules, or with rules for columns it lacks."""
+        if not any((r or "").strip() for r in self.rules.values()):
+            raise UnsafePlan(f"table {self.table} has no rules")
+        missing = sorted(c for c in self.rules if c.lower() not in {x.lower() for x in columns})
+        if missing:
+            raise UnsafePlan(f"table {self.table} lacks {', '.join(missing)}")
+
+    def apply(self, df: DataFrame, patients: DataFrame, encounters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """(de-identified rows, rejects). Maps: patients(patientid, nd_patient_id, offset_days), encounters(encounter_id, nd_encounter_id, nd_patient_id).
+
+        Excluded patients and inactive rows of the maps don't resolve. The patient of a
+        row is asked of its encounter, then of its patient columns; rows without one are
+        rejected as JSON with the reason. Notes and everything else keep their order.
+        """
+        df = df.toDF(*[c.lower() for c in df.columns])
+        self.check(df.columns)
+        g = self.classify()
+        pats = rs.usable(patients)
+        pats = pats.groupBy("patientid").agg(F.min("nd_patient_id").alias("nd_patient_id"), F.min("offset_days").alias("offset_days"))
+        cur, src = df, {"patient": [], "encounter": []}
+        for c in g["patient"]:
+            cur = rs.map_join(cur, pats, c, "patientid", f"_from_{c}")
+            src["patient"].append(c)
+        if encounters is not None:
+            enc = rs.without_excluded(rs.usable(encounters), patients) if "excluded" in patients.columns else rs.usable(encounters)
+            enc = enc.groupBy("encounter_id").agg(F.min("nd_encounter_id").alias("nd_encounter_id"), F.min("nd_patient_id").alias("nd_patient_id"))
+            off = pats.groupBy(F.col("nd_patient_id").alias("_np")).agg(F.min("offset_days").alias("offset_days"))
+            enc = enc.join(off, F.col("nd_patient_id") == F.col("_np"), "left").drop("_np")
+            for c in g["encounter"]:
+                cur = rs.map_join(cur, enc, c, "encounter_id", f"_from_{c}")
+                src["encounter"].append(c)
+        cur = rs.resolve(cur, src, "nd_patient_id", "_resolved_nd_patient_id")
+        cur = rs.resolve(cur, src, "offset_days", "_resolved_offset", self.default_offset)
+        if g["patient"] or g["encounter"]:
+            first = (g["patient"] or g["encounter"])[0]
+            good, bad = rs.split_unresolved(cur, "_resolved_nd_patient_id", first)
+            bad = cur.where(F.col("_resolved_nd_patient_id").isNull()).select(
+                F.concat(F.lit("unresolved_id:"), F.coalesce(F.col(first).cast("string"), F.lit("NULL"))).alias("reason"), F.to_json(F.struct(*df.columns)).alias("row_data"))
+        else:
+            good, bad = cur, cur.limit(0).select(F.lit("").alias("reason"), F.lit("").alias("row_data"))
+        out = []
+        by_name = {c.lower(): r for c, r in self.rules.items()}
+        for c in df.columns:
+            rule = rule_of(by_name.get(c, ""))
+            if rule is None or rule == "NOTES":
+                out.append(F.col(c))
+                continue
+            got = f"nd_encounter_id_from_{c}" if rule == "ENCOUNTER_ID" else f"nd_patient_id_from_{c}"
+            ctx = {"resolved": F.col(got) if got in cur.columns else F.lit(None).cast("bigint"), "offset": F.col("_resolved_offset"), "token": self.tokens.get(c, c.upper())}
+            out.append(RULES[rule][0](F.col(c), ctx).alias(c))
+        return good.select(*out), bad

@@ -1 +1 @@
-
+"""Streams of change events."""
