@@ -14,6 +14,7 @@ from itertools import permutations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .rules import DATE_FORMATS, DATE_IN_TEXT
 
@@ -187,7 +188,7 @@ def _shift_text(text: str, days: int, year_now: int) -> str:
     return _DATE_RE.sub(one, text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _shift_udf(text: pd.Series, days: pd.Series) -> pd.Series:
     now = datetime.now().year
     return pd.Series([t if t is None or not any(c.isdigit() for c in t) else _shift_text(t, 0 if d is None or d != d else int(d), now) for t, d in zip(text, days, strict=True)], dtype="object")

@@ -8,6 +8,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .change_feed import literal, sequence
 
@@ -277,7 +278,7 @@ def parse_insert(sql: str | None) -> dict[str, str] | None:
     return None
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def insert_values(sql: pd.Series) -> pd.Series:
     """Column to literal of insert statements, on Arrow batches."""
     return sql.map(parse_insert)
@@ -339,7 +340,7 @@ def row_decoder(columns: Sequence[tuple[str, str, int]]):
     """Arrow UDF from row images to maps."""
     cols = list(columns)
 
-    @F.pandas_udf("map<string,string>")
+    @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
     def decode(data: pd.Series) -> pd.Series:
         return data.map(lambda b: decode_row(b, cols))
 

@@ -17,6 +17,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Kinds of binary documents by number.
 EXTENSIONS = {1000: "xml", 1004: "xml", 1005: "xml", 1016: "xml", 1001: "pdf", 1003: "txt", 1007: "tif"}
@@ -74,7 +75,7 @@ def inflate(data: bytes | None) -> bytes | None:
     return data
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def inflate_udf(data: pd.Series) -> pd.Series:
     return data.map(inflate)
 
@@ -88,7 +89,7 @@ def clean_xml(data: bytes | str | None) -> str | None:
     return None if root is None else ET.tostring(root, encoding="unicode")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean_xml_udf(data: pd.Series) -> pd.Series:
     return data.map(clean_xml)
 
@@ -172,7 +173,7 @@ def _birth_year(value: str, now: int) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def mask_xml_udf(text: pd.Series) -> pd.Series:
     return text.map(mask_xml)
 
@@ -205,7 +206,7 @@ def xml_to_json(text: str | None) -> str | None:
     return None if root is None else json.dumps({root.tag.rsplit("}", 1)[-1]: _node(root)}, ensure_ascii=False)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def xml_to_json_udf(text: pd.Series) -> pd.Series:
     return text.map(xml_to_json)
 
@@ -448,7 +449,7 @@ def document_text(doc: str | None) -> str:
     return "\n".join(lines_of(document_sections(doc) or {}))
 
 
-@F.pandas_udf("struct<sections:string,text:string>")
+@F.pandas_udf(T.StructType([T.StructField("sections", T.StringType()), T.StructField("text", T.StringType())]))
 def document_udf(doc: pd.Series) -> pd.DataFrame:
     parsed = [document_sections(d) for d in doc]
     return pd.DataFrame({"sections": [None if p is None else json.dumps(p, ensure_ascii=False) for p in parsed], "text": ["\n".join(lines_of(p or {})) for p in parsed]})
