@@ -41,7 +41,7 @@ def id_text(c: Column) -> Column:
 
 def id_long(c: Column) -> Column:
     """The id as bigint, null where ``id_text`` isn't a whole number of that range."""
-    return F.expr("try_cast(null as bigint)") if c is None else id_text(c).try_cast("bigint")
+    return id_text(c).try_cast("bigint")
 
 
 def content_hash(cols: Iterable[str]) -> Column:

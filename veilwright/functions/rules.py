@@ -49,15 +49,17 @@ def parse_any(c: Column, today: Column | None = None, ahead: int = OTHER_AHEAD)
     t = strip(c)
     tries = []
     for f in DATE_FORMATS:
-        ts = F.expr("null")
         ts = F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz")
         tries.append(century(ts, today, ahead) if "yy" in f and "yyyy" not in f else ts)
     return F.coalesce(*tries)
 
 
-def shift(c: Column, days: Column, today: Column | None = None) -> Column:
-    """Date text shifted by whole days, clamped, as ``yyyy-MM-dd HH:mm:ss``; blank or unreadable gives null."""
-    ts = parse_any(c, today) + F.make_dt_interval(F.coalesce(days, F.lit(0)).cast("int"))
+def shift(c: Column, days: Column, today: Column | None = None, typed: bool = False) -> Column:
+    """Date shifted by whole days, clamped, as ``yyyy-MM-dd HH:mm:ss``; blank or unreadable text gives null.
+
+    ``typed`` says that the column is a date or timestamp and needs no parsing.
+    """
+    ts = (c.cast("timestamp_ntz") if typed else parse_any(c, today)) + F.make_dt_interval(F.coalesce(days, F.lit(0)).cast("int"))
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (FIRST, LAST))
     return F.date_format(F.when(ts < low, low).when(ts > high, high).otherwise(ts), "yyyy-MM-dd HH:mm:ss")
 
@@ -97,8 +99,8 @@ def generic_note(c: Column) -> Column:
 RULES: dict[str, tuple[Callable[[Column, dict], Column], str]] = {
     **{r: (lambda c, x: mapped_id(x["resolved"]), "bigint") for r in ("PATIENT_ID", "ENCOUNTER_ID", "REFERENCE_PID", "APPOINTMENT_ID", "CHART_ID")},
     "MASK": (lambda c, x: mask(x.get("token", "<<>>")), "string"),
-    "DATE_OFFSET": (lambda c, x: shift(c, x["offset"]), "string"),
-    "STATIC_OFFSET": (lambda c, x: shift(c, F.lit(DEFAULT_OFFSET)), "string"),
+    "DATE_OFFSET": (lambda c, x: shift(c, x["offset"], typed=x.get("typed", False)), "string"),
+    "STATIC_OFFSET": (lambda c, x: shift(c, F.lit(DEFAULT_OFFSET), typed=x.get("typed", False)), "string"),
     "DOB": (lambda c, x: birth_year(c), "int"),
     "PATIENT_DOB": (lambda c, x: birth_year(c), "int"),
     "ZIP_CODE": (lambda c, x: zip3(c), "string"),

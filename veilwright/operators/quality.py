@@ -141,7 +141,11 @@ def delta_identity(source: DataFrame, dest: DataFrame, id_col: str, key_col: str
 # --- notes ------------------------------------------------------------------------------
 def residual(text: Column) -> Column:
     """Distinct ``(type, text)`` of all residual patterns in a text."""
-    hits = [F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({p})"), F.lit(1))), lambda x, k=k: F.struct(F.lit(k).alias("type"), x.alias("text"))) for k, p in RESIDUAL.items()]
+
+    def found(kind: str, pattern: str) -> Column:
+        return F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))), lambda x: F.struct(F.lit(kind).alias("type"), x.alias("text")))
+
+    hits = [found(k, p) for k, p in RESIDUAL.items()]
     return F.flatten(F.array(*[F.coalesce(h, F.array().cast("array<struct<type:string,text:string>>")) for h in hits]))
 
 

@@ -176,7 +176,7 @@ class TablePlan:
                 F.concat(F.lit("unresolved_id:"), F.coalesce(F.col(first).cast("string"), F.lit("NULL"))).alias("reason"), F.to_json(F.struct(*df.columns)).alias("row_data"))
         else:
             good, bad = cur, cur.limit(0).select(F.lit("").alias("reason"), F.lit("").alias("row_data"))
-        out = []
+        out, kinds = [], dict(df.dtypes)
         by_name = {c.lower(): r for c, r in self.rules.items()}
         for c in df.columns:
             rule = rule_of(by_name.get(c, ""))
@@ -184,6 +184,6 @@ class TablePlan:
                 out.append(F.col(c))
                 continue
             got = f"nd_encounter_id_from_{c}" if rule == "ENCOUNTER_ID" else f"nd_patient_id_from_{c}"
-            ctx = {"resolved": F.col(got) if got in cur.columns else F.lit(None).cast("bigint"), "offset": F.col("_resolved_offset"), "token": self.tokens.get(c, c.upper())}
+            ctx = {"resolved": F.col(got) if got in cur.columns else F.lit(None).cast("bigint"), "offset": F.col("_resolved_offset"), "token": self.tokens.get(c, c.upper()), "typed": kinds[c].startswith(("timestamp", "date"))}
             out.append(RULES[rule][0](F.col(c), ctx).alias(c))
         return good.select(*out), bad
