@@ -156,7 +156,7 @@ def parse_log_text(lines: Iterator[str], schemas: set[str] | None = None) -> Ite
     def flush_stmt():
         nonlocal stmt, insert_id
         if stmt:
-            sql = "\n".join(stmt).rstrip().rstrip(";").rstrip("/*!*/").rstrip().rstrip(";")
+            sql = re.sub(r"[\s;]*(?:/\*!\*/)?[\s;]*$", "", "\n".join(stmt))
             m = _TARGET.match(sql)
             if m and wanted(m[1] or schema):
                 body = {"raw_sql": sql}
@@ -164,7 +164,7 @@ def parse_log_text(lines: Iterator[str], schemas: set[str] | None = None) -> Ite
                 if op == "INSERT" and insert_id:
                     body["insert_id"] = insert_id
                 yield m[2], op, json.dumps(body), pos
-        stmt, insert_id = [], None
+            stmt, insert_id = [], None
 
     for raw in lines:
         line = raw.rstrip("\n")
