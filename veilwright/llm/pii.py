@@ -41,7 +41,7 @@ _PHONE = re.compile(
     r"|\(\d{3}\)\s?\d{3}[-. ]\d{4}"
     rf"|(?:1{_SEP})?\d{{3}}([-.  ])\d{{3}}\1\d{{4}}"
     r"|0\d{2}[  ]\d{4}[  ]\d{4}|0\d{4}[  ]\d{6}"
-    r"|\d{10}|\d{3}-\d{4}"
+    r"|\d{10}(?!\d)|\d{3}-\d{4}"
     rf"){_EXT}(?:(?=\d{{20}})|(?![A-Za-z\d_@]|[-/.:]\d))"
 )
 _SOCIAL = re.compile(r"(?<![\w.+-])\d{3}(?:([- ‐-―])\d{2}\1\d{4}|\d{6})(?![\w]|[-.]\d)")
