@@ -176,3 +176,28 @@ def c25_row_images(s, d):
     img = F.concat(head, le, tail)
     m = T(s, d, "events").select("event_id", cdc.row_decoder([("k", "bigint", 8), ("v", "varchar", 0)])(img).alias("m"))
     return m.select(F.col("m")["k"].try_cast("bigint").alias("k"), F.col("m")["v"].alias("v"), "event_id")
+
+
+@query("""select 'log.' || lpad(facilityid::varchar, 4, '0') as binlog_file, 'appts' as table_name, 'INSERT' as operation, count(*) as n_events from facilities group by 1, 2, 3""")
+def c01_log_texts(s, d):
+    """Log texts written from a table and parsed file by file."""
+    f = T(s, d, "facilities")
+    text = F.concat(F.lit("# at 100\n### INSERT INTO `ehr`.`appts`\n### SET\n###   @1="), F.col("facilityid").cast("string"), F.lit("\n###   @2='"), "facility_name", F.lit("'\n# at 200\n"))
+    files = f.select(F.concat(F.lit("/logs/log."), F.lpad(F.col("facilityid").cast("string"), 4, "0")).alias("path"), text.alias("value"))
+    return cdc.read_log_texts(files, ["ehr"]).groupBy("binlog_file", "table_name", "operation").agg(F.count("*").alias("n_events"))
+
+
+@query("""select max_by(dump_file, dump_completed_at) as dump_file from dump_metadata where dump_completed_at >= timestamp '2024-03-01' - interval 30 day and dump_completed_at < timestamp '2024-03-01'""")
+def c06_latest_snapshot(s, d):
+    """The last snapshot of the 30 days before a run."""
+    m = T(s, d, "dump_metadata").where("dump_completed_at >= timestamp_ntz'2024-01-31 00:00:00' and dump_completed_at < timestamp_ntz'2024-03-01 00:00:00'")
+    return m.agg(F.max_by("dump_file", "dump_completed_at").alias("dump_file"))
+
+
+@query("""with s as (select nd_patient_id k, 'missing_in_local' kind from patient_mapping_table where nd_patient_id not in (select nd_patient_id from patient_mapping_local) group by 1
+union all select nd_patient_id, 'extra_in_local' from patient_mapping_local where nd_patient_id not in (select nd_patient_id from patient_mapping_table) group by 1)
+select kind, count(*) as n_ids from s group by 1""")
+def c24_id_validation(s, d):
+    a, b = (t.select("nd_patient_id").distinct() for t in T(s, d, "patient_mapping_table", "patient_mapping_local"))
+    out = a.join(b, "nd_patient_id", "left_anti").select(F.lit("missing_in_local").alias("kind")).unionByName(b.join(a, "nd_patient_id", "left_anti").select(F.lit("extra_in_local").alias("kind")))
+    return out.groupBy("kind").agg(F.count("*").alias("n_ids"))

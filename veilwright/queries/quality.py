@@ -198,3 +198,30 @@ def a14_run_stats(s, d):
     r = T(s, d, "delta_runs").withColumn("table_name", F.lower(F.trim("table_name")))
     sec = F.timestamp_diff("SECOND", F.col("started_at"), F.col("finished_at"))
     return r.groupBy("table_name").agg(F.count("*").alias("n_runs"), F.sum(sec).cast("bigint").alias("seconds"), F.count_if(F.lower(F.trim("status")) != "success").alias("n_not_ok"))
+
+
+@query(f"""with {_MAPS}, n as (select (select count(*) from enc_staging) s, count(*) filter (nd is not null) d, count(*) filter (nd is null) r from r)
+select 'enc_staging' as table_name, s as source_rows, d as dest_rows, r as rejected_rows, s = d + r as passed from n""")
+def q14_table_scan(s, d):
+    """Row-count verdict of a table against its rejects."""
+    good, bad = _deid(s, d)
+    n = rs.conservation(T(s, d, "enc_staging"), good, bad)
+    return n.select(F.lit("enc_staging").alias("table_name"), F.col("n_in").alias("source_rows"), F.col("n_out").alias("dest_rows"), F.col("n_rejected").alias("rejected_rows"), F.col("balanced").alias("passed"))
+
+
+@query("""with a as (select nd_patient_id k, min(offset_days) o, min(registration_date) r from patient_mapping_table group by 1), b as (select nd_patient_id k, min(offset_days) o, min(registration_date) r from patient_mapping_local group by 1)
+select count(*) as total_records, count(*) filter (a.o is not distinct from b.o) as matching_records, count(*) filter (a.r is not null and b.r is not null and a.r <> b.r) as different_values, count(*) filter (a.r is null or b.r is null) as null_values from a join b on a.k = b.k""")
+def q16_compare_samples(s, d):
+    """Plain columns must agree; for changed columns the differing and empty values are counted."""
+    a, b = (t.groupBy(F.col("nd_patient_id").alias("k")).agg(F.min("offset_days").alias(f"o{i}"), F.min("registration_date").alias(f"r{i}")) for i, t in enumerate(T(s, d, "patient_mapping_table", "patient_mapping_local")))
+    j = a.join(b, "k")
+    return j.agg(F.count("*").alias("total_records"), F.count_if(F.col("o0").eqNullSafe(F.col("o1"))).alias("matching_records"), F.count_if(F.col("r0") != F.col("r1")).alias("different_values"), F.count_if(F.col("r0").isNull() | F.col("r1").isNull()).alias("null_values"))
+
+
+@query("""with n as (select nd_auto_increment_id, nd_patient_id, content from encounter_notes), m as (select distinct nd_patient_id p from pii_data_table where nd_patient_id is not null)
+select count(*) as audited, count(*) filter (p is null) as without_master, count(*) filter (coalesce(content, '') = '') as coverage_gaps from n left join m on n.nd_patient_id = m.p""")
+def q34_q37_audit(s, d):
+    n, p = T(s, d, "encounter_notes", "pii_data_table")
+    m = p.where("nd_patient_id is not null").select(F.col("nd_patient_id").alias("p")).distinct()
+    j = n.join(m, F.col("nd_patient_id") == F.col("p"), "left")
+    return j.agg(F.count("*").alias("audited"), F.count_if(F.col("p").isNull()).alias("without_master"), F.count_if(F.coalesce("content", F.lit("")) == "").alias("coverage_gaps"))

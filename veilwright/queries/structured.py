@@ -11,7 +11,8 @@ from ..functions.normal import flag, id_long
 from ..operators import mapping as mp
 from ..operators import quality as qc
 from ..operators import resolve as rs
-from ..session import read_table
+from ..plans import identifiers
+from ..session import materialize, read_table, scratch_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -502,3 +503,83 @@ def m09_exclusions(s, d):
     by_visit = p.join(e.where(F.lower(F.trim("visittype")) == "tele").select("patientid").distinct(), "patientid", "left_semi")
     return by_visit.select("nd_patient_id").union(p.where("excluded").select("nd_patient_id")).distinct()
 
+
+
+# --- files and further joins --------------------------------------------------------------------
+@query("select o_orderkey, o_custkey from orders where o_orderkey between 200 and 900")
+def s13_cached_range(s, d):
+    """A table kept in the shared folder and read by range."""
+    return sources.id_range(materialize(T(s, d, "orders").select("o_orderkey", "o_custkey"), "s13"), "o_orderkey", 200, 900)
+
+
+@query("select s_suppkey, s_name, s_nationkey from supplier")
+def s24_s25_csv_round_trip(s, d):
+    path = scratch_path(s, "s25")
+    df = T(s, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    df.write.option("header", True).csv(path)
+    return s.read.option("header", True).schema(df.schema).csv(path)
+
+
+@query("select dump_file as path, binlog_file, binlog_pos, strftime(dump_completed_at, '%Y-%m-%d %H:%M:%S') as completed from dump_metadata")
+def s28_dump_texts(s, d):
+    m = T(s, d, "dump_metadata")
+    text = F.concat(F.lit("-- dump\nCHANGE MASTER TO MASTER_LOG_FILE='"), "binlog_file", F.lit("', MASTER_LOG_POS="), F.col("binlog_pos").cast("string"), F.lit(";\n"), F.coalesce(F.concat(F.lit("-- Dump completed on "), F.date_format("dump_completed_at", "yyyy-MM-dd HH:mm:ss")), F.lit("")))
+    return sources.dump_metadata(m.select(F.col("dump_file").alias("path"), text.alias("value")))
+
+
+@query("select l_orderkey, l_linenumber, o_custkey, l_extendedprice from lineitem join orders on l_orderkey = o_orderkey where o_orderstatus = 'F'")
+def j13_inner_join(s, d):
+    l, o = T(s, d, "lineitem", "orders")
+    return l.join(o.where("o_orderstatus = 'F'"), l["l_orderkey"] == o["o_orderkey"]).select("l_orderkey", "l_linenumber", "o_custkey", "l_extendedprice")
+
+
+@query("""select count(*) filter (p is not null) as n_mapped, count(*) filter (p is null) as n_skipped from enc_staging e left join (select distinct patientid p from patient_mapping_table) m on e.patientid = m.p""")
+def j15_mapped_and_skipped(s, d):
+    e, p = T(s, d, "enc_staging", "patient_mapping_table")
+    j = e.join(p.select(F.col("patientid").alias("p")).distinct(), F.col("patientid") == F.col("p"), "left")
+    return j.agg(F.count_if(F.col("p").isNotNull()).alias("n_mapped"), F.count_if(F.col("p").isNull()).alias("n_skipped"))
+
+
+@query("select count(*) as keys_that_fan_out from (select encounter_id from encounter_mapping_table group by 1 having count(*) > 1)")
+def j21_fan_out(s, d):
+    return T(s, d, "encounter_mapping_table").groupBy("encounter_id").count().where("count > 1").agg(F.count("*").alias("keys_that_fan_out"))
+
+
+@query("select patientid, offset_days from (select patientid, offset_days, row_number() over (order by patientid, offset_days) rn from (select distinct patientid, offset_days from patient_mapping_table where abs(offset_days) < 30)) where rn <= 20")
+def a13_offenders(s, d):
+    """The first 20 offsets under the band, as a report shows them."""
+    bad = T(s, d, "patient_mapping_table").where(F.abs("offset_days") < 30).select("patientid", "offset_days").distinct()
+    return bad.orderBy("patientid", "offset_days").limit(20)
+
+
+@query("select a.apptid, 40000000 + row_number() over (order by a.apptid) as nd_appointment_id from (select distinct apptid from appointment_dump) a")
+def m05_appointment_map(s, d):
+    return mp.numbered(T(s, d, "appointment_dump").select("apptid").distinct(), ["apptid"], "nd_appointment_id", 40_000_000)
+
+
+@query("""select * from (values ('appointment_dump', 'patient', 'patientid'), ('enc_staging', 'patient', 'patientid'), ('enc_staging', 'encounter', 'encounterid')) v(table_name, kind, column_name)""")
+def m01_f09_id_columns(s, d):
+    cols = identifiers.id_columns({"enc_staging": {"patientid": "PATIENT_ID", "encounterid": "ENCOUNTER_ID", "visittype": "MASK"}, "appointment_dump": {"patientid": "PATIENT_ID"}})
+    return s.createDataFrame([(t, k, c) for t, g in cols.items() for k, cs in g.items() for c in cs], "table_name string, kind string, column_name string")
+
+
+@query("""with m as (select nd_patient_id k, ufname f, ulname l from pii_data_table), s as (select k, count(*) n, count(distinct f) nf from m group by 1) select k as nd_patient_id, n as n_rows, nf as n_first_names from s""")
+def m13_pii_by_patient(s, d):
+    return T(s, d, "pii_data_table").groupBy("nd_patient_id").agg(F.count("*").alias("n_rows"), F.countDistinct("ufname").alias("n_first_names"))
+
+
+@query("select nd_auto_increment_id, length(content) as width from (select distinct nd_auto_increment_id, content from encounter_notes where content is not null) qualify row_number() over (order by length(content) desc, nd_auto_increment_id, content) <= 25")
+def l09_longest_first(s, d):
+    n = T(s, d, "encounter_notes").where("content is not null").select("nd_auto_increment_id", "content").distinct()
+    return n.orderBy(F.length("content").desc(), "nd_auto_increment_id", "content").limit(25).select("nd_auto_increment_id", F.length("content").alias("width"))
+
+
+@query("select * from (select distinct * from appointment_dump)")
+def u06_full_row_dedup(s, d):
+    return T(s, d, "appointment_dump").dropDuplicates()
+
+
+@query("select table_name, min(run_id) as first_run from (select lower(trim(table_name)) table_name, run_id from delta_runs where lower(trim(status)) <> 'success') group by 1")
+def w06_first_open_run(s, d):
+    r = T(s, d, "delta_runs").where(F.lower(F.trim("status")) != "success")
+    return r.groupBy(F.lower(F.trim("table_name")).alias("table_name")).agg(F.min_by("run_id", "run_id").alias("first_run"))
