@@ -15,7 +15,8 @@ def test_names():
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")
 def test_flagship(spark):
-    assert entry.entry(spark).columns == ["encounter_id", "valid_from", "valid_to"]
+    df = entry.entry(spark)
+    assert {"patientid", "encounterid", "enc_date"} <= set(df.columns) and df.count() > 0
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="no test data")

@@ -39,7 +39,7 @@ CASES = [
 
 
 def test_cases(spark):
-    df = spark.createDataFrame([(i, *c) for i, c in enumerate(CASES)], "i int, t string, tz string, o string, want string")
+    df = spark.createDataFrame([(i, *c, 1, 2) for i, c in enumerate(CASES)], "i int, t string, tz string, o string, want string, _t int, _p int")
     got = with_utc_text(df, "t", F.col("tz"), F.col("o")).orderBy("i").collect()
     assert [(r["t"], r["utc_ts"]) for r in got] == [(c[0], c[3]) for c in CASES]
 

@@ -64,12 +64,12 @@ def with_utc_text(df: DataFrame, text: str, tz_name: Column, date_order: Column,
     t = squeeze(F.col(text))
     canon = F.lit(None).cast("string")
     for pattern, template in reversed(CASCADE):
-        canon = F.when(F.col("_t").rlike("(?i)" + pattern), F.regexp_replace("_t", "(?i)" + pattern, template)).otherwise(canon)
+        canon = F.when(F.col("__veil_t").rlike("(?i)" + pattern), F.regexp_replace("__veil_t", "(?i)" + pattern, template)).otherwise(canon)
     known = sorted(zoneinfo.available_timezones())
-    step = df.withColumns({"_t": t, "_tz": F.when(tz_name.isin(known), tz_name).otherwise("UTC"), "_mdy": F.upper(F.trim(date_order)).eqNullSafe("MDY")})
-    step = step.withColumn("_p", F.split(canon, r"\|", -1))
-    year, mon, day, hh, mi, sec, frac, half, zone = (F.col("_p")[i] for i in range(9))
-    swap = mon.startswith("~") & ~F.col("_mdy")
+    step = df.withColumns({"__veil_t": t, "__veil_tz": F.when(tz_name.isin(known), tz_name).otherwise("UTC"), "__veil_mdy": F.upper(F.trim(date_order)).eqNullSafe("MDY")})
+    step = step.withColumn("__veil_p", F.split(canon, r"\|", -1))
+    year, mon, day, hh, mi, sec, frac, half, zone = (F.col("__veil_p")[i] for i in range(9))
+    swap = mon.startswith("~") & ~F.col("__veil_mdy")
     first, second = F.when(swap, day).otherwise(mon), F.when(swap, mon).otherwise(day)
     named = F.array_position(F.lit(_MONTHS), F.lower(F.substring(first, 1, 3)))
     month = F.when(named > 0, named.cast("string")).otherwise(F.ltrim(first, F.lit("~")))
@@ -78,13 +78,13 @@ def with_utc_text(df: DataFrame, text: str, tz_name: Column, date_order: Column,
     hour = F.when(hh == "", 0).when(half == "", hour).when(hour.between(1, 12), hour % 12 + noon)
     zero = lambda c: F.when(c == "", "00").otherwise(c)
     wall = F.concat(year, F.lit("-"), month, F.lit("-"), F.ltrim(second, F.lit("~")), F.lit(" "), hour.cast("string"), F.lit(":"), zero(mi), F.lit(":"), zero(sec), F.lit("."), F.substring(F.rpad(frac, 6, "0"), 1, 6))
-    step = step.withColumns({"_wall": F.when(year != "0000", wall.try_cast("timestamp_ntz")), "_z": F.upper(zone)})
+    step = step.withColumns({"__veil_wall": F.when(year != "0000", wall.try_cast("timestamp_ntz")), "__veil_z": F.upper(zone)})
 
-    wall, z, tz = F.col("_wall"), F.col("_z"), F.col("_tz")
+    wall, z, tz = F.col("__veil_wall"), F.col("__veil_z"), F.col("__veil_tz")
     local = F.convert_timezone(tz, F.lit("UTC"), wall)
     if ambiguous != "first" or nonexistent != "forward":
-        step = step.withColumn("_local", local)
-        local = F.col("_local")
+        step = step.withColumn("__veil_local", local)
+        local = F.col("__veil_local")
         exists = F.convert_timezone(F.lit("UTC"), tz, local) == wall
         later = local + F.expr("interval 1 hour")
         twice = exists & (F.convert_timezone(F.lit("UTC"), tz, later) == wall)
@@ -101,10 +101,10 @@ def with_utc_text(df: DataFrame, text: str, tz_name: Column, date_order: Column,
         .when(offset, F.convert_timezone(signed, F.lit("UTC"), wall))
         .otherwise(wall - F.make_dt_interval(F.lit(0), F.lit(0), minutes))
     )
-    ms = F.coalesce(*[F.nullif(F.regexp_extract("_t", _EPOCH, k), F.lit("")).try_cast("bigint") * f for k, f in ((1, 1), (2, 1), (3, 1000))])
+    ms = F.coalesce(*[F.nullif(F.regexp_extract("__veil_t", _EPOCH, k), F.lit("")).try_cast("bigint") * f for k, f in ((1, 1), (2, 1), (3, 1000))])
     epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (ms.cast("decimal(20,0)") / 1000).cast("decimal(18,6)"))
-    step = step.withColumn("_i", F.when(F.col("_t").rlike(_EPOCH), epoch).otherwise(instant).cast("string"))
-    i = F.col("_i")
+    step = step.withColumn("__veil_i", F.when(F.col("__veil_t").rlike(_EPOCH), epoch).otherwise(instant).cast("string"))
+    i = F.col("__veil_i")
     done = F.concat(F.substring(i, 1, 10), F.lit("T"), F.substring(i, 12, 8), F.lit("."), F.rpad(F.regexp_extract(i, r"\.(\d+)$", 1), 6, "0"), F.lit("Z"))
     return step.withColumn(out, done).select(*df.columns, out)
 

@@ -102,3 +102,12 @@ def spread(df: DataFrame, per_core: int = 3) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores * per_core)
+
+
+def gather(df: DataFrame, per_core: int = 8) -> DataFrame:
+    """``df`` in a bounded number of tasks, for work of which each task returns a sum of fixed size.
+
+    Beyond that number, more tasks would only mean more sums to shuffle.
+    """
+    most = df.sparkSession.sparkContext.defaultParallelism * per_core
+    return df.coalesce(most) if df.rdd.getNumPartitions() > most else df
