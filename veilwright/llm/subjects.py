@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize, spread
+from ..session import gather, materialize, spread
 
 TERMS = 1 << 15  # hashed terms
 SLOTS = 1 << 20  # hashed word pairs of the sentence statistics
@@ -342,7 +342,7 @@ def assign_subjects(
     # Languages with labelled documents, most frequent first; null counts as that one.
     langs = [r["lang"] for r in labelled.where("lang <> ''").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(50).collect()] or [""]
     labelled = spread(labelled)
-    texts = rows.select("text")
+    texts = gather(rows.select("text"))
     n, c = _counts(texts)
     idf = np.where(c["df"] > 0, np.log((n + 1) / (c["df"] + 0.5)), 0.0)
     m = Model(np.maximum(idf, 0), *(c[k].astype(np.int32) for k in ("inside", "ends", "starts")))
