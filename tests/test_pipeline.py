@@ -1,13 +1,16 @@
 """A project end to end on small parquet tables; identifier settings; command line."""
 
 import json
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from veilwright import cli
 from veilwright.plans import UnsafePlan
 from veilwright.plans.identifiers import check_identifiers, id_columns, pii_config, pii_tables, remap_single
-from veilwright.plans.pipeline import auto_qc, audit_report, load_config, parse_rules, run_tables, tables_to_run
+from veilwright.operators.quality import GateError
+from veilwright.plans.pipeline import audit_report, auto_qc, delta_qc, load_config, mapping_gate, notes_audit, parse_rules, run_tables, tables_to_run
 
 
 @pytest.fixture
@@ -70,3 +73,32 @@ def test_identifiers():
     assert c["mask"]["pat_lname"]["masking_value"] == "((LAST_NAME))" and c["dob"] == {"pat_dob": {}} and c["combine"]["pat_name"]["combine_columns"] == ["pat_first_name", "pat_lname"]
     assert pii_tables({}, {"s": ["PatientId", "homePhone", "z"]})["pii_data_table"]["tables"] == {"s": {"primary_col": "PatientId", "other_required_columns": ["homePhone"]}}
     assert pii_tables({}) == {} and pii_config({}) == {}
+
+
+def test_gate_delta_audit_and_logs(spark, project, tmp_path, capsys, monkeypatch):
+    cfg, text, dst = project
+    assert {r["check_name"]: r["status"] for r in mapping_gate(spark, cfg).collect()} == {"mapping_uniqueness": "pass", "offset_range": "pass", "encounter_uniqueness": "pass"}
+    cfg.qc["offset_max"] = 20
+    with pytest.raises(GateError, match="offset_range"):
+        mapping_gate(spark, cfg, raise_on_failure=True)
+    run_tables(spark, cfg, ["patients"])
+    d = delta_qc(spark, cfg, ["patients"]).collect()
+    assert [(r["id"], r["issue"], r["source_value"], r["dest_value"]) for r in d] == [(1, "mismatch", "101", "1001")]
+    master = spark.createDataFrame([(1, "John Smith", "555-1", date(1985, 6, 15)), (1, "J", None, None)], "nd_patient_id bigint, ufname string, umobileno string, dob date")
+    notes = spark.createDataFrame([(1, "clean", None), (1, "saw SMITH on", "1985-06-15"), (1, "", None), (9, "call 713-555-0192", None), (None, None, None)], "nd_patient_id bigint, a string, b string")
+    got = [(r["gap"], list(r["phi_hits"]), list(r["mask_hits"]), [x["kind"] for x in r["date_hits"]], r["passed"]) for r in notes_audit(notes, master, ["a", "b"]).orderBy(F.coalesce("a", F.lit(" "))).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, [(False, [], [], [], True), (False, ["ufname"], [], ["date_leak"], False), (True, [], [], [], True), (True, [], [], [], True), (False, [], ["phone"], [], False)]))
+    monkeypatch.setenv("OUT", dst)
+    path = tmp_path / "c.json"
+    path.write_text(text)
+    assert cli.main(["gate", "--config", str(path)], spark) == 0 and cli.main(["qc-delta", "--config", str(path), "--tables", "patients"], spark) == 1
+    assert cli.main(["pii-table", "--config", str(path), "--out", f"{tmp_path}/pii"], spark) == 0
+    assert {"patientid", "patients_fname", "patients_dob"} == set(spark.read.parquet(f"{tmp_path}/pii").columns)
+    (tmp_path / "logs").mkdir()
+    (tmp_path / "logs" / "bin.1").write_text("# at 5\n### INSERT INTO `a`.`b`\n### SET\n###   @1=1\n")
+    assert cli.main(["cdc", "--logs", f"{tmp_path}/logs", "--out", f"{tmp_path}/log"], spark) == 0
+    assert spark.read.parquet(f"{tmp_path}/log").first()["table_name"] == "b"
+    notes.write.parquet(f"{tmp_path}/notes")
+    master.write.parquet(f"{tmp_path}/master")
+    assert cli.main(["qc-audit", "--notes", f"{tmp_path}/notes", "--master", f"{tmp_path}/master", "--content", "a", "b"], spark) == 1
+    assert '"failed": 2' in capsys.readouterr().out

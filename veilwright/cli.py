@@ -1,4 +1,4 @@
-"""Command line: run, qc, mapping, generate-config, query."""
+"""Command line: run, auto-qc, gate, qc-delta, qc-audit, mapping, pii-table, cdc, generate-config."""
 
 from __future__ import annotations
 
@@ -9,19 +9,33 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .operators import cdc
 from .operators import mapping as mp
 from .plans import auto_rule
-from .plans.pipeline import audit_report, auto_qc, load_config, run_tables
+from .plans.identifiers import pii_tables
+from .plans.pipeline import audit_report, auto_qc, delta_qc, load_config, mapping_gate, notes_audit, run_tables
+from .sources import whole_texts
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="veilwright", description=__doc__)
     sub = p.add_subparsers(dest="command", required=True)
-    for name, text in (("run", "de-identify the configured tables"), ("auto-qc", "check the configured tables"), ("mapping", "add new patients to the patient map")):
+    for name, text in (("run", "de-identify the configured tables"), ("auto-qc", "check the configured tables"), ("mapping", "add new patients to the patient map"), ("gate", "check the maps"), ("qc-delta", "compare ids of source and destination")):
         c = sub.add_parser(name, help=text)
         c.add_argument("--config", required=True)
         c.add_argument("--tables", nargs="*")
         c.add_argument("--out", help="folder of CSV reports, or of the new map")
+    q = sub.add_parser("qc-audit", help="look for personal data in released notes")
+    q.add_argument("--notes", required=True)
+    q.add_argument("--master", required=True)
+    q.add_argument("--content", nargs="+", required=True)
+    t = sub.add_parser("pii-table", help="build the master table of personal data")
+    t.add_argument("--config", required=True)
+    t.add_argument("--out", required=True)
+    x = sub.add_parser("cdc", help="parse log texts of a folder into a change log")
+    x.add_argument("--logs", required=True)
+    x.add_argument("--out", required=True)
+    x.add_argument("--schemas", nargs="*")
     g = sub.add_parser("generate-config", help="suggest rules for the tables of a folder")
     g.add_argument("--source", required=True)
     g.add_argument("--tables", nargs="+", required=True)
@@ -33,7 +47,27 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for r in df.withColumn("rule", auto_rule(F.col("column_name"), F.col("data_type"))).collect():
             print(f"{r['table_name']},{r['column_name']},{r['rule']}")
         return 0
+    if a.command == "qc-audit":
+        n = notes_audit(spark.read.parquet(a.notes), spark.read.parquet(a.master), a.content).agg(F.count("*").alias("audited"), F.count_if(~F.col("passed")).alias("failed"), F.count_if("gap").alias("gaps")).first()
+        print(json.dumps(n.asDict()))
+        return int(n["failed"] > 0)
+    if a.command == "cdc":
+        cdc.read_log_texts(whole_texts(spark, a.logs), a.schemas).write.mode("append").parquet(a.out)
+        return 0
     cfg = load_config(Path(a.config).read_text())
+    if a.command == "gate":
+        checks = mapping_gate(spark, cfg)
+        checks.show(truncate=False)
+        return int(checks.where("status <> 'pass'").count() > 0)
+    if a.command == "qc-delta":
+        d = delta_qc(spark, cfg, a.tables).groupBy("table_name", "issue").count()
+        d.show(truncate=False)
+        return int(d.count() > 0)
+    if a.command == "pii-table":
+        found = pii_tables(cfg.rules).get("pii_data_table", {}).get("tables", {})
+        parts = {t: spark.read.parquet(f"{cfg.source}/{t}.parquet").select(F.col(c["primary_col"]).alias("patientid"), *c["other_required_columns"]) for t, c in found.items()}
+        mp.master_table("patientid", parts).write.mode("overwrite").parquet(a.out)
+        return 0
     if a.command == "run":
         report = run_tables(spark, cfg, a.tables)
         report.show(truncate=False)

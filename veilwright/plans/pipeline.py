@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as qc
+from ..operators import resolve as rs
 from . import TablePlan, UnsafePlan, interpolate, overlay, roles
 
 
@@ -147,3 +148,68 @@ def audit_report(summary: DataFrame) -> dict:
 
 def roles_of(cfg: Config):
     return roles([(t, c, r) for t, rs in cfg.rules.items() for c, r in rs.items()])
+
+
+def mapping_gate(spark: SparkSession, cfg: Config, raise_on_failure: bool = False) -> DataFrame:
+    """Checks of the maps ``(check_name, status, detail)``: one surrogate per id, offsets in their band, id format."""
+    p = spark.read.parquet(f"{cfg.source}/{cfg.patient_map}.parquet")
+    q, v = cfg.qc, F.col("violations")
+    band = {"low": q.get("offset_min", -38), "high": q.get("offset_max", 38), "least": q.get("offset_abs_min", 30)}
+    checks = [
+        qc.check("mapping_uniqueness", qc.one_to_one(p, "patientid", "nd_patient_id"), v > 0, v),
+        qc.check("offset_range", qc.offset_band(p, "offset_days", **band), v > 0, v),
+    ]
+    if "id_length" in q:
+        bad = p.agg(F.count_if(~qc.id_ok(F.col("nd_patient_id"), q["id_length"], str(q.get("id_prefix", "")))).alias("violations"))
+        checks.append(qc.check("mapping_id_format", bad, v > 0, v))
+    if cfg.encounter_map:
+        e = spark.read.parquet(f"{cfg.source}/{cfg.encounter_map}.parquet")
+        checks.append(qc.check("encounter_uniqueness", qc.one_to_one(rs.usable(e), "encounter_id", "nd_encounter_id"), v > 0, v))
+    out = checks[0]
+    for c in checks[1:]:
+        out = out.unionByName(c)
+    return qc.gate(out) if raise_on_failure else out
+
+
+def delta_qc(spark: SparkSession, cfg: Config, tables: Sequence[str] | None = None, id_col: str = "nd_auto_increment_id", after: str | None = None, restrict: bool = True) -> DataFrame:
+    """``(table_name, id, issue, source_value, dest_value)`` of tables with a business key, in the destination's window."""
+    out = None
+    for t in tables or list(cfg.rules):
+        src, dst = (spark.read.parquet(f"{p}/{t}.parquet") for p in (cfg.source, cfg.destination))
+        key = cfg.qc.get("biz_keys", {}).get(t) or qc.biz_key(dst.columns, id_col)
+        if key is None or id_col not in dst.columns:
+            continue
+        if after and "nd_extracted_date" in dst.columns:
+            dst = dst.where(F.col("nd_extracted_date") > F.lit(after).cast("timestamp_ntz"))
+        d = qc.delta_identity(src, dst, id_col, key, restrict).withColumn("table_name", F.lit(t))
+        out = d if out is None else out.unionByName(d)
+    return out if out is not None else spark.createDataFrame([], "id bigint, issue string, source_value string, dest_value string, table_name string")
+
+
+def notes_audit(notes: DataFrame, master: DataFrame, content: Sequence[str], key: str = "nd_patient_id", names: Sequence[str] = ("ufname", "ulname"), facilities: Sequence[str] = (), today=None) -> DataFrame:
+    """Notes with ``gap`` (no text), ``phi_hits``, ``mask_hits``, ``date_hits`` and ``passed``.
+
+    All rows of a patient in the master count: its columns but ids are looked for in the
+    text, its dates as dates. Content columns are read as one text.
+    """
+    today = F.current_date() if today is None else today
+    cols = [c for c, k in master.dtypes if not c.lower().endswith("id") and c != key]
+    dates = [c for c, k in master.dtypes if c in cols and k.startswith(("date", "timestamp"))]
+    texts = [c for c in cols if c not in dates]
+    m = master.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_mk")).agg(
+        *[F.collect_set(F.col(c).cast("string")).alias(f"_m_{c}") for c in texts], F.flatten(F.collect_set(F.array_compact(F.array(*[F.col(c).cast("date") for c in dates])) if dates else F.array().cast("array<date>"))).alias("_dates"))
+    text = F.concat_ws("\n", *[F.col(c) for c in content])
+    j = notes.withColumn("_text", text).join(m, F.col(key) == F.col("_mk"), "left")
+    low = F.lower("_text")
+
+    def hit(c: str):
+        exact = F.exists(F.col(f"_m_{c}"), lambda v: (F.trim(v) != "") & F.contains(low, F.lower(F.trim(v))))
+        if c in names:
+            exact = exact | F.exists(F.col(f"_m_{c}"), lambda v: F.exists(F.filter(F.split(F.lower(F.trim(v)), r"\s+"), lambda p: F.length(p) >= 3), lambda p: F.contains(low, p)))
+        return F.when(F.coalesce(exact, F.lit(False)), F.lit(c))
+
+    hits = F.array_compact(F.array(*[hit(c) for c in texts])) if texts else F.array().cast("array<string>")
+    none = F.array().cast("array<date>")
+    j = j.withColumns({"gap": F.trim("_text") == "", "phi_hits": hits, "mask_hits": qc.outcomes(F.col("_text"), facilities), "date_hits": qc.note_dates(F.col("_text"), F.coalesce("_dates", none), today)})
+    ok = (F.size("phi_hits") == 0) & (F.size("mask_hits") == 0) & (F.size("date_hits") == 0)
+    return j.withColumn("passed", ok).select(*notes.columns, "gap", "phi_hits", "mask_hits", "date_hits", "passed")

@@ -110,12 +110,12 @@ def dump_metadata(files: DataFrame) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str, after: str | None = None, before: str | None = None) -> DataFrame:
     """``(path, value)`` of text files, one row each, by time of change."""
-    r = spark.read.option("wholetext", True)
+    r = spark.read
     if after:
         r = r.option("modifiedAfter", after)
     if before:
         r = r.option("modifiedBefore", before)
-    return r.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return r.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def varchar_overflow(columns: Mapping[str, int], limit: int = 65_535, per_char: int = 4) -> list[str]:
