@@ -61,7 +61,7 @@ def shift(c: Column, days: Column, today: Column | None = None, typed: bool = Fa
     """
     ts = (c.cast("timestamp_ntz") if typed else parse_any(c, today)) + F.make_dt_interval(F.coalesce(days, F.lit(0)).cast("int"))
     low, high = (F.lit(x).cast("timestamp_ntz") for x in (FIRST, LAST))
-    return F.date_format(F.when(ts < low, low).when(ts > high, high).otherwise(ts), "yyyy-MM-dd HH:mm:ss")
+    return F.substring(F.when(ts < low, low).when(ts > high, high).otherwise(ts).cast("string"), 1, 19)
 
 
 def mapped_id(c: Column) -> Column:

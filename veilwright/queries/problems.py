@@ -147,7 +147,34 @@ m as (
 i as (select *, sum(st) over (partition by e order by d) g from m)
 """
 
+_P7 = r"""
+with dump as (
+  select try_cast(regexp_extract(binlog_file, '\.(\d+)$', 1) as bigint) f, binlog_pos p from dump_metadata
+  where lower(trim(table_name)) = 'appointments' and dump_completed_at is not null order by dump_completed_at desc limit 1),
+e as (
+  select try_cast(regexp_extract(binlog_file, '\.(\d+)$', 1) as bigint) f, binlog_pos p, id, upper(substr(trim(operation), 1, 1)) op, payload::json j
+  from change_log where lower(trim(table_name)) = 'appointments' and binlog_pos is not null),
+v as (
+  select (e.f, e.p, e.id) s, op, json_keys(j) ks,
+         list_transform(['1', '2', '3', '4'], lambda k: case when upper(j->>k) = 'NULL' then null when starts_with(j->>k, '''') and ends_with(j->>k, '''') and length(j->>k) > 1
+           then regexp_replace((j->>k)[2:-2], '\\(.)', '\1', 'g') else j->>k end) c
+  from e, dump where (e.f, e.p) >= (dump.f, dump.p)),
+r as (
+  select try_cast(c[1] as bigint) k, s, op, ks, c from v where c[1] is not null
+  union all
+  select apptid, (-1::bigint, -1::bigint, -1::bigint), 'N', ['1', '2', '3', '4'], [apptid::varchar, patientid::varchar, facilityid::varchar, appt_status]
+  from appointment_dump where coalesce(upper(trim(nd_activeflag)), 'Y') <> 'N'),
+d as (select k, max(s) ds from r where op = 'D' group by k),
+l as (select r.* from r left join d using (k) where op <> 'D' and (ds is null or s > ds))
+select k as apptid, case max_by(op, s) when 'N' then 'NONE' when 'I' then 'INSERT' else 'UPDATE' end as nd_operation,
+       try_cast((max_by([c[2]], s) filter (list_contains(ks, '2')))[1] as bigint) as patientid,
+       try_cast((max_by([c[3]], s) filter (list_contains(ks, '3')))[1] as bigint) as facilityid,
+       coalesce((max_by([c[4]], s) filter (list_contains(ks, '4')))[1], '') as appt_status
+from l group by k
+"""
+
 ORACLES = {
+    "p7_found": _P7,
     "p1_found": _P1,
     "p2_found": _P2_BODY + """
 select e as encounter_id, strftime(min(d), '%Y-%m-%d') as valid_from, coalesce(strftime(max_by(coalesce(nx, date '9999-12-31'), d), '%Y-%m-%d'), '9999-12-31') as valid_to
