@@ -327,9 +327,9 @@ def assign_subjects(
     s = settings or Settings()
     spark = docs.sparkSession
     clean = lambda c: F.lower(F.trim(c))
-    rows = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull() & (F.length(F.trim(text)) > 0))
-    rows = rows.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.substring(clean(F.col(lang)), 1, 2), F.lit("")).alias("lang"))
-    rows = spread(rows)
+    raw = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull() & (F.length(F.trim(text)) > 0))
+    raw = raw.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.substring(clean(F.col(lang)), 1, 2), F.lit("")).alias("lang"))
+    rows = spread(raw)
     known = area_table.select(clean(F.col(area)).alias("area")).where("area <> ''").distinct()
     marks = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), clean(F.col(area)).alias("area")).join(known, "area", "left_semi")
     marks = marks.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
@@ -342,7 +342,7 @@ def assign_subjects(
     # Languages with labelled documents, most frequent first; null counts as that one.
     langs = [r["lang"] for r in labelled.where("lang <> ''").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(50).collect()] or [""]
     labelled = spread(labelled)
-    texts = gather(rows.select("text"))
+    texts = (gather(raw) if rows is raw else rows).select("text")
     n, c = _counts(texts)
     idf = np.where(c["df"] > 0, np.log((n + 1) / (c["df"] + 0.5)), 0.0)
     m = Model(np.maximum(idf, 0), *(c[k].astype(np.int32) for k in ("inside", "ends", "starts")))
