@@ -7,6 +7,8 @@ taken per table and period at any moment.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,15 +18,17 @@ from ..session import read_pointer, write_pointer
 REF_COLS = ["child_table", "child_id", "ref_column", "ref_key", "child_time"]
 
 
-def references(df: DataFrame, child_table: str, child_id: str, ref_column: str, time_col: str) -> DataFrame:
-    """References of one column; null and blank ids are none. Numeric ids in any writing become one key."""
-    return df.select(
-        F.lit(child_table).alias("child_table"),
-        F.col(child_id).cast("bigint").alias("child_id"),
-        F.lit(ref_column).alias("ref_column"),
-        (F.col(ref_column) if dict(df.dtypes)[ref_column] in ("bigint", "int") else id_text(F.col(ref_column))).cast("string").alias("ref_key"),
-        F.col(time_col).alias("child_time"),
-    ).where(F.col("ref_key").isNotNull())
+def references(df: DataFrame, child_table: str, child_id: str, ref_columns: str | Sequence[str], time_col: str) -> DataFrame:
+    """References of one or more columns, from one scan; null and blank ids are none.
+
+    Numeric ids in any writing become one key.
+    """
+    cols = [ref_columns] if isinstance(ref_columns, str) else list(ref_columns)
+    kinds = dict(df.dtypes)
+    key = lambda c: (F.col(c) if kinds[c] in ("bigint", "int") else id_text(F.col(c))).cast("string")
+    refs = F.array(*[F.struct(F.lit(c).alias("ref_column"), key(c).alias("ref_key")) for c in cols])
+    rows = df.select(F.lit(child_table).alias("child_table"), F.col(child_id).cast("bigint").alias("child_id"), F.col(time_col).alias("child_time"), F.explode(refs).alias("_r"))
+    return rows.select("child_table", "child_id", "_r.ref_column", "_r.ref_key", "child_time").where("ref_key is not null")
 
 
 def parent_index(df: DataFrame, key: str, ref_column: str, created: str, active: str | None = None) -> DataFrame:

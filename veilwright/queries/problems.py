@@ -59,10 +59,8 @@ def _orphan_state(spark: SparkSession, sf: str) -> DataFrame:
         ("encounter_notes", "nd_auto_increment_id", ("patientid", "encounterid"), "nd_extracted_date"),
         ("encounter_mapping_table", "id", ("patientid",), "created_at"),
     ):
-        df = read_table(spark, sf, table)
-        for c in cols:
-            r = orp.references(df, table, id_col, c, at)
-            refs = r if refs is None else refs.unionByName(r)
+        r = orp.references(read_table(spark, sf, table), table, id_col, cols, at)
+        refs = r if refs is None else refs.unionByName(r)
     parents = orp.parent_index(patients, "patientid", "patientid", "created_at").unionByName(
         orp.parent_index(maps, "encounter_id", "encounterid", "created_at", "nd_activeflag")
     )
