@@ -201,3 +201,41 @@ def c24_id_validation(s, d):
     a, b = (t.select("nd_patient_id").distinct() for t in T(s, d, "patient_mapping_table", "patient_mapping_local"))
     out = a.join(b, "nd_patient_id", "left_anti").select(F.lit("missing_in_local").alias("kind")).unionByName(b.join(a, "nd_patient_id", "left_anti").select(F.lit("extra_in_local").alias("kind")))
     return out.groupBy("kind").agg(F.count("*").alias("n_ids"))
+
+
+@query("""with c as (select apptid, case when nd_operation = 'DELETE' then 'N' else coalesce(nd_activeflag, 'Y') end f from appointment_dump) select apptid, min(f) as nd_activeflag from c group by 1""")
+def c14_soft_delete(s, d):
+    """Deleted rows stay with flag N."""
+    a = T(s, d, "appointment_dump")
+    f = F.when(F.col("nd_operation") == "DELETE", "N").otherwise(F.coalesce("nd_activeflag", F.lit("Y")))
+    return a.groupBy("apptid").agg(F.min(f).alias("nd_activeflag"))
+
+
+@query("select id, count(*) as n_columns from (select id, unnest(json_keys(payload)) k from change_log) where k <> '5' group by 1")
+def c11_generated_columns(s, d):
+    """Columns the database computes are taken out of the payload."""
+    m = F.from_json("payload", "map<string,string>")
+    kept = _log(s, d).select("id", F.size(F.map_filter(m, lambda k, v: k != "5")).cast("bigint").alias("n_columns"))
+    return kept.where("n_columns > 0")
+
+
+@query("""with l as (select lower(trim(table_name)) t, upper(substr(trim(operation), 1, 1)) o, payload->>'1' k, id from change_log where binlog_pos is not null)
+select t as table_name, count(*) filter (o = 'I' and k is not null) as inserts, count(*) filter (o = 'I' and k is null) as inserts_without_key, count(*) filter (o = 'U' and k is null) as updates_skipped, count(*) filter (o = 'D') as deletes from l group by 1""")
+def c12_c13_apply_rules(s, d):
+    """Inserts need a key, updates without key are skipped, deletes are counted."""
+    l = _log(s, d).where("binlog_pos is not null").select(F.lower(F.trim("table_name")).alias("table_name"), F.upper(F.substring(F.trim("operation"), 1, 1)).alias("o"), F.get_json_object("payload", "$.1").alias("k"))
+    o, k = F.col("o"), F.col("k")
+    return l.groupBy("table_name").agg(F.count_if((o == "I") & k.isNotNull()).alias("inserts"), F.count_if((o == "I") & k.isNull()).alias("inserts_without_key"), F.count_if((o == "U") & k.isNull()).alias("updates_skipped"), F.count_if(o == "D").alias("deletes"))
+
+
+@query("select nd_auto_increment_id, coalesce(nd_operation, 'INSERT') as nd_operation, coalesce(nd_updated_at, timestamp '2024-07-01 00:00:00') as nd_updated_at from appointment_dump")
+def c32_null_fill(s, d):
+    return cdc.with_audit(T(s, d, "appointment_dump"), F.expr("timestamp_ntz'2024-07-01 00:00:00'")).select("nd_auto_increment_id", "nd_operation", "nd_updated_at")
+
+
+@query("select event_id, case user_id % 2 when 0 then 'insert_select' else 'insert' end as kind from events")
+def c30_insert_select(s, d):
+    """Inserts that copy from a query are told apart, as they can't be replayed from the log alone."""
+    sql = F.expr("case user_id % 2 when 0 then 'INSERT INTO a SELECT * FROM b' else 'INSERT INTO a SET x = 1' end")
+    f = cdc.insert_format(sql)
+    return T(s, d, "events").select("event_id", F.when(f == "INSERT_SELECT", "insert_select").otherwise("insert").alias("kind"))

@@ -583,3 +583,85 @@ def u06_full_row_dedup(s, d):
 def w06_first_open_run(s, d):
     r = T(s, d, "delta_runs").where(F.lower(F.trim("status")) != "success")
     return r.groupBy(F.lower(F.trim("table_name")).alias("table_name")).agg(F.min_by("run_id", "run_id").alias("first_run"))
+
+
+@query("""with a as (select patientid k, min(nd_patient_id) v from patient_mapping_table group by 1), b as (select patientid k, min(nd_patient_id) v from encounter_mapping_table group by 1)
+select coalesce(a.k, b.k) as id, case when b.k is null then 'missing_in_dest' when a.k is null then 'extra_in_dest' else 'mismatch' end as issue, a.v::varchar as source_value, b.v::varchar as dest_value
+from a full join b on a.k = b.k where a.k is null or b.k is null or a.v is distinct from b.v""")
+def j11_typed_diff(s, d):
+    a, b = (t.groupBy(F.col("patientid").alias("id")).agg(F.min("nd_patient_id").alias("v")) for t in T(s, d, "patient_mapping_table", "encounter_mapping_table"))
+    return qc.delta_identity(a, b, "id", "v", restrict=False)
+
+
+@query("select nd_auto_increment_id, encounterid from enc_staging where nd_auto_increment_id in (select nd_auto_increment_id from encounter_notes)")
+def j12_semi_restrict(s, d):
+    a, b = T(s, d, "enc_staging", "encounter_notes")
+    return sources.lookup(a.select("nd_auto_increment_id", "encounterid"), "nd_auto_increment_id", b, "nd_auto_increment_id")
+
+
+@query("select p_partkey, l_orderkey, l_quantity from part, lineitem where p_partkey = l_partkey and p_size > 25")
+def j14_comma_join(s, d):
+    p, l = T(s, d, "part", "lineitem")
+    return p.where("p_size > 25").join(l, p["p_partkey"] == l["l_partkey"]).select("p_partkey", "l_orderkey", "l_quantity")
+
+
+@query("""select n.nd_auto_increment_id, m.n_phones from encounter_notes n left join (select nd_patient_id, count(distinct umobileno) n_phones from pii_data_table group by 1) m on n.nd_patient_id = m.nd_patient_id""")
+def j20_pii_lookup(s, d):
+    n, p = T(s, d, "encounter_notes", "pii_data_table")
+    m = p.groupBy("nd_patient_id").agg(F.countDistinct("umobileno").alias("n_phones"))
+    return n.select("nd_auto_increment_id", "nd_patient_id").join(m, "nd_patient_id", "left").select("nd_auto_increment_id", "n_phones")
+
+
+@query("select 'documents' as table_name, count(*) as n_rows from documents union all select 'enc_staging', count(*) from enc_staging union all select 'lineitem', count(*) from lineitem")
+def a01_s08_row_counts(s, d):
+    out = None
+    for t in ("documents", "enc_staging", "lineitem"):
+        x = T(s, d, t).agg(F.lit(t).alias("table_name"), F.count("*").alias("n_rows"))
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@query("select sum(case when enc_date is null then 1 else 0 end)::bigint as nulls_before, sum(case when enc_date is null then 1 else 0 end)::bigint as nulls_after from enc_staging")
+def a19_null_delta(s, d):
+    """Nulls of a column before and after its rule."""
+    e = T(s, d, "enc_staging").select("enc_date", rules.shift(F.col("enc_date"), F.lit(5), typed=True).alias("after"))
+    return e.agg(F.count_if(F.col("enc_date").isNull()).alias("nulls_before"), F.count_if(F.col("after").isNull()).alias("nulls_after"))
+
+
+@query("select encounter_id, min(nd_patient_id) as nd_patient_id from encounter_mapping_table group by 1")
+def w05_first_per_key(s, d):
+    w = Window.partitionBy("encounter_id").orderBy(F.col("nd_patient_id").asc_nulls_last())
+    return T(s, d, "encounter_mapping_table").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("encounter_id", "nd_patient_id")
+
+
+@query("select o_orderkey, o_totalprice from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")
+def l06_rows_of_ids(s, d):
+    o, c = T(s, d, "orders", "customer")
+    return sources.lookup(o.select("o_orderkey", "o_totalprice", "o_custkey"), "o_custkey", c.where("c_mktsegment = 'BUILDING'"), "c_custkey").select("o_orderkey", "o_totalprice")
+
+
+@query("""with m as (select nd_patient_id k, min(patientid) p from patient_mapping_table group by 1)
+select e.id, p as resolved_patientid, e.nd_patient_id as resolved_nd_patient_id from encounter_mapping_table e left join m on e.nd_patient_id = m.k""")
+def m20_resolved_identifiers(s, d):
+    e, p = T(s, d, "encounter_mapping_table", "patient_mapping_table")
+    m = p.groupBy("nd_patient_id").agg(F.min("patientid").alias("p"))
+    return rs.map_join(e.select("id", "nd_patient_id"), m, "nd_patient_id", "nd_patient_id", "_m").select("id", F.col("p_m").alias("resolved_patientid"), F.col("nd_patient_id").alias("resolved_nd_patient_id"))
+
+
+@query(f"""with {_CUST}, old as (select o_orderkey e, nd_patient_id n, nd_patient_id * 10000 + row_number() over (partition by nd_patient_id order by o_orderdate, o_orderkey) x from orders join cmap on o_custkey = patientid where o_orderdate < timestamp '1996-01-01'),
+top as (select n, max(x) m from old group by 1)
+select o_orderkey as encounter_id, o_custkey as patientid, nd_patient_id, coalesce(m, nd_patient_id * 10000) + row_number() over (partition by nd_patient_id order by o_orderdate, o_orderkey) as nd_encounter_id
+from orders join cmap on o_custkey = patientid left join top on nd_patient_id = n where o_orderdate >= timestamp '1996-01-01'""")
+def m08_encounter_delta(s, d):
+    """New encounters go on from each patient's highest number."""
+    o = T(s, d, "orders").select(F.col("o_orderkey").alias("encounter_id"), F.col("o_custkey").alias("patientid"), F.col("o_orderdate").alias("encounter_date"))
+    pats = _customers(s, d)
+    old = mp.encounter_surrogates(o.where("encounter_date < timestamp'1996-01-01 00:00:00'"), pats)
+    return mp.encounter_surrogates(o, pats, old).select("encounter_id", "patientid", "nd_patient_id", "nd_encounter_id")
+
+
+@query("""select nd_auto_increment_id, coalesce(try_strptime(t, '%m/%d/%Y'), try_strptime(t, '%Y-%m-%d')) as read_as from (select nd_auto_increment_id, case when facilityid % 2 = 0 then strftime(dob, '%m/%d/%Y') else strftime(dob, '%Y-%m-%d') end t from pii_data_table)""")
+def r13_notation_by_row(s, d):
+    """The notation is found for each row, not for a sample of the column."""
+    t = F.when(F.col("facilityid") % 2 == 0, F.date_format("dob", "MM/dd/yyyy")).otherwise(F.date_format("dob", "yyyy-MM-dd"))
+    return T(s, d, "pii_data_table").select("nd_auto_increment_id", rules.parse_any(t).alias("read_as"))

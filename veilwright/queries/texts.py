@@ -10,6 +10,7 @@ from pyspark.sql import types as Ty
 
 from ..functions import notes as nt
 from ..operators import documents as dc
+from ..session import spread
 from .structured import T
 
 QUERIES: dict = {}
@@ -93,16 +94,15 @@ def n25_licence(s, d):
     return T(s, d, "documents").select("doc_id", nt.mask_licence(t).alias("text"))
 
 
-@query(r"""select doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) as text from documents where text is null or not regexp_matches(text, '[^ -~\n\t\r]|\d|www|http')""")
+@query(r"""select doc_id, trim(regexp_replace(text, '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) as text from documents""")
 def n20_squeeze(s, d):
-    t = T(s, d, "documents").where(F.col("text").isNull() | ~F.col("text").rlike(r"[^ -~\n\t\r]|\d|www|http"))
-    return t.select("doc_id", nt.generic_chain(F.col("text")).alias("text"))
+    return T(s, d, "documents").select("doc_id", nt.squeeze_spaces(F.col("text")).alias("text"))
 
 
 @query("select o_orderkey, 'seen  ' || strftime(o_orderdate::date + interval 10 day, '%Y-%m-%d') || '  and  ' || strftime(date_trunc('second', o_orderdate) + interval 10 day, '%Y-%m-%d %H:%M:%S') || '  end' as text from orders")
 def n24_r15_dates_in_text(s, d):
     t = F.concat(F.lit("seen "), F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit(" and "), F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" end"))
-    return T(s, d, "orders").select("o_orderkey", nt.shift_dates_in_text(t, F.lit(10)).alias("text"))
+    return spread(T(s, d, "orders")).select("o_orderkey", nt.shift_dates_in_text(t, F.lit(10)).alias("text"))
 
 
 @query()
@@ -175,3 +175,93 @@ def s26_document_scan(s, d):
     bins = n.select(F.col("facilityid").alias("bintypeid"), F.col("facilityid").alias("documentid"), "nd_auto_increment_id", "content")
     docs = f.groupBy(F.col("facilityid").alias("documentid")).agg(F.min("facility_name").alias("facility_name"))
     return dc.scan_documents(bins, docs, [101, 102, 103]).select("nd_auto_increment_id", F.col("documentid").alias("facilityid"), "facility_name", "content")
+
+
+# --- further masks and sections -----------------------------------------------------------------
+@query("select nd_auto_increment_id, 'policy ((INSURANCE)) and ((INSURANCE)) of ((MEMBER))' as content from pii_data_table where nd_patient_id is not null")
+def n08_secondary_masks(s, d):
+    """Several rows of a secondary table per patient, all of whose values are masked."""
+    p = T(s, d, "pii_data_table").where("nd_patient_id is not null")
+    ids = p.select("nd_patient_id").distinct()
+    number = lambda k: F.concat(F.lit(f"POL{k}"), F.col("nd_patient_id").cast("string"))
+    sec = ids.select("nd_patient_id", number(1).alias("no"), F.lit("Family Plan").alias("plan")).unionByName(ids.select("nd_patient_id", number(2).alias("no"), F.lit("Family Plan").alias("plan")))
+    pats = nt.patient_patterns(sec, "nd_patient_id", {"((INSURANCE))": ["no"], "((MEMBER))": ["plan"]})
+    notes = p.select("nd_auto_increment_id", "nd_patient_id", F.concat(F.lit("policy "), number(2), F.lit(" and "), F.lower(number(1)), F.lit(" of FAMILY plan")).alias("content"))
+    return nt.apply_patient_patterns(notes, "content", "nd_patient_id", pats, ["((INSURANCE))", "((MEMBER))"]).select("nd_auto_increment_id", "content")
+
+
+@query("select p_partkey, 'see ((Address)) at ((FacilityLocation))' as text from part")
+def n26_n27_configured_places(s, d):
+    t = F.concat(F.lit("see "), (F.col("p_size") + 1).cast("string"), F.lit(" Elm Street at North Wing"))
+    return T(s, d, "part").select("p_partkey", nt.generic_chain(t, address=[r"\b\d+ \w+ Street\b"], facility=["North Wing"]).alias("text"))
+
+
+@query("select nd_auto_increment_id, '<a><b>' || replace(replace(replace(ufname, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') || '</b></a>' as xml from pii_data_table where ufname is not null")
+def d02_clean_xml(s, d):
+    raw = F.concat(F.lit("<a>\x01<b>"), F.replace(F.replace(F.replace("ufname", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit("</b></a>"))
+    return T(s, d, "pii_data_table").where("ufname is not null").select("nd_auto_increment_id", dc.clean_xml_udf(F.encode(raw, "UTF-8")).alias("xml"))
+
+
+def _sections(s, d, body: str):
+    """Sections of documents made from the nations: %1$s is the name, %2$s the region's number."""
+    doc = F.format_string('{"levelone": {"body": {"section": [' + body + "]}}}", F.col("n_name"), F.col("n_regionkey").cast("string"))
+    return T(s, d, "nation").select("n_nationkey", dc.document_udf(doc).alias("x")).select("n_nationkey", "x.sections", "x.text")
+
+
+@query("""select n_nationkey, '{"Assessment": [{"description": "' || n_name || '", "code": "E' || n_regionkey || '"}, {"description": "old", "code": "J1"}]}' as sections,
+'Assessment:' || chr(10) || '    description: ' || n_name || chr(10) || '    code: E' || n_regionkey || chr(10) || '    description: old' || chr(10) || '    code: J1' as text from nation""")
+def d19_assessment(s, d):
+    return _sections(s, d, '{"caption": "Assessment", "list": {"item": [{"content": [{"coded_entry": {"coded_entry.value": {"@V": "E%2$s"}}, "#text": "%1$s"}, {"dxdesc": "old", "dxcode": "J1"}]}]}}')
+
+
+@query("""select n_nationkey, '{"Review of Systems": {"' || n_name || '": {"Denies": ["pain"], "Admits": ["a", "b"]}}}' as sections,
+'Review of Systems:' || chr(10) || '    ' || n_name || ':' || chr(10) || '        Denies:' || chr(10) || '            - pain' || chr(10) || '        Admits:' || chr(10) || '            - a' || chr(10) || '            - b' as text from nation""")
+def d18_review_of_systems(s, d):
+    return _sections(s, d, '{"caption": "Review of Systems", "section": [{"caption": {"#text": "%1$s"}, "list": {"item": [{"caption": "Denies", "content": "pain"}, {"caption": "Admits", "content": ["a", "b"]}, {"caption": "Region %2$s", "content": "x"}]}}]}')
+
+
+@query("""select n_nationkey, '{"Physical Examination": {"Skin": {"Arm": {"Left": "' || n_name || '"}, "Leg": "' || n_regionkey || '"}}}' as sections,
+'Physical Examination:' || chr(10) || '    Skin:' || chr(10) || '        Arm:' || chr(10) || '            Left: ' || n_name || chr(10) || '        Leg: ' || n_regionkey as text from nation""")
+def d16_d17_examination(s, d):
+    return _sections(s, d, '{"caption": "Physical Examination", "section": {"caption": "Skin", "list": {"item": [{"caption": "Arm", "content": {"list": {"item": {"caption": "Left", "content": "%1$s"}}}}, {"caption": "Leg", "content": "%2$s"}]}}}')
+
+
+@query("""select n_nationkey, '{"Plan": {"Orders": ["' || n_name || '", "rest ' || n_regionkey || '"]}}' as sections, 'Plan:' || chr(10) || '    Orders:' || chr(10) || '        - ' || n_name || chr(10) || '        - rest ' || n_regionkey as text from nation""")
+def d20_plan(s, d):
+    return _sections(s, d, '{"caption": "Plan", "section": [{"caption": "Orders", "list": {"item": [{"content": {"#text": "%1$s"}}, {"content": "rest %2$s"}]}}]}')
+
+
+@query("""select n_nationkey, '{"Social": {"Smoking": {"Status": "' || n_name || '", "Notes": "n"}, "Diet": null, "Pets": {"Status": "N/A"}}}' as sections,
+'Social:' || chr(10) || '    Smoking:' || chr(10) || '        Status: ' || n_name || chr(10) || '        Notes: n' || chr(10) || '    Diet: None' || chr(10) || '    Pets:' || chr(10) || '        Status: N/A' as text from nation""")
+def d13_table_section(s, d):
+    return _sections(s, d, '{"caption": "Social", "table": {"tr": [{"th": ["h"]}, {"td": [{"#text": "Smoking"}, "%1$s", "--", "", "n"]}, {"td": ["Diet", "--", " -- "]}, {"td": "Pets"}]}}')
+
+
+@query("""select n_nationkey, '{"Vitals": {"Date": "01/02/2020", "Time": "10:30 AM", "BP": "120/8' || n_regionkey || '", "Position": "Sitting", "TEMP( F)": "98.6", "L\\\\R": "L", "Cuff": "Adult", "WT": "150", "HT": null, "BMI": "24.2", "BSA": "1.8"}, "Other": {"Raw_Vitals": "x"}}' as sections from nation""")
+def d14_vitals(s, d):
+    out = _sections(s, d, '{"caption": "Vitals", "local_markup": "Date BP 01/02/2020 10:30 AM 120/8%2$s Sitting 98.6 L Adult 150 24.2 1.8"}')
+    other = F.regexp_replace("sections", r"\}\}$", '}, "Other": {"Raw_Vitals": "x"}}')
+    return out.select("n_nationkey", other.alias("sections"))
+
+
+@query("""select n_nationkey, '{"History": "' || n_name || ' has pain"}' as sections, 'History: ' || n_name || ' has pain' as text from nation""")
+def d15_markup_text(s, d):
+    return _sections(s, d, '{"caption": "History", "local_markup": {"datahtml": ".c1 { color: red } %1$s&nbsp;has   pain"}}')
+
+
+@query("""select n_nationkey, '{"Dear": "' || n_name || '", "Re": "Re: visit\\nmore", "Content_2": "closing ' || n_regionkey || '"}' as sections from nation""")
+def d21_letter(s, d):
+    return _sections(s, d, '{"caption": null, "paragraph": [{"@title": "Dear", "content": "%1$s"}, {"content": ["Re: visit", "more"]}, {"content": "closing %2$s"}]}').select("n_nationkey", "sections")
+
+
+@query("""select n_nationkey, 'History' as sections_category, n_name as sections from nation union all select n_nationkey, 'Chief', '["a"]' from nation""")
+def d23_batch_to_rows(s, d):
+    """XML to JSON to sections to (category, value) rows in one plan."""
+    xml = F.concat(F.lit("<levelone><body><section><caption>History</caption><content>"), "n_name", F.lit("</content></section><section><caption>Chief</caption><list><item><content>a</content></item></list></section></body></levelone>"))
+    docs = T(s, d, "nation").select("n_nationkey", dc.document_udf(dc.xml_to_json_udf(xml)).alias("x")).select("n_nationkey", "x.sections")
+    return dc.explode_pairs(docs, "sections")
+
+
+@query("select n_nationkey, '{\"section\":[]}' as body from nation")
+def d11_body(s, d):
+    return T(s, d, "nation").select("n_nationkey", dc.body_json(F.lit('{"levelone": {"body": {"section": []}}}')).alias("body"))
