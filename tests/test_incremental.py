@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from veilwright.operators.incremental import RecordState, records_to_process, taken_by_runs, transitions, windows_of_runs
+from veilwright.operators.incremental import RecordState, deliveries, records_to_process, taken_by_runs, transitions, windows_of_runs
 from veilwright.session import scratch_path
 
 SCHEMA = "nd_auto_increment_id bigint, v string, w string, nd_operation string, nd_extracted_date timestamp_ntz, nd_updated_at timestamp_ntz"
@@ -61,8 +61,8 @@ def test_against_brute_force(spark):
 def test_hot_keys_go_by_slab(spark):
     rnd = random.Random(5)
     data = [(rnd.randint(1, 3), rnd.choice("ab"), "x", n, None) for n in range(400)]
-    a = transitions(rows(spark, data), "nd_auto_increment_id", ["nd_extracted_date", "nd_updated_at"], ["nd_operation"])
-    b = transitions(rows(spark, data), "nd_auto_increment_id", ["nd_extracted_date", "nd_updated_at"], ["nd_operation"], hot=5)
+    d = deliveries(rows(spark, data), "t", "nd_auto_increment_id", ["nd_extracted_date", "nd_updated_at"], ["nd_operation"])
+    a, b = transitions(d), transitions(d, hot=5)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
 
@@ -82,14 +82,14 @@ def test_windows_merge_and_open_ends(spark):
 def test_state_survives_a_run_that_dies(spark):
     state = RecordState(spark, scratch_path(spark, "test-state"))
     first = rows(spark, [(1, "a", "", 1, None), (2, "b", "", 1, None)])
-    cur = transitions(first, "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]).select(F.lit("t").alias("table_name"), "*")
+    cur = transitions(deliveries(first, "t", "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]))
     assert state.pending(cur).count() == 2
     state.commit(state.pending(cur))
     # files of a version without the pointer: a run that died before its commit
     cur.write.parquet(f"{state.path}/v=00000002")
     assert state.version() == 1
     later = rows(spark, [(1, "a", "", 1, None), (1, "A", "", 2, None), (2, "b", "", 1, None), (3, "c", "", 2, None)])
-    cur2 = transitions(later, "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]).select(F.lit("t").alias("table_name"), "*")
+    cur2 = transitions(deliveries(later, "t", "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]))
     pending = state.pending(cur2)
     assert {r["rec_key"] for r in pending.collect()} == {1, 3}
     state.commit(pending)
@@ -101,5 +101,5 @@ def test_empty_table_and_clashing_names(spark):
     df = rows(spark, [(1, "a", "", 1, None)]).select("*", F.lit(1).alias("ts"), F.lit(2).alias("hash"), F.lit(3).alias("prev"), F.lit("x").alias("rec_key"), F.lit("x").alias("windows"))
     got = records_to_process({"t": (df, "nd_auto_increment_id")}, runs(spark, [(5, 9)])).collect()
     assert [tuple(r) for r in got] == [("t", 1)]
-    cur = transitions(df, "nd_auto_increment_id", ["nd_extracted_date"]).select(F.lit("t").alias("table_name"), "*")
+    cur = transitions(deliveries(df, "t", "nd_auto_increment_id", ["nd_extracted_date"]))
     assert taken_by_runs(cur, runs(spark, [(0, 2)])).count() == 1

@@ -27,21 +27,25 @@ def _latest(cols: Sequence[str]) -> Column:
     return present[0] if len(present) == 1 else F.greatest(*present)
 
 
-def transitions(
-    df: DataFrame, key: str, time_cols: Sequence[str], ignore: Sequence[str] = (), hot: int = HOT_KEY_DELIVERIES
-) -> DataFrame:
-    """``(rec_key, ts, hash)`` of each delivery that shows a new state of its record.
-
-    Order is by ``ts``, the latest of ``time_cols`` that isn't null; deliveries without
-    a time come first; equal times are ordered by hash. Repeated rows count once. A null
-    key is a record of its own. Records whose content never changes are settled by one
-    aggregation with map-side combine; only the rest is sorted, and keys with more than
-    ``hot`` deliveries are sorted in monthly slabs whose borders are compared afterwards.
-    """
+def deliveries(df: DataFrame, name: str, key: str, time_cols: Sequence[str], ignore: Sequence[str] = ()) -> DataFrame:
+    """``(table_name, rec_key, ts, hash)``: a row per delivery with its time, the latest of ``time_cols``
+    that isn't null, and the hash of all columns but the key, ``time_cols`` and ``ignore``."""
     skip = {key, *time_cols, *ignore}
     content = [c for c in df.columns if c not in skip]
-    rows = df.select(F.col(key).alias("rec_key"), _latest(time_cols).alias("ts"), content_hash(content).alias("hash"))
-    per_key = rows.groupBy("rec_key").agg(
+    return df.select(F.lit(name).alias("table_name"), F.col(key).alias("rec_key"), _latest(time_cols).alias("ts"), content_hash(content).alias("hash"))
+
+
+def transitions(rows: DataFrame, hot: int = HOT_KEY_DELIVERIES) -> DataFrame:
+    """``(table_name, rec_key, ts, hash)`` of each delivery that shows a new state of its record.
+
+    Order is by ``ts``; deliveries without a time come first; equal times are ordered by
+    hash. Repeated rows count once. A null key is a record of its own. Records whose
+    content never changes are settled by one aggregation with map-side combine; only the
+    rest is sorted, and keys with more than ``hot`` deliveries are sorted in monthly slabs
+    whose borders are compared afterwards.
+    """
+    rec = ["table_name", "rec_key"]
+    per_key = rows.groupBy(*rec).agg(
         F.count("*").alias("n"),
         F.min("hash").alias("lo"),
         F.max("hash").alias("hi"),
@@ -50,28 +54,25 @@ def transitions(
     )
     per_key = materialize(per_key, "p1-keys")
     steady = per_key.where("lo = hi").select(
-        "rec_key", F.when(F.col("n_null") > 0, None).otherwise(F.col("first_ts")).alias("ts"), F.col("lo").alias("hash")
+        *rec, F.when(F.col("n_null") > 0, None).otherwise(F.col("first_ts")).alias("ts"), F.col("lo").alias("hash")
     )
-    changing = per_key.where("lo <> hi").select(F.col("rec_key").alias("k"), (F.col("n") > hot).alias("is_hot"))
-    some = rows.join(changing, F.col("rec_key").eqNullSafe(F.col("k"))).groupBy("rec_key", "is_hot", "ts", "hash").count()
+    changing = per_key.where("lo <> hi").select(F.col("table_name").alias("t"), F.col("rec_key").alias("k"), (F.col("n") > hot).alias("is_hot"))
+    same = (F.col("table_name") == F.col("t")) & F.col("rec_key").eqNullSafe(F.col("k"))
+    some = rows.join(changing, same).groupBy(*rec, "is_hot", "ts", "hash").count()
     some = some.withColumn("slab", F.when(F.col("is_hot") & F.col("ts").isNotNull(), F.date_format("ts", "yyyyMM").cast("int")).otherwise(0))
-    inner = Window.partitionBy("rec_key", "slab").orderBy(F.col("ts").asc_nulls_first(), "hash")
+    inner = Window.partitionBy(*rec, "slab").orderBy(F.col("ts").asc_nulls_first(), "hash")
     marked = some.withColumn("prev", F.lag("hash").over(inner)).withColumn("at", F.row_number().over(inner))
     # Borders of slabs: the last hash of the slab before. Only hot keys have more than one slab.
-    borders = some.where("is_hot").groupBy("rec_key", "slab").agg(
+    borders = some.where("is_hot").groupBy(*rec, "slab").agg(
         F.max_by("hash", F.struct(F.col("ts").isNotNull(), "ts", "hash")).alias("last")
     )
-    outer = Window.partitionBy("rec_key").orderBy("slab")
-    borders = borders.select(F.col("rec_key").alias("bk"), F.col("slab").alias("bs"), F.lag("last").over(outer).alias("before"))
+    outer = Window.partitionBy(*rec).orderBy("slab")
+    borders = borders.select(F.col("table_name").alias("t"), F.col("rec_key").alias("k"), F.col("slab").alias("bs"), F.lag("last").over(outer).alias("before"))
     first = (F.col("at") == 1) & F.col("is_hot")
-    cold = marked.where(~first).select("rec_key", "ts", "hash", "prev")
-    warm = (
-        marked.where(first)
-        .join(borders, F.col("rec_key").eqNullSafe(F.col("bk")) & (F.col("slab") == F.col("bs")), "left")
-        .select("rec_key", "ts", "hash", F.col("before").alias("prev"))
-    )
+    cold = marked.where(~first).select(*rec, "ts", "hash", "prev")
+    warm = marked.where(first).join(borders, same & (F.col("slab") == F.col("bs")), "left").select(*rec, "ts", "hash", F.col("before").alias("prev"))
     moved = cold.unionByName(warm).where(F.col("prev").isNull() | (F.col("prev") != F.col("hash")))
-    return steady.unionByName(moved.select("rec_key", "ts", "hash"))
+    return steady.unionByName(moved.select(*rec, "ts", "hash"))
 
 
 def windows_of_runs(runs: DataFrame) -> DataFrame:
@@ -147,14 +148,11 @@ def records_to_process(tables: dict[str, tuple[DataFrame, str]], runs: DataFrame
     delivery columns count as content.
     """
     spark = runs.sparkSession
-    parts = [
-        transitions(df, key, ["nd_extracted_date", "nd_updated_at"], ["nd_operation"]).select(F.lit(name.lower()).alias("table_name"), "rec_key", "ts", "hash")
-        for name, (df, key) in tables.items()
-    ]
-    current = parts[0]
-    for p in parts[1:]:
-        current = current.unionByName(p)
-    current = materialize(current, "p1-transitions")
+    rows = None
+    for name, (df, key) in tables.items():
+        part = deliveries(df, name.lower(), key, ["nd_extracted_date", "nd_updated_at"], ["nd_operation"])
+        rows = part if rows is None else rows.unionByName(part)
+    current = materialize(transitions(rows), "p1-transitions")
     if state is None:
         state = RecordState(spark, scratch_path(spark, "p1-state"))
         state.commit(taken_by_runs(current, runs))
