@@ -45,7 +45,7 @@ class Settings:
     min_margin: float = 0.10  # over the best other area
     min_sentences: int = 2
     long_words: int = 8  # runs of more words are tested for missing sentence ends
-    min_seed_docs: int = 5
+    min_seed_docs: int = 2  # labelled documents that make a centroid of an area and language
     seed: int = 7
 
 
