@@ -171,17 +171,7 @@ select k as apptid, case max_by(op, s) when 'N' then 'NONE' when 'I' then 'INSER
 from l group by k
 """
 
-ORACLES = {
-    "p7_found": _P7,
-    "p1_found": _P1,
-    "p2_found": _P2_BODY + """
-select e as encounter_id, strftime(min(d), '%Y-%m-%d') as valid_from, coalesce(strftime(max_by(coalesce(nx, date '9999-12-31'), d), '%Y-%m-%d'), '9999-12-31') as valid_to
-from i group by e, g""",
-    "p2_versions": _P2_BODY + """
-select e as encounter_id, any_value(ne) as nd_encounter_id, any_value(np) as nd_patient_id, any_value(a) as active, strftime(min(d), '%Y-%m-%d') as valid_from,
-       strftime(max_by(coalesce(nx, date '9999-12-31'), d), '%Y-%m-%d') as valid_to, count(*) as n_snapshots
-from i group by e, g""",
-    "p5_found": """
+_P5 = """
 with refs as (
   select 'enc_staging' ct, nd_auto_increment_id id, 'patientid' rc, patientid k, nd_extracted_date ts from enc_staging
   union all select 'enc_staging', nd_auto_increment_id, 'encounterid', encounterid, nd_extracted_date from enc_staging
@@ -196,7 +186,21 @@ par as (
   from encounter_mapping_table group by encounter_id),
 j as (select refs.*, case when alive is null then 'missing' when not alive then 'deleted' when since > ts then 'late' end kind
       from refs left join par using (rc, k) where k is not null)
-select distinct ct as child_table, id as child_id, rc as ref_column, kind from j where kind is not null""",
+"""
+
+ORACLES = {
+    "p7_found": _P7,
+    "p1_found": _P1,
+    "p2_found": _P2_BODY + """
+select e as encounter_id, strftime(min(d), '%Y-%m-%d') as valid_from, coalesce(strftime(max_by(coalesce(nx, date '9999-12-31'), d), '%Y-%m-%d'), '9999-12-31') as valid_to
+from i group by e, g""",
+    "p2_versions": _P2_BODY + """
+select e as encounter_id, any_value(ne) as nd_encounter_id, any_value(np) as nd_patient_id, any_value(a) as active, strftime(min(d), '%Y-%m-%d') as valid_from,
+       strftime(max_by(coalesce(nx, date '9999-12-31'), d), '%Y-%m-%d') as valid_to, count(*) as n_snapshots
+from i group by e, g""",
+    "p5_found": _P5 + """select distinct ct as child_table, id as child_id, rc as ref_column, kind from j where kind is not null""",
+    "p5_counts": _P5 + """select ct as child_table, rc as ref_column, kind, strftime(date_trunc('month', ts), '%Y-%m-%d') as period, count(distinct id) as n_records, count(*) as n_references
+from (select distinct ct, id, rc, k, ts, kind from j where kind is not null) group by 1, 2, 3, 4""",
     "p6_found": """
 with m as (
   select nd_patient_id k, patientid p, offset_days o, date_trunc('second', registration_date) r, excluded e
