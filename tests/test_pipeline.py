@@ -102,3 +102,19 @@ def test_gate_delta_audit_and_logs(spark, project, tmp_path, capsys, monkeypatch
     master.write.parquet(f"{tmp_path}/master")
     assert cli.main(["qc-audit", "--notes", f"{tmp_path}/notes", "--master", f"{tmp_path}/master", "--content", "a", "b"], spark) == 1
     assert '"failed": 2' in capsys.readouterr().out
+
+
+def test_notes_are_masked_or_refused(spark, project):
+    cfg, _, dst = project
+    spark.createDataFrame([(1, "101.0", 5001, "Ann LEE (101), visit 5001\tborn 06/15/1985, seen 2020-01-01, call 713-555-0192, ann.lee@x.test"), (2, None, 5001, "chart of 101, not 1012"), (3, "101", None, None), (5, "101", None, "ANNÉ NÚÑEZ"), (4, "999", None, "Ann Lee")], "k bigint, patientid string, enc bigint, body string").write.parquet(f"{cfg.source}/letters.parquet")
+    spark.createDataFrame([(1001, "Ann", "Lee", date(1985, 6, 15), "ann.lee@x.test"), (1001, "Anné", "Núñez", None, None)], "nd_patient_id bigint, FName string, lname string, dob date, email string").write.parquet(f"{cfg.source}/master.parquet")
+    cfg.rules["letters"] = {"patientid": "PATIENT_ID", "enc": "ENCOUNTER_ID", "body": "NOTES"}
+    rep = run_tables(spark, cfg, ["letters"]).first()
+    assert rep["status"] == "failed" and "notes" in rep["error"]
+    cfg.notes = {"tables": [{"table": "master", "mask": {"((EMAIL))": ["email"], "((LAST_NAME))": ["lname"], "((FIRST_NAME))": ["fname"]}, "dob": ["dob"], "combine": {"((NAME))": ["fname", "lname"]}}]}
+    rep = run_tables(spark, cfg, ["letters"]).first()
+    assert (rep["status"], rep["n_out"], rep["n_rejected"]) == ("completed", 4, 1)
+    got = {r["k"]: r["body"] for r in spark.read.parquet(f"{dst}/letters.parquet").collect()}
+    assert got == {1: "((FIRST_NAME)) ((LAST_NAME)) (1001), visit 10010001 born 1985, seen  2020-01-31 , call ((PHONE_NUMBER)), ((EMAIL))", 2: "chart of 1001, not 1012", 3: "", 5: "((FIRST_NAME)) ((LAST_NAME))"}
+    cfg.notes["tables"][0]["mask"]["((X))"] = ["absent"]
+    assert "absent" in run_tables(spark, cfg, ["letters"]).first()["error"]

@@ -82,7 +82,7 @@ def any_word(values: Column, min_length: int = 2) -> Column:
     """Pattern of the whole words of an array, any case, longest first, or null; only texts longer than ``min_length``."""
     vals = F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(v)), lambda v: v.isNotNull() & (F.length(v) > min_length)))
     order = F.array_sort(vals, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
-    return F.when(F.size(order) > 0, F.concat(F.lit(r"(?i)\b(?:"), F.array_join(F.transform(order, quoted), "|"), F.lit(r")\b")))
+    return F.when(F.size(order) > 0, F.concat(F.lit(r"(?iU)\b(?:"), F.array_join(F.transform(order, quoted), "|"), F.lit(r")\b")))
 
 
 def combined_words(cols: Sequence[Column]) -> Column:
@@ -230,3 +230,48 @@ def apply_patient_patterns(notes: DataFrame, text: str, key: str, pats: DataFram
     for i, m in enumerate(combine_masks):
         t = replace_pattern(t, F.col(f"q{i}"), m)
     return j.withColumn(text, t).select(*notes.columns)
+
+
+def id_pattern(ids: Column) -> Column:
+    """Pattern of the numbers of an array where they aren't part of longer ones, or null."""
+    vals = F.array_distinct(F.filter(F.transform(ids, lambda v: F.regexp_replace(F.trim(v.cast("string")), r"\.0+$", "")), lambda v: v.isNotNull() & (v != "")))
+    return F.when(F.size(vals) > 0, F.concat(F.lit(r"(?<!\d)(?:"), F.array_join(F.transform(vals, quoted), "|"), F.lit(r")(?!\d)")))
+
+
+def mask_notes(rows: DataFrame, cols: Sequence[str], patient: str, offset: str, ids: Sequence[tuple[Column, Column, str]], own_ids: DataFrame, tables: Sequence[Mapping], regex: Sequence = (), replace: Mapping[str, str] | Sequence[Mapping[str, str]] = (), address: Sequence[str] = (), facility: Sequence[str] = ()) -> DataFrame:
+    """The whole chain over note columns, in its order: normalising, ids, XML tags, the patient's values, generic masks.
+
+    ``ids`` are the row's own ids as for :func:`key_ids`; ``own_ids(key, id)`` holds every
+    id of a patient, so that those that only the text names are replaced as well.
+    ``tables`` are master tables, the primary one first, each as ``table``, ``key``,
+    ``mask``, ``dob`` and ``combine``; the patterns of ``regex`` and words of ``replace``
+    come after the primary one. Each step is a projection of its own, as a step reads
+    the text more than once.
+    """
+    from ..operators.documents import mask_xml_udf
+
+    names, cur = rows.columns, rows
+    step = lambda df, f: df.withColumns({c: f(F.col(c)) for c in cols})
+    cur = step(cur, lambda t: normalise(t.cast("string")))
+    for one in ids:
+        cur = step(cur, lambda t, one=one: key_ids(t, [one]))
+    own = own_ids.where(F.col("key").isNotNull()).groupBy(F.col("key").alias("_ik")).agg(id_pattern(F.collect_set("id")).alias("_ip"))
+    cur = cur.join(own, F.col(patient) == F.col("_ik"), "left")
+    cur = step(cur, lambda t: F.when(F.col("_ip").isNull(), t).otherwise(F.regexp_replace(t, F.col("_ip"), F.col(patient).cast("string"))))
+    cur = step(cur.select(*names), mask_xml_udf)
+    for i, m in enumerate(tables):
+        mask, dob, combine = m.get("mask", {}), m.get("dob", []), m.get("combine", {})
+        pats = patient_patterns(m["table"], m["key"], mask, combine).withColumnRenamed(m["key"], "_pk")
+        cur = cur.join(pats, F.col(patient) == F.col("_pk"), "left")
+        for k, token in enumerate(mask):
+            cur = step(cur, lambda t, k=k, token=token: replace_pattern(t, F.col(f"p{k}"), token))
+        if dob:
+            days = m["table"].where(F.col(m["key"]).isNotNull()).select(F.col(m["key"]).alias("_dk"), F.explode(F.array(*[F.col(c).try_cast("date") for c in dob])).alias("_d"))
+            cur = cur.join(days.groupBy("_dk").agg(F.collect_set("_d").alias("_days")), F.col(patient) == F.col("_dk"), "left")
+            cur = step(cur, lambda t: F.when(F.col("_days").isNull(), t).otherwise(F.aggregate("_days", t, birth_dates_to_year)))
+        for k, token in enumerate(combine):
+            cur = step(cur, lambda t, k=k, token=token: replace_pattern(t, F.col(f"q{k}"), token))
+        cur = cur.select(*names)
+        if i == 0:
+            cur = step(cur, lambda t: replace_values(patterns(t, regex), replace or {}))
+    return step(cur, lambda t: generic_chain(t, F.col(offset), address, facility))

@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import notes as nt
 from ..functions.rules import DEFAULT_OFFSET, RULES, rule_of
 from ..operators import resolve as rs
 
@@ -114,6 +115,37 @@ class UnsafePlan(ValueError):
     """A table can't be released as planned."""
 
 
+@dataclass
+class NotePlan:
+    """What masking of NOTES columns needs.
+
+    ``tables`` are master tables, the primary one first, each a map of ``table`` (rows by
+    patient), ``key`` (surrogate, ``nd_patient_id`` if left out), ``mask`` and ``combine``
+    (token to columns) and ``dob`` (columns).
+    """
+
+    tables: Sequence[Mapping]
+    regex: Sequence[tuple[str | Sequence[str], str]] = ()
+    replace: Mapping[str, str] | Sequence[Mapping[str, str]] = field(default_factory=dict)
+    address: Sequence[str] = ()
+    facility: Sequence[str] = ()
+
+    def ready(self, table: str) -> list[dict]:
+        """The master tables with columns in lower case; without one, without masks or with unknown columns the plan is unsafe."""
+        out = []
+        for m in self.tables:
+            low = lambda cols: [c.lower() for c in cols]
+            df = m["table"].toDF(*low(m["table"].columns))
+            one = {"table": df, "key": m.get("key", "nd_patient_id").lower(), "dob": low(m.get("dob", [])), **{k: {t: low(c) for t, c in m.get(k, {}).items()} for k in ("mask", "combine")}}
+            gone = sorted({one["key"], *one["dob"], *[c for k in ("mask", "combine") for cols in one[k].values() for c in cols]} - set(df.columns))
+            if gone:
+                raise UnsafePlan(f"table {table}: the master table of its notes lacks {', '.join(gone)}")
+            out.append(one)
+        if not out or not out[0]["mask"]:
+            raise UnsafePlan(f"table {table} has notes but no masks of a master table")
+        return out
+
+
 @dataclass
 class TablePlan:
     """Rules of one table: column to rule; ``tokens`` names masks (upper-case column name otherwise)."""
@@ -143,16 +175,29 @@ class TablePlan:
         if missing:
             raise UnsafePlan(f"table {self.table} lacks {', '.join(missing)}")
 
-    def apply(self, df: DataFrame, patients: DataFrame, encounters: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    def _key_ids(self, g: Mapping[str, Sequence[str]], df: DataFrame) -> list[tuple[Column, Column, str]]:
+        """The row's ids as they may stand in its notes: encounters, then patients; a lone patient column stands for the row's patient."""
+        out = [(F.col(c).cast("string"), F.col(f"nd_encounter_id_from_{c}") if f"nd_encounter_id_from_{c}" in df.columns else F.lit(None), "((ENCOUNTER_ID))") for c in g["encounter"]]
+        for c in g["patient"]:
+            own = F.col(f"nd_patient_id_from_{c}")
+            out.append((F.coalesce(nt.person_number(F.col(c)).cast("string"), F.trim(F.col(c).cast("string"))), own if len(g["patient"]) > 1 else F.coalesce(own, F.col("_resolved_nd_patient_id")), "((PATIENT_ID))"))
+        return out
+
+    def apply(self, df: DataFrame, patients: DataFrame, encounters: DataFrame | None = None, notes: NotePlan | None = None) -> tuple[DataFrame, DataFrame]:
         """(de-identified rows, rejects). Maps: patients(patientid, nd_patient_id, offset_days), encounters(encounter_id, nd_encounter_id, nd_patient_id).
 
         Excluded patients and inactive rows of the maps don't resolve. The patient of a
         row is asked of its encounter, then of its patient columns; rows without one are
-        rejected as JSON with the reason. Notes and everything else keep their order.
+        rejected as JSON with the reason. Columns keep their order. NOTES columns go through
+        the whole chain of ``notes``; without it, or in a table without ids, they are refused.
         """
         df = df.toDF(*[c.lower() for c in df.columns])
         self.check(df.columns)
         g = self.classify()
+        texts = [c.lower() for c, r in self.rules.items() if rule_of(r) == "NOTES"]
+        masters = (notes or NotePlan([])).ready(self.table) if texts else []
+        if texts and not any(g.values()):
+            raise UnsafePlan(f"table {self.table} has notes but no id that tells whose they are")
         pats = rs.usable(patients)
         pats = pats.groupBy("patientid").agg(F.min("nd_patient_id").alias("nd_patient_id"), F.min("offset_days").alias("offset_days"))
         cur, src = df, {"patient": [], "encounter": []}
@@ -176,6 +221,9 @@ class TablePlan:
                 F.concat(F.lit("unresolved_id:"), F.coalesce(F.col(first).cast("string"), F.lit("NULL"))).alias("reason"), F.to_json(F.struct(*df.columns)).alias("row_data"))
         else:
             good, bad = cur, cur.limit(0).select(F.lit("").alias("reason"), F.lit("").alias("row_data"))
+        if texts:
+            own = pats.select(F.col("nd_patient_id").alias("key"), F.col("patientid").alias("id"))
+            good = nt.mask_notes(good, texts, "_resolved_nd_patient_id", "_resolved_offset", self._key_ids(g, good), own, masters, notes.regex, notes.replace, notes.address, notes.facility)
         out, kinds = [], dict(df.dtypes)
         by_name = {c.lower(): r for c, r in self.rules.items()}
         for c in df.columns:

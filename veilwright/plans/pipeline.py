@@ -14,12 +14,17 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as qc
 from ..operators import resolve as rs
-from . import TablePlan, UnsafePlan, interpolate, overlay, roles
+from . import NotePlan, TablePlan, UnsafePlan, interpolate, overlay, roles
 
 
 @dataclass
 class Config:
-    """A project: where tables lie, their rules, maps, and what quality control checks."""
+    """A project: where tables lie, their rules, maps, and what quality control checks.
+
+    ``notes`` says how NOTES columns are masked: ``tables`` (of each master table its name
+    as ``table``, and ``key``, ``mask``, ``dob``, ``combine``), ``regex``, ``replace``,
+    ``address`` and ``facility``.
+    """
 
     source: str
     destination: str
@@ -28,6 +33,7 @@ class Config:
     encounter_map: str | None = "encounter_mapping_table"
     date_offset_days: int = 34
     qc: dict = field(default_factory=dict)
+    notes: dict = field(default_factory=dict)
 
 
 def parse_rules(text: str) -> list[tuple[str, str, str]]:
@@ -63,8 +69,8 @@ def tables_to_run(text: str, known: Sequence[str]) -> list[str]:
 def run_tables(spark: SparkSession, cfg: Config, tables: Sequence[str] | None = None, read: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """De-identify tables and write rows and rejects; ``(table_name, status, n_in, n_out, n_rejected, error)``.
 
-    A table without any rule is copied, one whose rules don't fit fails, and the others go
-    on. Writing overwrites, so a run may be repeated.
+    A table without any rule is copied, one whose rules don't fit, or whose notes can't be
+    masked, fails, and the others go on. Writing overwrites, so a run may be repeated.
     """
     read = read or (lambda t: spark.read.parquet(f"{cfg.source}/{t}.parquet"))
     report = []
@@ -79,7 +85,10 @@ def run_tables(spark: SparkSession, cfg: Config, tables: Sequence[str] | None =
                 report.append((t, "passthrough", n, n, 0, None))
                 continue
             plan = TablePlan(t, {c: r for c, r in rules.items() if r}, default_offset=cfg.date_offset_days)
-            good, bad = plan.apply(df, read(cfg.patient_map), read(cfg.encounter_map) if cfg.encounter_map else None)
+            notes = None
+            if cfg.notes and "NOTES" in {r.strip().upper() for r in plan.rules.values()}:
+                notes = NotePlan(**cfg.notes | {"tables": [m | {"table": read(m["table"])} for m in cfg.notes.get("tables", [])]})
+            good, bad = plan.apply(df, read(cfg.patient_map), read(cfg.encounter_map) if cfg.encounter_map else None, notes)
             good.write.mode("overwrite").parquet(f"{cfg.destination}/{t}.parquet")
             bad.write.mode("overwrite").parquet(f"{cfg.destination}/_rejects/{t}.parquet")
             n = [df.count(), *(spark.read.parquet(f"{cfg.destination}/{p}{t}.parquet").count() for p in ("", "_rejects/"))]

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
+from .. import plans
 from ..functions import notes as nt
 from ..operators import documents as dc
 from ..session import spread
@@ -114,6 +115,19 @@ def n28_generic_chain(s, d):
     return j.select("doc_id", nt.generic_chain(F.col("text"), F.coalesce("off", F.lit(34))).alias("text"))
 
 
+#: Masks of the master table; what may hold a name (e-mail, address) comes before the names.
+_MASTER = {"mask": {"((EMAIL))": ["uemail"], "((ADDRESS))": ["upaddress"], "((PHONE))": ["umobileno"], "((LAST_NAME))": ["ulname"], "((FIRST_NAME))": ["ufname"]}, "dob": ["dob"], "combine": {"((NAME))": ["ufname", "ulname"]}}
+
+
+@query()
+def r12_notes_plan(s, d):
+    """All notes through a table plan: ids, the patient's values, birth dates, generic masks and date shifts; patient ids written as numbers."""
+    n, p, e, m = T(s, d, "encounter_notes", "patient_mapping_table", "encounter_mapping_table", "pii_data_table")
+    n = spread(n.withColumn("patientid", nt.person_number(F.col("patientid"))))
+    plan = plans.TablePlan("encounter_notes", {"patientid": "PATIENT_ID", "encounterid": "ENCOUNTER_ID", "content": "NOTES"})
+    return plan.apply(n, p, e, plans.NotePlan([_MASTER | {"table": m}]))[0].select("nd_auto_increment_id", "patientid", "encounterid", "content")
+
+
 # --- documents --------------------------------------------------------------------------------
 
 
