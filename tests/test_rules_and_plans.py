@@ -143,3 +143,23 @@ def test_quality(spark):
     assert qc.biz_key(["nd_auto_increment_id", "x", "Encounter_ID"], "nd_auto_increment_id") == "Encounter_ID"
     d = vals(spark, ["born 1985-06-15 and 2099-01-01"], lambda c: qc.note_dates(c, F.array(F.lit("1985-06-15").cast("date")), today()))
     assert [(x["kind"], x["match"]) for x in d[0]] == [("date_leak", "1985-06-15"), ("date_implausible", "2099-01-01")]
+
+
+def test_plan_of_appointment_chart_and_reference_ids(spark):
+    pats = spark.createDataFrame([(1001, 101, 30, False, "r1"), (1002, 102, 31, True, "r2"), (1003, 103, -32, False, None)], "nd_patient_id bigint, patientid bigint, offset_days int, excluded boolean, reference_mapping string")
+    appts = spark.createDataFrame([(71, 7001, 1001, "Y"), (72, 7002, 1002, "Y"), (73, 7003, 1003, "Y"), (73, 7009, 1001, "N")], "appointment_id bigint, nd_appointment_id bigint, nd_patient_id bigint, nd_activeflag string")
+    charts = spark.createDataFrame([("c1", 8001, 1001), ("c3", 8003, 1003)], "chart_id string, nd_chart_id bigint, nd_patient_id bigint")
+    at = "2020-01-01"
+    for rule, rows, want, gone in (
+        ("APPOINTMENT_ID", ["71", "72", "73", None], {(7001, "2020-01-31 00:00:00"), (7003, "2019-11-30 00:00:00")}, {"unresolved_id:72", "unresolved_id:NULL"}),
+        ("CHART_ID", ["c1", "c3", "c9"], {(8001, "2020-01-31 00:00:00"), (8003, "2019-11-30 00:00:00")}, {"unresolved_id:c9"}),
+        ("REFERENCE_PID", ["r1", "r2", None], {(1001, "2020-01-31 00:00:00")}, {"unresolved_id:r2", "unresolved_id:NULL"}),
+    ):
+        df = spark.createDataFrame([(x, at) for x in rows], "x string, at string")
+        good, bad = plans.TablePlan("t", {"x": rule, "at": "DATE_OFFSET"}).apply(df, pats, appointments=appts, charts=charts)
+        assert {tuple(r) for r in good.collect()} == want and {r["reason"] for r in bad.collect()} == gone
+        with pytest.raises(plans.UnsafePlan):
+            plans.TablePlan("t", {"x": rule}).apply(df, pats.drop("reference_mapping"))
+    both = spark.createDataFrame([("r1", 103), ("r9", 103)], "ref string, pid bigint")
+    good, _ = plans.TablePlan("t", {"ref": "REFERENCE_PID", "pid": "PATIENT_ID"}).apply(both, pats)
+    assert {tuple(r) for r in good.collect()} == {(1001, 1003), (1003, 1003)}

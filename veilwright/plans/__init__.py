@@ -176,19 +176,26 @@ class TablePlan:
             raise UnsafePlan(f"table {self.table} lacks {', '.join(missing)}")
 
     def _key_ids(self, g: Mapping[str, Sequence[str]], df: DataFrame) -> list[tuple[Column, Column, str]]:
-        """The row's ids as they may stand in its notes: encounters, then patients; a lone patient column stands for the row's patient."""
-        out = [(F.col(c).cast("string"), F.col(f"nd_encounter_id_from_{c}") if f"nd_encounter_id_from_{c}" in df.columns else F.lit(None), "((ENCOUNTER_ID))") for c in g["encounter"]]
-        for c in g["patient"]:
+        """The row's ids as they may stand in its notes: encounters, appointments, charts, patients, references; a lone patient column stands for the row's patient."""
+        out = []
+        for kind in ("encounter", "appointment", "chart"):
+            for c in g[kind]:
+                nd = f"nd_{kind}_id_from_{c}"
+                out.append((F.col(c).cast("string"), F.col(nd) if nd in df.columns else F.lit(None), f"(({kind.upper()}_ID))"))
+        for c in [*g["patient"], *g["referencepid"]]:
             own = F.col(f"nd_patient_id_from_{c}")
-            out.append((F.coalesce(nt.person_number(F.col(c)).cast("string"), F.trim(F.col(c).cast("string"))), own if len(g["patient"]) > 1 else F.coalesce(own, F.col("_resolved_nd_patient_id")), "((PATIENT_ID))"))
+            alone = c in g["referencepid"] or len(g["patient"]) == 1
+            out.append((F.coalesce(nt.person_number(F.col(c)).cast("string"), F.trim(F.col(c).cast("string"))), F.coalesce(own, F.col("_resolved_nd_patient_id")) if alone else own, "((PATIENT_ID))"))
         return out
 
-    def apply(self, df: DataFrame, patients: DataFrame, encounters: DataFrame | None = None, notes: NotePlan | None = None) -> tuple[DataFrame, DataFrame]:
-        """(de-identified rows, rejects). Maps: patients(patientid, nd_patient_id, offset_days), encounters(encounter_id, nd_encounter_id, nd_patient_id).
+    def apply(self, df: DataFrame, patients: DataFrame, encounters: DataFrame | None = None, notes: NotePlan | None = None, appointments: DataFrame | None = None, charts: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+        """(de-identified rows, rejects). Maps: patients(patientid, nd_patient_id, offset_days), encounters(encounter_id, nd_encounter_id, nd_patient_id), appointments and charts likewise.
 
         Excluded patients and inactive rows of the maps don't resolve. The patient of a
-        row is asked of its encounter, then of its patient columns; rows without one are
-        rejected as JSON with the reason. Columns keep their order. NOTES columns go through
+        row is asked of its reference (``reference_mapping`` of the patients), encounter,
+        patient, appointment and chart columns in turn; rows without one are rejected as
+        JSON with the reason. A reference that isn't mapped is the row's patient. Tables
+        with appointment, chart or reference columns but without that map are refused. Columns keep their order. NOTES columns go through
         the whole chain of ``notes``; without it, or in a table without ids, they are refused.
         """
         df = df.toDF(*[c.lower() for c in df.columns])
@@ -200,22 +207,30 @@ class TablePlan:
             raise UnsafePlan(f"table {self.table} has notes but no id that tells whose they are")
         pats = rs.usable(patients)
         pats = pats.groupBy("patientid").agg(F.min("nd_patient_id").alias("nd_patient_id"), F.min("offset_days").alias("offset_days"))
-        cur, src = df, {"patient": [], "encounter": []}
+        cur, src = df, g
         for c in g["patient"]:
             cur = rs.map_join(cur, pats, c, "patientid", f"_from_{c}")
-            src["patient"].append(c)
-        if encounters is not None:
-            enc = rs.without_excluded(rs.usable(encounters), patients) if "excluded" in patients.columns else rs.usable(encounters)
-            enc = enc.groupBy("encounter_id").agg(F.min("nd_encounter_id").alias("nd_encounter_id"), F.min("nd_patient_id").alias("nd_patient_id"))
-            off = pats.groupBy(F.col("nd_patient_id").alias("_np")).agg(F.min("offset_days").alias("offset_days"))
-            enc = enc.join(off, F.col("nd_patient_id") == F.col("_np"), "left").drop("_np")
-            for c in g["encounter"]:
-                cur = rs.map_join(cur, enc, c, "encounter_id", f"_from_{c}")
-                src["encounter"].append(c)
+        if g["referencepid"]:
+            if "reference_mapping" not in patients.columns:
+                raise UnsafePlan(f"table {self.table} has reference ids, but the patient map no reference_mapping")
+            ref = rs.usable(patients).groupBy("reference_mapping").agg(F.min(F.struct("nd_patient_id", "offset_days")).alias("x")).select("reference_mapping", "x.*")
+            for c in g["referencepid"]:
+                cur = rs.map_join(cur, ref, c, "reference_mapping", f"_from_{c}")
+        off = pats.groupBy(F.col("nd_patient_id").alias("_np")).agg(F.min("offset_days").alias("offset_days"))
+        for kind, m in (("encounter", encounters), ("appointment", appointments), ("chart", charts)):
+            if m is None:
+                if kind != "encounter" and g[kind]:
+                    raise UnsafePlan(f"table {self.table} has {kind} ids, but there is no {kind} map")
+                continue
+            m = rs.without_excluded(rs.usable(m), patients) if "excluded" in patients.columns else rs.usable(m)
+            m = m.groupBy(f"{kind}_id").agg(F.min(f"nd_{kind}_id").alias(f"nd_{kind}_id"), F.min("nd_patient_id").alias("nd_patient_id"))
+            m = m.join(off, F.col("nd_patient_id") == F.col("_np"), "left").drop("_np")
+            for c in g[kind]:
+                cur = rs.map_join(cur, m, c, f"{kind}_id", f"_from_{c}")
         cur = rs.resolve(cur, src, "nd_patient_id", "_resolved_nd_patient_id")
         cur = rs.resolve(cur, src, "offset_days", "_resolved_offset", self.default_offset)
-        if g["patient"] or g["encounter"]:
-            first = (g["patient"] or g["encounter"])[0]
+        if any(g.values()):
+            first = next(cols for k in ("patient", "encounter", "referencepid", "appointment", "chart") if (cols := g[k]))[0]
             good, bad = rs.split_unresolved(cur, "_resolved_nd_patient_id", first)
             bad = cur.where(F.col("_resolved_nd_patient_id").isNull()).select(
                 F.concat(F.lit("unresolved_id:"), F.coalesce(F.col(first).cast("string"), F.lit("NULL"))).alias("reason"), F.to_json(F.struct(*df.columns)).alias("row_data"))
@@ -231,7 +246,11 @@ class TablePlan:
             if rule is None or rule == "NOTES":
                 out.append(F.col(c))
                 continue
-            got = f"nd_encounter_id_from_{c}" if rule == "ENCOUNTER_ID" else f"nd_patient_id_from_{c}"
-            ctx = {"resolved": F.col(got) if got in cur.columns else F.lit(None).cast("bigint"), "offset": F.col("_resolved_offset"), "token": self.tokens.get(c, c.upper()), "typed": kinds[c].startswith(("timestamp", "date"))}
+            kind = {"ENCOUNTER_ID": "encounter", "APPOINTMENT_ID": "appointment", "CHART_ID": "chart"}.get(rule, "patient")
+            got = f"nd_{kind}_id_from_{c}"
+            resolved = F.col(got) if got in cur.columns else F.lit(None).cast("bigint")
+            if rule == "REFERENCE_PID":
+                resolved = F.coalesce(resolved, F.col("_resolved_nd_patient_id"))
+            ctx = {"resolved": resolved, "offset": F.col("_resolved_offset"), "token": self.tokens.get(c, c.upper()), "typed": kinds[c].startswith(("timestamp", "date"))}
             out.append(RULES[rule][0](F.col(c), ctx).alias(c))
         return good.select(*out), bad

@@ -31,6 +31,8 @@ class Config:
     rules: dict[str, dict[str, str]]
     patient_map: str = "patient_mapping_table"
     encounter_map: str | None = "encounter_mapping_table"
+    appointment_map: str | None = None
+    chart_map: str | None = None
     date_offset_days: int = 34
     qc: dict = field(default_factory=dict)
     notes: dict = field(default_factory=dict)
@@ -88,7 +90,8 @@ def run_tables(spark: SparkSession, cfg: Config, tables: Sequence[str] | None =
             notes = None
             if cfg.notes and "NOTES" in {r.strip().upper() for r in plan.rules.values()}:
                 notes = NotePlan(**cfg.notes | {"tables": [m | {"table": read(m["table"])} for m in cfg.notes.get("tables", [])]})
-            good, bad = plan.apply(df, read(cfg.patient_map), read(cfg.encounter_map) if cfg.encounter_map else None, notes)
+            maps = [read(m) if m else None for m in (cfg.encounter_map, cfg.appointment_map, cfg.chart_map)]
+            good, bad = plan.apply(df, read(cfg.patient_map), maps[0], notes, *maps[1:])
             good.write.mode("overwrite").parquet(f"{cfg.destination}/{t}.parquet")
             bad.write.mode("overwrite").parquet(f"{cfg.destination}/_rejects/{t}.parquet")
             n = [df.count(), *(spark.read.parquet(f"{cfg.destination}/{p}{t}.parquet").count() for p in ("", "_rejects/"))]
