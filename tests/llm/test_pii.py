@@ -96,3 +96,16 @@ def test_operator_with_both_lexicon_paths(spark):
     assert m[("notes", 1)] is None and m[("notes", 2)] == ""
     assert pii.find_personal_data(docs.limit(0), words).count() == 0
     assert random is not None
+
+
+def test_large_lexicon_finds_what_the_small_one_finds(spark):
+    names = [("jose", "núñhalez", "1 Gorse Rd, São Tarnwick"), ("Zoë", "O'Askan", "2 Gorse Rd, Marlow Ferry"), ("Noor", "Undmere", None), ("Hanneke", "de Fermora", "3 Gorse Rd, Üxwick")]
+    words = pii.lexicon_words(spark.createDataFrame(names, "ufname string, ulname string, upaddress string"))
+    texts = ["Dictated by José Nuñhalez.", "cc Zoë O’Askan", "the so-called 'Noor Undmere' rang", "_Undmere_ and Hanneke9 and 7Undmere", "ZOË O'ASKAN; José called", "Name: de Fermora, Hanneke", "Lives at 5 Gorse Lane, Sao Tarnwick now", "at 5 Gorse Lane\nuxwick", "at 5 Gorse Lane, marlow ferry.", "(Noor)", None, "", "nobody"]
+    rows = [("documents", i, t) for i, t in enumerate(texts)] + [(None, None, texts[0]), ("notes", None, texts[2]), (None, 5, texts[6]), ("documents", 1, texts[5])]
+    docs = spark.createDataFrame(rows, "source_table string, row_id bigint, text string")
+    small = {tuple(r) for r in pii.find_personal_data(docs, words).collect()}
+    assert {tuple(r) for r in pii.find_personal_data(docs, words, limit=1).collect()} == small
+    assert {(None, None, "NAME", "José Nuñhalez"), ("documents", 1, "NAME", "Zoë O’Askan"), ("notes", None, "NAME", "Noor Undmere"), (None, 5, "ADDRESS", "5 Gorse Lane, Sao Tarnwick"), ("documents", 7, "ADDRESS", "5 Gorse Lane\nuxwick")} <= small
+    order = lambda df: sorted(map(str, df.collect()))
+    assert order(pii.mask_personal_data(docs, words, b"k", limit=1)) == order(pii.mask_personal_data(docs, words, b"k"))

@@ -72,6 +72,7 @@ _LINE = re.compile(
 )
 _AFTER_LINE = re.compile(r"(?:,[ \t ]*|[ \t]*(?:\r?\n)[ \t]*)(?:(\d{5})[  ])?")
 _STATE = re.compile(r",\s[A-Z]{2}\s\d{5}(?:-\d{4})?(?!\w)")
+_TOWN_WORD = re.compile(_WORDC)
 _TOWN = re.compile(rf"{_WORDC}(?:[  ]{_WORDC})?")
 _TOKEN = re.compile(rf"{_LATIN}(?:{_LATIN}|[\u0300-\u036f]|['’-](?={_LATIN}))*")
 
@@ -312,13 +313,41 @@ def lexicon_words(master: DataFrame, first: str = "ufname", last: str = "ulname"
     return rows.select("x.kind", "x.word").where("word is not null and word <> ''").distinct()
 
 
+def _keyed_words(batches):
+    """``(key, entry)`` of lexicon rows: the folded word that must occur in a text, and what its lexicon gets."""
+    for b in batches:
+        rows = set()
+        for kind, word in zip(b.column("kind").to_pylist(), b.column("word").to_pylist(), strict=True):
+            if kind == "T":
+                town = " ".join(fold(word).split())
+                rows |= {("T:" + town.split()[0], "T:" + town)} if town else set()
+            else:
+                rows |= {("N:" + w, f"{kind}:{w}") for w in map(fold, word.split()) if w and not (kind == "L" and w in PARTICLES)}
+        yield pa.record_batch([pa.array(c, pa.string()) for c in (list(zip(*rows, strict=True)) or [[], []])], names=["key", "entry"])
+
+
+def _text_keys(batches):
+    """``(digest, key)``, the keys under which a text asks for entries, cut and folded as :func:`_names` and :func:`_addresses` read words."""
+    for b in batches:
+        rows = []
+        for h, t in zip(b.column("digest").to_pylist(), b.column("text").to_pylist(), strict=True):
+            keys = {"N:" + fold(m[0]) for m in _TOKEN.finditer(t)}
+            keys |= {"T:" + w for m in _TOWN_WORD.finditer(t) for w in fold(m[0]).split()[:1]}
+            rows += [(h, k) for k in keys]
+        yield pa.record_batch([pa.array(c, pa.string()) for c in (list(zip(*rows, strict=True)) or [[], []])], names=["digest", "key"])
+
+
 def _own_words(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """Documents with the lexicon entries whose first word occurs in their text, for lexicons too large to send out."""
-    w = words.withColumn("w", F.explode(F.split("word", " ")))
-    toks = docs.select("source_table", "row_id", F.explode(F.array_distinct(F.split(F.lower("text"), r"(?U)[^\w'’-]+"))).alias("w")).where("w <> ''")
-    own = toks.join(w, "w").select("source_table", "row_id", "kind", "word").distinct()
-    own = own.groupBy("source_table", "row_id").agg(F.collect_list(F.concat("kind", F.lit(":"), "word")).alias("lex"))
-    return docs.join(own, ["source_table", "row_id"], "left")
+    """Documents with the lexicon entries whose (first) word occurs in their text, for lexicons too large to send out.
+
+    What a text needs follows from the text alone, so it is joined back by the text's
+    digest, and ids may be null or repeat.
+    """
+    docs = docs.withColumn("digest", F.sha2("text", 256))
+    entries = words.where("kind is not null and word is not null").mapInArrow(_keyed_words, "key string, entry string").distinct()
+    keys = docs.where("text is not null").select("digest", "text").mapInArrow(_text_keys, "digest string, key string")
+    own = keys.join(entries, "key").groupBy("digest").agg(F.collect_set("entry").alias("lex"))
+    return docs.join(own, "digest", "left").drop("digest")
 
 
 def _run(docs: DataFrame, words: DataFrame, make: Callable, schema: str, limit: int) -> DataFrame:
