@@ -34,3 +34,12 @@ def test_against_sql(spark, name):
     pd = pytest.importorskip("pandas")
     norm = lambda d: sorted(tuple("" if pd.isna(v) else str(v).removesuffix(".0") for v in r) for r in d[cols].astype(object).itertuples(index=False))
     assert norm(got) == norm(want)
+
+
+def test_every_delivery_has_a_date_verdict(spark, tmp_path):
+    day = "2020-01-01"
+    spark.createDataFrame([(1, 101, None, day), (1, 101, None, "2020-02-01"), (None, 102, 51, day), (2, 101, None, None), (3, 999, None, day)], "nd_auto_increment_id bigint, patientid bigint, encounterid bigint, d string").selectExpr("nd_auto_increment_id", "patientid", "encounterid", "cast(d as timestamp_ntz) as enc_date", "'v' as visittype").write.parquet(f"{tmp_path}/enc_staging.parquet")
+    spark.createDataFrame([(1001, 101, 30, False), (1002, 102, -31, False)], "nd_patient_id bigint, patientid bigint, offset_days int, excluded boolean").write.parquet(f"{tmp_path}/patient_mapping_table.parquet")
+    spark.createDataFrame([(51, 10020001, 1002, "Y")], "encounter_id bigint, nd_encounter_id bigint, nd_patient_id bigint, nd_activeflag string").write.parquet(f"{tmp_path}/encounter_mapping_table.parquet")
+    got = {r["verdict"]: r["n_rows"] for r in entry.queries()["q03_q05_date_offset_all"](spark, str(tmp_path)).collect()}
+    assert got == {"pass": 3, None: 1}

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import plans
 from ..operators import quality as qc
 from ..operators import resolve as rs
-from .structured import _MAPS, _deid, T
+from .structured import _DEID_RULES, _MAPS, _deid, T
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +42,16 @@ def q04_mask(s, d):
     return qc.tally(_deid(s, d)[0], "mask", qc.mask_ok(F.col("visittype"), "VISITTYPE"))
 
 
+def _verdicts(j, matched, p, e):
+    """Verdicts of rows that carry their source date, patient and encounter, counted; offsets are looked up anew."""
+    pats = rs.usable(p).groupBy("patientid").agg(F.min("nd_patient_id").alias("nd"), F.min("offset_days").alias("p_off"))
+    off = pats.groupBy("nd").agg(F.min("p_off").alias("e_off"))
+    enc = rs.without_excluded(rs.usable(e), p).groupBy("encounter_id").agg(F.min("nd_patient_id").alias("e_nd")).join(off, F.col("e_nd") == F.col("nd"), "left").select("encounter_id", "e_off")
+    j = j.join(pats.select("patientid", "p_off").withColumnRenamed("patientid", "_pp"), F.col("_pid") == F.col("_pp"), "left").join(enc, F.col("_eid") == F.col("encounter_id"), "left")
+    v = qc.offset_verdict(F.col("enc_date"), F.col("_s"), F.coalesce("e_off", "p_off"), matched, F.lit("2100-01-01").cast("date"))
+    return j.select(v.alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n_rows"))
+
+
 @query(f"""with {_MAPS}, k as (select nd_auto_increment_id from r group by 1 having count(*) = 1)
 select case when enc_date is null then null when true then 'pass' end as verdict, count(*) as n_rows from r where nd is not null and nd_auto_increment_id in (select nd_auto_increment_id from k) group by 1""")
 def q03_q05_date_offset(s, d):
@@ -48,13 +59,16 @@ def q03_q05_date_offset(s, d):
     src, p, e = T(s, d, "enc_staging", "patient_mapping_table", "encounter_mapping_table")
     once = src.groupBy("nd_auto_increment_id").count().where("count = 1").select("nd_auto_increment_id")
     dest = _deid(s, d)[0].join(once, "nd_auto_increment_id", "left_semi")
-    pats = rs.usable(p).groupBy("patientid").agg(F.min("nd_patient_id").alias("nd"), F.min("offset_days").alias("p_off"))
-    off = pats.groupBy("nd").agg(F.min("p_off").alias("e_off"))
-    enc = rs.without_excluded(rs.usable(e), p).groupBy("encounter_id").agg(F.min("nd_patient_id").alias("e_nd")).join(off, F.col("e_nd") == F.col("nd"), "left").select("encounter_id", "e_off")
     aligned = src.select(F.col("nd_auto_increment_id").alias("_r"), F.col("enc_date").cast("string").alias("_s"), F.col("patientid").alias("_pid"), F.col("encounterid").alias("_eid"))
-    j = dest.join(aligned, F.col("nd_auto_increment_id") == F.col("_r"), "left").join(pats.select("patientid", "p_off").withColumnRenamed("patientid", "_pp"), F.col("_pid") == F.col("_pp"), "left").join(enc, F.col("_eid") == F.col("encounter_id"), "left")
-    v = qc.offset_verdict(F.col("enc_date"), F.col("_s"), F.coalesce("e_off", "p_off"), F.col("_r").isNotNull(), F.lit("2100-01-01").cast("date"))
-    return j.select(v.alias("verdict")).groupBy("verdict").agg(F.count("*").alias("n_rows"))
+    return _verdicts(dest.join(aligned, F.col("nd_auto_increment_id") == F.col("_r"), "left"), F.col("_r").isNotNull(), p, e)
+
+
+@query()
+def q03_q05_date_offset_all(s, d):
+    """Shifted dates of all released rows, repeated deliveries and null ids too: the source cells travel through the plan beside the shifted ones."""
+    src, p, e = T(s, d, "enc_staging", "patient_mapping_table", "encounter_mapping_table")
+    src = src.withColumns({"_s": F.col("enc_date").cast("string"), "_pid": F.col("patientid"), "_eid": F.col("encounterid")})
+    return _verdicts(plans.TablePlan("enc_staging", _DEID_RULES).apply(src, p, e)[0], F.lit(True), p, e)
 
 
 @query("""with m as (select nd_patient_id nd, min(patientid)::varchar p from patient_mapping_table group by 1), s as (select id, nd_patient_id, patientid from encounter_mapping_table)

@@ -139,8 +139,11 @@ r as (select e.*, pats.nd p_nd, ence.ne e_ne, coalesce(ence.nd, pats.nd) nd, coa
 """
 
 
+_DEID_RULES = {"patientid": "PATIENT_ID", "encounterid": "ENCOUNTER_ID", "enc_date": "DATE_OFFSET", "visittype": "MASK"}
+
+
 def _deid(s, d):
-    plan = plans.TablePlan("enc_staging", {"patientid": "PATIENT_ID", "encounterid": "ENCOUNTER_ID", "enc_date": "DATE_OFFSET", "visittype": "MASK"})
+    plan = plans.TablePlan("enc_staging", _DEID_RULES)
     return plan.apply(*T(s, d, "enc_staging", "patient_mapping_table", "encounter_mapping_table"))
 
 
