@@ -109,3 +109,8 @@ def test_large_lexicon_finds_what_the_small_one_finds(spark):
     assert {(None, None, "NAME", "José Nuñhalez"), ("documents", 1, "NAME", "Zoë O’Askan"), ("notes", None, "NAME", "Noor Undmere"), (None, 5, "ADDRESS", "5 Gorse Lane, Sao Tarnwick"), ("documents", 7, "ADDRESS", "5 Gorse Lane\nuxwick")} <= small
     order = lambda df: sorted(map(str, df.collect()))
     assert order(pii.mask_personal_data(docs, words, b"k", limit=1)) == order(pii.mask_personal_data(docs, words, b"k"))
+
+
+def test_tags_are_wide_enough_not_to_link_different_people():
+    tags = {pii.pseudonym("NAME", f"Person {i}", b"k") for i in range(1000)}
+    assert len(tags) == 1000 and all(len(t) >= 16 for t in tags)
