@@ -1,14 +1,20 @@
 """Encoding of a whole corpus with a public byte-level BPE.
 
-Texts are split into pre-tokens with positions; each distinct pre-token is encoded once,
-ids are joined back and reassembled by position. Decoding joins the table of token bytes.
+Texts are split into pre-tokens. Documents are taken in batches; a batch has its own
+list of distinct words and each document becomes the numbers of its words in order, so a
+position is an index and no word is moved more than once a batch. The words of all
+batches meet in one shuffle, where each distinct word is encoded once; its ids are joined
+back to the batches and documents are reassembled by position. Decoding joins the table
+of token bytes.
 """
 
 from __future__ import annotations
 
 import base64
+import secrets
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +25,8 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the public pre-token pattern. White space is the Unicode property, as in
 #: the tokenizer's own engine.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
-#: A word is hot from this share of all pre-tokens on, so there are at most as many hot words.
-HOT_SHARE = 1000
-_ROWS = 50_000
+#: Pre-tokens after which a batch ends; a document is never divided.
+BATCH_TOKENS = 1 << 20
 
 
 def load_ranks(path: str = DEFAULT_RANKS) -> dict[bytes, int]:
@@ -30,39 +35,54 @@ def load_ranks(path: str = DEFAULT_RANKS) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x)}
 
 
-def pretokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, pos, word)``; every document has a row at position -1 whose word is null."""
+class _Numbers(dict):
+    """Words to numbers in order of their first occurrence."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
+
+
+def pretokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+    """``(batch, doc_id, codes, words)``: a row for every document with the numbers of its pre-tokens
+    in the word list of its batch, and one for every batch with that list, whose codes are null."""
     d = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
 
     def split(batches):
         import regex
 
         pat = regex.compile(PATTERN)
-        for b in batches:
-            ids, pos, out = [], [], []
+        ids, codes, ends, numbers = [], [], [0], _Numbers()
 
-            def flush():
-                rb = pa.record_batch([pa.array(ids, pa.int64()), pa.array(pos, pa.int32()), pa.array(out, pa.string())], names=["doc_id", "pos", "word"])
-                ids.clear(), pos.clear(), out.clear()
-                return rb
+        def flush():
+            batch = secrets.randbits(62)
+            n = len(ids)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes, pa.int32()))
+            yield _rows(batch, pa.array(ids, pa.int64()), lists, pa.nulls(n, pa.list_(pa.string())))
+            if numbers:
+                yield _rows(batch, pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.array([list(numbers)], pa.list_(pa.string())))
+            ids.clear(), codes.clear(), numbers.clear()
+            ends[:] = [0]
 
+        def _rows(batch, *cols):
+            return pa.record_batch([pa.array(np.full(len(cols[0]), batch)), *cols], names=["batch", "doc_id", "codes", "words"])
+
+        for b in batches:
             for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids.append(doc)
-                pos.append(-1)
-                out.append(None)
-                for k, m in enumerate(pat.finditer(t or "")):
-                    ids.append(doc)
-                    pos.append(k)
-                    out.append(m[0])
-                    if len(out) >= _ROWS:
-                        yield flush()
-            yield flush()
+                if t:
+                    codes.extend(map(numbers.__getitem__, pat.findall(t)))
+                ends.append(len(codes))
+                if len(codes) >= batch_tokens:
+                    yield from flush()
+        if ids:
+            yield from flush()
 
-    return d.mapInArrow(split, "doc_id bigint, pos int, word string")
+    return d.mapInArrow(split, "batch bigint, doc_id bigint, codes array<int>, words array<string>")
 
 
 def encode_words(words: DataFrame, ranks_path: str = DEFAULT_RANKS) -> DataFrame:
-    """``words`` (column ``word``) with ``ids``, each row encoded once."""
+    """``(word, ids)`` of ``words`` (column ``word``), each row encoded once."""
     ranks = words.sparkSession.sparkContext.broadcast(load_ranks(ranks_path))
 
     def encode(batches):
@@ -71,32 +91,40 @@ def encode_words(words: DataFrame, ranks_path: str = DEFAULT_RANKS) -> DataFrame
         enc = tiktoken.Encoding("own", pat_str=r"(?s).+", mergeable_ranks=ranks.value, special_tokens={})
         for b in batches:
             ids = [enc.encode_ordinary(w) for w in b.column("word").to_pylist()]
-            yield pa.record_batch([b.column("word"), b.column("n"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "n", "ids"])
+            yield pa.record_batch([b.column("word"), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+
+    return words.select("word").mapInArrow(encode, "word string, ids array<int>")
+
 
-    return words.mapInArrow(encode, "word string, n bigint, ids array<int>")
+def _reassemble(docs: pa.Table, words: pa.Table) -> pa.Table:
+    """``(doc_id, ids)`` of a batch: the ids of the words its documents have, position by position."""
+    codes = docs.column("codes").combine_chunks()
+    size = np.diff(codes.offsets.to_numpy())
+    if words.num_rows:
+        order = np.argsort(words.column("code").to_numpy())
+        ids = words.column("ids").combine_chunks().take(pa.array(order)).take(codes.flatten())
+        at = np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy(zero_copy_only=False))])
+        flat = ids.flatten()
+    else:
+        at, flat = np.zeros(1, np.int64), pa.array([], pa.int32())
+    ends = at[np.concatenate([[0], np.cumsum(size)])]
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)
+    return pa.table({"doc_id": docs.column("doc_id"), "ids": lists})
 
 
-def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_path: str = DEFAULT_RANKS) -> DataFrame:
-    """``(doc_id, ids)``, one row for every document; null and empty texts give an empty list.
+def encode_corpus(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_path: str = DEFAULT_RANKS, batch_tokens: int = BATCH_TOKENS) -> DataFrame:
+    """``(doc_id, ids)``, one row for every row of ``docs``; null and empty texts give an empty list.
 
-    Text that looks like a special token is plain text. Document ids are unique; exact
-    repeats of a row are harmless. Words holding at least a thousandth of all pre-tokens
-    (of which there can be a thousand at most) are joined by broadcast, so that no word
-    is a hot spot of the shuffle that serves the rest.
+    Text that looks like a special token is plain text; null ids stay null. A word occurs
+    at most once a batch, so however frequent it is, it is no hot spot of the shuffle, and
+    what is grouped is a batch, whose size is bounded but for a single longer document.
     """
-    toks = materialize(pretokens(spread(docs.select(doc_id, text)), doc_id, text), "p8-words")
-    vocab = encode_words(toks.where("word is not null").groupBy("word").agg(F.count("*").alias("n")), ranks_path)
-    vocab = materialize(vocab, "p8-vocabulary")
-    total = vocab.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    is_hot = F.col("n") * HOT_SHARE >= total
-    hot = F.broadcast(vocab.where(is_hot).select(F.col("word").alias("hw"), F.col("ids").alias("hids")))
-    step = toks.join(hot, F.col("word") == F.col("hw"), "left")
-    done = step.where("hids is not null or word is null").select("doc_id", "pos", F.coalesce("hids", F.array().cast("array<int>")).alias("ids"))
-    rest = step.where("hids is null and word is not null").select("doc_id", "pos", "word")
-    cold = vocab.where(~is_hot).select("word", "ids")
-    rest = rest.join(cold, "word").select("doc_id", "pos", "ids")
-    lists = done.unionByName(rest).groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("pos", "ids"))).alias("parts"))
-    return lists.select("doc_id", F.flatten(F.col("parts.ids")).alias("ids"))
+    toks = materialize(pretokens(spread(docs.select(doc_id, text)), doc_id, text, batch_tokens), "p8-words")
+    words = toks.where("words is not null").select(F.col("batch").alias("of"), F.posexplode("words").alias("code", "word")).repartition("word")
+    vocab = encode_words(words.select("word").distinct(), ranks_path)
+    back = words.join(vocab, "word").select("of", "code", "ids")
+    rows = toks.where("codes is not null").select("batch", "doc_id", "codes")
+    return rows.groupBy("batch").cogroup(back.groupBy("of")).applyInArrow(_reassemble, "doc_id bigint, ids array<int>")
 
 
 def token_table(spark: SparkSession, ranks_path: str = DEFAULT_RANKS) -> DataFrame:
