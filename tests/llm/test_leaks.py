@@ -1,9 +1,8 @@
-"""Leaked passages: both search paths against brute force."""
+"""Leaked passages against brute force."""
 
 import random
 
 import numpy as np
-import pytest
 
 from veilwright.llm import leaks
 
@@ -23,8 +22,7 @@ def brute(docs, items):
     return out
 
 
-@pytest.mark.parametrize("bound", [1_000_000, 0])
-def test_variants(spark, bound):
+def test_variants(spark):
     w = leaks.words_of(ITEM)
     docs = [
         (1, "noise " + ITEM.upper() + " noise"),
@@ -39,10 +37,10 @@ def test_variants(spark, bound):
     ]
     d = spark.createDataFrame([(*x, "clash") for x in docs], "doc_id bigint, text string, minhash string").repartition(2)
     q = spark.createDataFrame(ITEMS, "item_id bigint, text string")
-    got = [tuple(r) for r in leaks.find_leaks(d, q, broadcast_passages=bound).collect()]
+    got = [tuple(r) for r in leaks.find_leaks(d, q).collect()]
     assert sorted(got) == [(1, 1), (3, 1), (5, 1), (8, 2), (11, 1)]
-    assert leaks.find_leaks(d.limit(0), q, broadcast_passages=bound).count() == 0
-    assert leaks.find_leaks(d, q.limit(0), broadcast_passages=bound).count() == 0
+    assert leaks.find_leaks(d.limit(0), q).count() == 0
+    assert leaks.find_leaks(d, q.limit(0)).count() == 0
 
 
 def test_random_corpus(spark):
@@ -59,19 +57,30 @@ def test_random_corpus(spark):
     d, q = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     want = brute(docs, items)
     assert want
-    for bound in (1_000_000, 0):
-        assert {tuple(r) for r in leaks.find_leaks(d, q, broadcast_passages=bound).collect()} == want
+    assert {tuple(r) for r in leaks.find_leaks(d, q).collect()} == want
 
 
-def test_blocks_cover_long_streams(monkeypatch):
-    monkeypatch.setattr(leaks, "BLOCK", 1000)
+def test_slices_and_long_passages(spark, monkeypatch):
+    """Windows across the borders of slices, passages of every size class, and a text that is all one word."""
     rnd = random.Random(1)
-    streams = ["".join(rnd.choices("abcdef", k=n)) for n in (0, 50, 3000, 999, 1501)]
-    got = [set() for _ in streams]
-    for block, starts, owners in leaks.blocks_of(streams, 96):
-        have, piece = leaks.block_minhashes(block, starts, 24)
-        for h, o in zip(have.tolist(), owners[piece].tolist(), strict=True):
-            got[o].add(h)
+    word = lambda n: "".join(rnd.choices("abcdef", k=n))
+    items = [(k, " ".join(word(n) for _ in range(14))) for k, n in enumerate((1, 2, 3, 5, 9, 14, 30, 400, 3000))]
+    docs = [(i, " ".join([word(3) for _ in range(rnd.randint(0, 400))] + t.split()[1:13] + [word(4)] * 50)) for i, (_, t) in enumerate(items * 3)] + [(99, word(5000))]
+    monkeypatch.setattr(leaks, "_SLICE", 997)
+    maps = {c: np.full(1 << leaks.SLOT_BITS - 3, 255, np.uint8) for c in leaks.SIZE_CLASSES if c <= 40_000}
+    for i, t in docs[:27]:
+        keys = {(c, h, p) for c, h, _, _, p in leaks.item_keys(0, items[i % 9][1])}
+        held = {p for _, c, h, x, b in leaks.windows([t], maps) for c2, h2, p in keys if (c, h) == (c2, h2) and x.startswith(p) and b[len(p) - 1] == "1"}
+        assert held == {"".join(t.split()[k : k + 12]) for k in range(len(t.split()) - 11)} & {p for *_, p in keys} != set()
     monkeypatch.undo()
-    assert got == [set(leaks.minhashes(s, 24).tolist()) for s in streams]
-    assert len(np.unique(leaks.minhashes(streams[2], 24))) > 50
+    d, q = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert {tuple(r) for r in leaks.find_leaks(d, q).collect()} == brute(docs, items)
+    assert (99,) not in {r[:1] for r in leaks.find_leaks(d, q).collect()}
+
+
+def test_least_of_shingles():
+    codes = leaks._codes("the cat sat on the mat and the hat")
+    for size in leaks.SIZE_CLASSES[:5]:
+        g = size // 2
+        one = [leaks.minhashes(codes[i : i + g * 2], g * 2).min() if size == 2 * g else None for i in range(len(codes) - 2 * g + 1)]
+        assert leaks.minhashes(codes, size).tolist() == one

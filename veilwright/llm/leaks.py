@@ -1,10 +1,12 @@
 """Evaluation texts leaking into training text.
 
 Size-partitioned MinHash containment search: every 12-word passage of an item belongs to
-a size class by its length; a class has its own window length, and the MinHash of a
-window is the least hash of the shingles in it. A document that contains a passage has a
-window equal to the passage's start, so their MinHashes agree: no leak is lost, whatever
-the share of the item that leaked. Candidates are verified by exact containment.
+a size class by its length, and a class has its own window length. The MinHash of a window
+is the least hash of the shingles in it. A document that contains a passage has, at the
+word where the passage begins, a window whose MinHash is the passage's, so no leak is
+lost, whatever the share of the item that leaked. Windows whose MinHash no item has are
+dropped beside the document by a bitmap of fixed size; the others meet the passages in a
+join, with an excerpt of the document in which containment is verified exactly.
 
 Texts are compared as streams of folded letters and digits, so case, accents,
 punctuation, layout, invisible characters and markup don't matter, even within a word.
@@ -25,31 +27,31 @@ from pyspark.sql import functions as F
 from ..session import spread
 
 PASSAGE_WORDS = 12
-#: Least length, in letters and digits, of the passages of each size class.
-SIZE_CLASSES = [12, 16, 24, 32, 48, 64, 96]
-#: Passages up to which the items travel to every task; more are joined by shuffle.
-BROADCAST_PASSAGES = 1_000_000
-#: Letters of a stream hashed at once; longer streams are taken in overlapping blocks.
-BLOCK = 1 << 20
+#: Least length, in letters and digits, of the passages of each size class, 12 to a million.
+SIZE_CLASSES = [12, *[b for k in range(4, 20) for b in (1 << k, 3 << (k - 1))]]
+#: Bits of the bitmap of each size class, as a power of two.
+SLOT_BITS = 24
+_TEXTS = 1 << 20  # letters of texts taken together; a longer text is taken alone
+_SLICE = 1 << 18  # letters hashed at once
 
 _TAG = re.compile(r"</?[A-Za-z!][^<>]*>")
 _WORD = re.compile(r"[^\W_]+")
 _MULT = 0x9E3779B97F4A7C15 | 1
+_POW = {}
 
 
-def _powers(base: int) -> np.ndarray:
-    out = np.full(BLOCK + 256, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, at least ``n`` of each."""
+    if not _POW or len(_POW[0]) < n:
+        for k, base in enumerate((_MULT, pow(_MULT, -1, 1 << 64))):
+            p = np.full(max(n, 2 * _SLICE), base, np.uint64)
+            p[0] = 1
+            _POW[k] = np.cumprod(p, dtype=np.uint64)
+    return _POW[0], _POW[1]
 
 
-_POW, _INV = _powers(_MULT), _powers(pow(_MULT, -1, 1 << 64))
-
-
-def words_of(text: str | None) -> list[str]:
-    """Runs of letters and digits, without markup, accents and case; empty for null."""
-    if not text:
-        return []
+def folded(text: str) -> str:
+    """Text without markup, entities, accents and case."""
     if "<" in text:
         text = _TAG.sub("\u0001", text)
     if "&" in text:
@@ -57,60 +59,12 @@ def words_of(text: str | None) -> list[str]:
     if not text.isascii():
         text = unicodedata.normalize("NFKD", text.casefold())
         text = "".join([c for c in unicodedata.normalize("NFKD", text.casefold()) if not unicodedata.combining(c)])
-    return _WORD.findall(text.casefold())
+    return text.casefold()
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = h.copy()
-    h ^= h >> np.uint64(31)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(32))
-
-
-def minhashes(stream: str, size: int) -> np.ndarray:
-    """The MinHash of every window of ``size`` letters, as int64; shingles have half that length."""
-    n = len(stream)
-    if n < size:
-        return np.empty(0, np.int64)
-    if n > BLOCK + 128:
-        step = BLOCK - size + 1
-        return np.concatenate([minhashes(stream[i : i + BLOCK], size) for i in range(0, n - size + 1, step)])
-    g = size // 2
-    codes = np.frombuffer(stream.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    sums = np.concatenate([[np.uint64(0)], np.cumsum(codes * _POW[:n], dtype=np.uint64)])
-    hashes = _mix((sums[g:] - sums[:-g]) * _INV[: n - g + 1])
-    least = np.lib.stride_tricks.sliding_window_view(hashes, size - g + 1).min(axis=1)
-    return least.view(np.int64)
-
-
-def blocks_of(streams: list[str], overlap: int) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """Streams laid end to end in blocks of about BLOCK letters: text, starts of the pieces, their documents.
-
-    A stream longer than a block is cut into pieces that overlap by ``overlap`` letters.
-    """
-    half = BLOCK // 2
-    pieces = [(k, s[i : i + half + overlap]) for k, s in enumerate(streams) for i in range(0, max(1, len(s) - overlap), half)]
-    parts, owners, used = [], [], 0
-    for k, p in pieces:
-        if used and used + len(p) > BLOCK:
-            yield "".join(parts), np.cumsum([0, *map(len, parts)])[:-1], np.array(owners)
-            parts, owners, used = [], [], 0
-        parts.append(p)
-        owners.append(k)
-        used += len(p)
-    if parts:
-        yield "".join(parts), np.cumsum([0, *map(len, parts)])[:-1], np.array(owners)
-
-
-def block_minhashes(block: str, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """MinHashes of the windows within one piece each, and the index of that piece."""
-    have = minhashes(block, size)
-    piece = np.searchsorted(starts, np.arange(len(have)), side="right") - 1
-    ends = np.append(starts[1:], len(block))
-    inside = np.arange(len(have)) + size <= ends[piece]
-    return have[inside], piece[inside]
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters and digits of the folded text; empty for null."""
+    return _WORD.findall(folded(text)) if text else []
 
 
 def passages(words: list[str], size: int = PASSAGE_WORDS) -> list[str]:
@@ -119,118 +73,150 @@ def passages(words: list[str], size: int = PASSAGE_WORDS) -> list[str]:
 
 
 def size_class(length: int) -> int:
+    """The class of a passage: the greatest that isn't longer; the last for all beyond it."""
     return max((s for s in SIZE_CLASSES if s <= length), default=0)
 
 
-def item_keys(item_id: int, text: str | None) -> Iterator[tuple[int, int, int]]:
-    """``(class, MinHash, item_id)`` of each passage of an item."""
-    for p in passages(words_of(text)):
-        c = size_class(len(p))
-        yield c, int(minhashes(p[:c], c)[0]), item_id
+def _codes(stream: str) -> np.ndarray:
+    return np.frombuffer(stream.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def minhashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """The MinHash of every window of ``size`` letters; shingles have half that length."""
+    n, g = len(codes), size // 2
+    if n < size:
+        return np.empty(0, np.uint32)
+    up, down = _powers(n)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(codes * up[:n], dtype=np.uint64, out=sums[1:])
+    h = (sums[g:] - sums[:-g]) * down[: n - g + 1]
+    h ^= h >> np.uint64(29)
+    least = ((h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)).astype(np.uint32)
+    width, have = size - g + 1, 1
+    while have * 2 <= width:  # the least of twice as many shingles at a time
+        least = np.minimum(least[:-have], least[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+
+
+def slots(minhash: np.ndarray) -> np.ndarray:
+    """Bits of MinHashes in the bitmap; least values are small, so they are scattered first."""
+    return (minhash * np.uint32(2654435761)) >> np.uint32(32 - SLOT_BITS)
+
+
+def item_keys(item_id: int, text: str | None) -> Iterator[tuple[int, int, int, int, str]]:
+    """``(class, MinHash, slot, item_id, passage)`` of each passage of an item."""
+    for p in dict.fromkeys(passages(words_of(text))):
+        if c := size_class(len(p)):
+            h = minhashes(_codes(p[:c]), c)
+            yield c, int(h[0]), int(slots(h)[0]), item_id, p
+
 
+_alnum = np.full(0x110000, 2, np.uint8)
 
-def holds(words: list[str], item_words: list[str]) -> bool:
-    """Whether the words contain a passage of the item, starting and ending at word borders."""
-    stream = "".join(words)
-    starts, at = {0}, 0
-    for w in words:
-        at += len(w)
-        starts.add(at)
-    for p in passages(item_words):
-        o = stream.find(p)
-        while o >= 0:
-            if o in starts and o + len(p) in starts:
-                return True
-            o = stream.find(p, o + 1)
-    return False
 
+def _is_alnum(codes: np.ndarray) -> np.ndarray:
+    """Which code points are letters or digits, looked up once per process."""
+    out = _alnum[codes]
+    fresh = np.unique(codes[out == 2])
+    if len(fresh):
+        _alnum[fresh] = [chr(x).isalnum() for x in fresh.tolist()]
+        out = _alnum[codes]
+    return out.view(bool)
 
-def _pairs_table(docs: list, items: list) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(docs, pa.int64()), pa.array(items, pa.int64())], names=["doc_id", "item_id"])
 
+def streams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Letters and digits of folded texts end to end, which of them begin a word, and the border of each text."""
+    plain = [folded(t) for t in texts]
+    codes = _codes("\0".join(plain))
+    use = _is_alnum(codes)
+    first = use.copy()
+    first[1:] &= ~use[:-1]
+    at = np.cumsum([0, *(len(t) + 1 for t in plain)])
+    at[-1] -= 1
+    count = np.concatenate([[0], np.cumsum(use)])
+    return codes[use], first[use], count[at]
 
-def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text", broadcast_passages: int = BROADCAST_PASSAGES) -> DataFrame:
+
+def windows(texts: list[str], maps: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int, str, str]]:
+    """``(text, class, MinHash, excerpt, borders)`` of each window that begins with a word and whose MinHash is in the class's bitmap.
+
+    The excerpt holds as many letters as a passage of the class may have; a 1 in ``borders``
+    tells that a word or the text ends after the letter at its place.
+    """
+    letters, first, border = streams(texts)
+    longest = max(maps)
+    for a in range(0, len(letters), _SLICE):
+        part = letters[a : a + _SLICE + longest - 1]
+        start = np.flatnonzero(first[a : a + _SLICE])
+        doc = np.searchsorted(border, start + a, side="right") - 1
+        left = border[doc + 1] - a - start
+        for c, bits in maps.items():
+            ok = left >= c
+            s, d = start[ok], doc[ok]
+            h = minhashes(part, c)[s]
+            k = slots(h)
+            hit = np.flatnonzero((bits[k >> np.uint32(3)] >> (k & np.uint32(7)).astype(np.uint8)) & 1)
+            more = next((x - 1 for x in SIZE_CLASSES if x > c), None)
+            for i in hit.tolist():
+                b = a + int(s[i])
+                e = int(border[d[i] + 1])
+                e = e if more is None else min(e, b + more)
+                last = int(e == border[d[i] + 1] or first[e])
+                ends = (first[b + 1 : e] + np.uint8(48)).tobytes().decode() + "01"[last]
+                yield int(d[i]), c, int(h[i]), letters[b:e].tobytes().decode("utf-32-le", "surrogatepass"), ends
+
+
+def bitmaps(keys: DataFrame) -> dict[int, np.ndarray]:
+    """A bitmap of slots for each size class; at most 2 MB for each class that occurs, however many keys there are."""
+    bit = F.col("slot").cast("bigint") + 1  # Spark numbers bits, and the bitmaps that hold 32768 of them, from 1
+    rows = keys.groupBy("class", F.bitmap_bucket_number(bit).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    out: dict[int, np.ndarray] = {}
+    size = 4096  # bytes of one of Spark's bitmaps
+    for r in rows.toArrow().to_pylist():
+        m = out.setdefault(r["class"], np.zeros(1 << SLOT_BITS - 3, np.uint8))
+        part = np.frombuffer(r["bits"], np.uint8)
+        m[(r["b"] - 1) * size : (r["b"] - 1) * size + len(part)] |= part
+    return out
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """``(doc_id, item_id)`` of every document that holds at least 12 consecutive words of an item, once.
 
-    Null, empty and shorter texts hold nothing; items under 12 words can't leak; rows
-    without id are left out; items with one id count together. Up to
-    ``broadcast_passages`` passages, items are sent to the tasks, which then read each
-    document once; beyond, documents and items meet in a join on (class, MinHash) and
-    candidate pairs fetch their texts.
+    Null, empty and shorter texts hold nothing; items under 12 words, or whose 12 words have
+    fewer than 12 letters, can't leak; rows without id are left out; items with one id count
+    together. Documents are read once, whole, and no text is shuffled but excerpts.
     """
     d = docs.where(F.col(doc_id).isNotNull() & F.col(text).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     q = items.where(F.col(item_id).isNotNull() & F.col(text).isNotNull()).select(F.col(item_id).cast("bigint").alias("item_id"), F.col(text).alias("text"))
-    chars = q.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    d = spread(d)
-    if chars <= 8 * broadcast_passages:
-        return _find_broadcast(d, q)
-    return _find_join(d, q)
-
-
-def _find_broadcast(d: DataFrame, q: DataFrame) -> DataFrame:
-    own: dict[tuple[int, int], set[int]] = {}
-    texts: dict[int, list[list[str]]] = {}
-    for r in q.collect():  # bounded: checked by the caller
-        texts.setdefault(r["item_id"], []).append(words_of(r["text"]))
-        for c, h, i in item_keys(r["item_id"], r["text"]):
-            own.setdefault((c, h), set()).add(i)
-    classes = {c: np.array(sorted(h for k, h in own if k == c), np.int64) for c in {k for k, _ in own}}
-    sent = d.sparkSession.sparkContext.broadcast((own, texts, classes))
-
-    def search(batches):
-        own, texts, classes = sent.value
-        for b in batches:
-            di, ii = [], []
-            docs = b.column("doc_id").to_pylist()
-            words = [words_of(t) for t in b.column("text").to_pylist()]
-            near: set[tuple[int, int]] = set()
-            for block, starts, owners in blocks_of(["".join(w) for w in words], max(SIZE_CLASSES)):
-                for c, known in classes.items():
-                    have, piece = block_minhashes(block, starts, c)
-                    at = np.minimum(np.searchsorted(known, have), len(known) - 1)
-                    hit = known[at] == have
-                    for k, h in set(zip(owners[piece[hit]].tolist(), have[hit].tolist(), strict=True)):
-                        near |= {(k, i) for i in own[(c, h)]}
-            for k, i in sorted(near):
-                if any(holds(words[k], w) for w in texts[i]):
-                    di.append(docs[k])
-                    ii.append(i)
-            yield _pairs_table(di, ii)
-
-    return d.mapInArrow(search, "doc_id bigint, item_id bigint").distinct()
-
-
-def _find_join(d: DataFrame, q: DataFrame) -> DataFrame:
-    schema = "class int, minhash bigint, id bigint"
 
     def keys_of_items(batches):
         for b in batches:
-            for i, text in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                got = sorted(set(item_keys(i, text)))
-                yield pa.record_batch([pa.array([x[k] for x in got], t) for k, t in enumerate((pa.int32(), pa.int64(), pa.int64()))], names=["class", "minhash", "id"])
+            for i, t in zip(b.column("item_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                got = list(zip(*item_keys(i, t), strict=True)) or [[]] * 5
+                yield pa.record_batch([pa.array(x, k) for x, k in zip(got, (pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.string()), strict=True)], names=["class", "minhash", "slot", "item_id", "passage"])
 
-    def keys_of_docs(batches):
-        for b in batches:
-            docs = np.array(b.column("doc_id").to_pylist(), np.int64)
-            streams = ["".join(words_of(t)) for t in b.column("text").to_pylist()]
-            for block, starts, owners in blocks_of(streams, max(SIZE_CLASSES)):
-                for s in SIZE_CLASSES:
-                    have, piece = block_minhashes(block, starts, s)
-                    u = np.unique(np.stack([have, docs[owners[piece]]]), axis=1)
-                    yield pa.record_batch([pa.array(np.full(u.shape[1], s, np.int32)), pa.array(u[0]), pa.array(u[1])], names=["class", "minhash", "id"])
-
-    ki = q.mapInArrow(keys_of_items, schema).select("class", "minhash", F.col("id").alias("item_id")).distinct()
-    kd = d.mapInArrow(keys_of_docs, schema).select("class", "minhash", F.col("id").alias("doc_id"))
-    cand = kd.join(ki, ["class", "minhash"]).select("doc_id", "item_id").distinct()
-    full = cand.join(d, "doc_id").join(q.withColumnRenamed("text", "item_text"), "item_id")
-
-    def verify(batches):
-        for b in batches:
-            di, ii = [], []
-            for doc, i, t, u in zip(*(b.column(c).to_pylist() for c in ("doc_id", "item_id", "text", "item_text")), strict=True):
-                if holds(words_of(t), words_of(u)):
-                    di.append(doc)
-                    ii.append(i)
-            yield _pairs_table(di, ii)
-
-    return full.select("doc_id", "item_id", "text", "item_text").mapInArrow(verify, "doc_id bigint, item_id bigint").distinct()
+    keys = q.mapInArrow(keys_of_items, "class int, minhash bigint, slot int, item_id bigint, passage string").distinct()
+    sent = d.sparkSession.sparkContext.broadcast(bitmaps(keys))
+    schema = "doc_id bigint, class int, minhash bigint, excerpt string, borders string"
+
+    def search(batches):
+        maps = sent.value
+        for b in batches if maps else ():
+            ids, texts = b.column("doc_id"), b.column("text").to_pylist()
+            at = 0
+            while at < len(texts):
+                to, used = at, 0
+                while to < len(texts) and (to == at or used + len(texts[to]) <= _TEXTS):
+                    used += len(texts[to])
+                    to += 1
+                got = list(zip(*windows(texts[at:to], maps), strict=True)) or [[]] * 5
+                own = ids.take(pa.array([at + k for k in got[0]], pa.int32()))
+                yield pa.record_batch([own, *(pa.array(x, k) for x, k in zip(got[1:], (pa.int32(), pa.int64(), pa.string(), pa.string()), strict=True))], names=["doc_id", "class", "minhash", "excerpt", "borders"])
+                at = to
+
+    near = spread(d).mapInArrow(search, schema)
+    both = near.join(keys.select("class", "minhash", "item_id", "passage"), ["class", "minhash"])
+    held = F.startswith("excerpt", "passage") & (F.substr("borders", F.length("passage"), F.lit(1)) == "1")
+    return both.where(held).select("doc_id", "item_id").distinct()
