@@ -2,14 +2,17 @@
 
 Pieces are found by patterns, with names and towns known from the master table of
 personal data. They are replaced by typed placeholders whose content is a
-pseudonym: the digits of phones and ids are permuted by a keyed Feistel network within
+pseudonym: validated numbers and dates are permuted by a keyed Feistel network within
 their format, the rest gets a keyed tag of 128 bits, so equal values stay linked across
-documents and no table of pseudonyms has to be kept. Dates are no type of piece and stay.
+documents and no table of pseudonyms has to be kept. Dates are masked only on request.
+
+A pattern runs over a text only if the text holds what every match of it has (a sign, a
+run of digits, a kind of word), which is looked for first.
 """
 
 from __future__ import annotations
 
-import hashlib
+import bisect
 import hmac
 import re
 import unicodedata
@@ -28,11 +31,13 @@ BROADCAST_WORDS = 200_000
 
 # --- patterns -----------------------------------------------------------------------
 _SEP = r"[-. \u00a0\u2010-\u2015]"
-_EMAIL = re.compile(
-    r"[^\W_][\w.+-]*@(?:[^\W_][\w-]*\.)+[^\W\d_]{2,}"
-    r"|[^\W_][\w.+-]*\s?[(\[{]\s?at\s?[)\]}]\s?[^\W_][\w-]*(?:(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[^\W_][\w-]*?)*(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[^\W\d_]{2,}",
+_EMAIL = re.compile(r"[^\W_][\w.+-]*@(?:[^\W_][\w-]*\.)+[^\W\d_]{2,}")
+_AT_SIGN = re.compile(r"[(\[{]\s?at\s?[)\]}]", re.I)
+_DISGUISED = re.compile(
+    r"[^\W_][\w.+-]*\s?[(\[{]\s?at\s?[)\]}]\s?[^\W_][\w-]*(?:(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[^\W_][\w-]*?)*(?:\.|\s?[(\[{]\s?dot\s?[)\]}]\s?)[^\W\d_]{2,}",
     re.I,
 )
+_FOUR = re.compile(r"\d{4}")  # in every phone number without a plus sign and in every id
 _EXT = r"(?:,?\s?(?:ext\.?|extension|x)\s?\d{1,6})?"
 _PHONE = re.compile(
     r"(?<![\w@/#+-])(?<!\d[.,:])(?:"
@@ -42,18 +47,12 @@ _PHONE = re.compile(
     rf"|(?:1{_SEP})?\d{{3}}([-.  ])\d{{3}}\1\d{{4}}"
     r"|0\d{2}[  ]\d{4}[  ]\d{4}|0\d{4}[  ]\d{6}"
     r"|\d{10}(?!\d)|\d{3}-\d{4}"
-    rf"){_EXT}(?:(?=\d{{20}})|(?![A-Za-z\d_@]|[-/.:]\d))"
+    rf"){_EXT}(?![A-Za-z\d_@]|[-/.:]\d)"
 )
 _SOCIAL = re.compile(r"(?<![\w.+-])\d{3}(?:([- ‐-―])\d{2}\1\d{4}|\d{6})(?![\w]|[-.]\d)")
 _SOCIAL_WORD = re.compile(r"\b(?:ssn|soc(?:ial)?\b)", re.I)
-_CODE = re.compile(
-    r"(?<![\w-])(?:"
-    r"[A-Z]{2}-\d{3}-\d{4}"  # chart numbers
-    r"|(?!MRN|SSN)[A-Z]{3} ?\d{4}[ -]?\d{4}"  # policies
-    r"|[A-Z]\d{4}-\d{5}"  # licences
-    r"|[A-Z]{2}\d{7}"  # passports
-    r")(?![\w-])"
-)
+#: Codes of one to three capitals and seven to ten digits in one or two groups, as charts, policies, licences and passports have.
+_CODE = re.compile(r"(?<![\w-])(?!(?:MRN|SSN)\b)[A-Z]{1,3}(?:[- ]?\d{3,5}[- ]\d{4,5}|[- ]?\d{7,10})(?![\w-])")
 _LABELLED = re.compile(
     r"\b(?:mrn|medical record|chart|hospital|patient id|policy|insur(?:ed|ance)|member|licen[cs]e|lic|passport|travel document)\b"
     r"[^\S\r\n]*(?:no\b\.?|number|num\b\.?|id\b|#)?[^\S\r\n]*[:#]?[^\S\r\n]*([A-Z]{0,3}-?\d[\dA-Z-]{4,14}\d)(?![\w-])",
@@ -63,13 +62,13 @@ _LATIN = r"[A-Za-zÀ-ÖØ-öø-ɏ]"
 _STREET = r"street|st|avenue|ave|boulevard|blvd|road|rd|lane|ln|row|way|court|ct|close|drive|dr|place|pl|square|sq|terrace"
 _WORDC = r"[^\W\d_][\w'’-]*"
 _LINE = re.compile(
-    r"(?<![\w-])(?:"
-    rf"(?:(?:flat|unit|apt\.?|suite)\s\d+[a-z]?,\s)?\d{{1,5}}\s(?:[NSEW]\.\s)?(?:{_WORDC}\s){{1,2}}?(?:(?:st|blvd|ave|rd|ln|dr|ct|pl|sq)\.|(?:{_STREET})\b)(?:\s(?:apt\.?|unit|suite|#)\s?\w+)?"
-    rf"|{_WORDC}(?:weg|stra(?:ß|ss)e|gasse|platz|allee)\s\d{{1,4}}[a-z]?"
-    r"|p\.?\s?o\.?\sbox\s\d+"
-    r")",
+    rf"(?<![\w-])(?:(?:flat|unit|apt\.?|suite)\s\d+[a-z]?,\s)?\d{{1,5}}\s(?:[NSEW]\.\s)?(?:{_WORDC}\s){{1,2}}?(?:(?:st|blvd|ave|rd|ln|dr|ct|pl|sq)\.|(?:{_STREET})\b)(?:\s(?:apt\.?|unit|suite|#)\s?\w+)?",
     re.I,
 )
+_ONE_WORD = re.compile(rf"(?<![\w-]){_WORDC}(?:weg|stra(?:ß|ss)e|gasse|platz|allee)\s\d{{1,4}}[a-z]?", re.I)
+_ONE_WORD_END = re.compile(r"(?:weg|(?:ß|ss)e|platz|allee)\s\d", re.I)
+_BOX = re.compile(r"(?<![\w-])p\.?\s?o\.?\sbox\s\d+", re.I)
+_HOUSE = re.compile(r"\d\s[^\W\d_]")
 _AFTER_LINE = re.compile(r"(?:,[ \t ]*|[ \t]*(?:\r?\n)[ \t]*)(?:(\d{5})[  ])?")
 _STATE = re.compile(r",\s[A-Z]{2}\s\d{5}(?:-\d{4})?(?!\w)")
 _TOWN_WORD = re.compile(_WORDC)
@@ -85,7 +84,10 @@ PARTICLES = {"de", "del", "della", "di", "van", "von", "der", "den", "la", "le",
 #: A finding or a place that bears a surname: "Varrick's sign", "Halgard clinic" (but not "... Hospital no 5").
 _ABOUT = re.compile(r"['’]s\s(?:sign|test|disease|syndrome|method|score|manoeuvre)\b|[ \u00a0](?:clinic|hospital|practice)\b(?!\.?\s(?:no|#))", re.I)
 _NOT_A_PERSON = {"sign", "test", "disease", "syndrome", "clinic", "hospital", "practice", "ward", "day", "manoeuvre", "method", "score"}
-_LABEL = re.compile(r"(?:next of kin|name|patient|tutor|author|addressee|re|cc|signed|witness|dictated by|label reads|copy to|carer on record is|bed card|msg from|spoke w/|seen together with|reviewed with)\s*:?\s*$", re.I)
+#: First names that are months, which "from", "to" and the like don't make persons.
+MONTHS = {"april", "may", "june", "august"}
+#: What introduces a person: a field of a form, or a word that asks for somebody.
+_LABEL = re.compile(r"(?:^|[^\w])(?:(?:next of kin|name|patient|tutor|author|addressee|record|card|reads|signed|witness|reviewed|seen|copy|cc|re)(?:\s(?:is|to|by|with|together with))?|(?P<asks>from|with|by|to)|w/)\s*:?\s*$", re.I)
 
 
 def fold(word: str) -> str:
@@ -101,14 +103,29 @@ class Lexicon:
         self.firsts = {fold(w) for x in firsts for w in x.split()} - {""}
         self.lasts = {fold(w) for x in lasts for w in x.split()} - PARTICLES - {""}
         self.towns = {" ".join(fold(t).split()) for t in towns} - {""}
+        self._kinds: dict[str, str] = {}
+
+    def kind(self, word: str) -> str:
+        """L for a surname, F for a first name, p for a particle, i for a capital letter, else empty; remembered by spelling."""
+        k = self._kinds.get(word)
+        if k is None:
+            if len(self._kinds) > 1_000_000:
+                self._kinds.clear()
+            w = fold(word)
+            k = self._kinds[word] = "L" if w in self.lasts else "F" if w in self.firsts else "p" if w in PARTICLES else "i" if len(word) == 1 and word.isupper() else ""
+        return k
+
+
+def _spans(pattern: re.Pattern, t: str) -> list[tuple[int, int]]:
+    return [m.span() for m in pattern.finditer(t)]
 
 
 def _emails(t: str) -> list[tuple[int, int]]:
-    return [(m.start(), m.end()) for m in _EMAIL.finditer(t)] if "@" in t or "at" in t.lower() else []
+    return (_spans(_EMAIL, t) if "@" in t else []) + (_spans(_DISGUISED, t) if _AT_SIGN.search(t) else [])
 
 
 def _ids(t: str) -> list[tuple[int, int]]:
-    out = [(m.start(), m.end()) for m in _CODE.finditer(t)]
+    out = _spans(_CODE, t)
     out += [(m.start(1), m.end(1)) for m in _LABELLED.finditer(t)]
     for m in _SOCIAL.finditer(t):
         if m[1] or _SOCIAL_WORD.search(t[max(0, m.start() - 30) : m.start()]) or _SOCIAL_WORD.search(t[m.end() : m.end() + 20]):
@@ -118,7 +135,10 @@ def _ids(t: str) -> list[tuple[int, int]]:
 
 def _addresses(t: str, lex: Lexicon) -> list[tuple[int, int]]:
     out = []
-    for m in _LINE.finditer(t):
+    found = list(_LINE.finditer(t)) if _HOUSE.search(t) else []
+    found += _ONE_WORD.finditer(t) if _ONE_WORD_END.search(t) else ()
+    found += _BOX.finditer(t) if "ox" in t or "OX" in t else ()
+    for m in found:
         end = m.end()
         if m[0][:1].isdecimal() and not re.search(r"\d\s[A-ZÀ-Þ]", m[0]):
             continue  # "27 weeks court"
@@ -136,40 +156,43 @@ def _addresses(t: str, lex: Lexicon) -> list[tuple[int, int]]:
     return out
 
 
+def _introduced(t: str, start: int, word: str) -> bool:
+    m = _LABEL.search(t, max(0, start - 25), start)
+    return m is not None and not (m["asks"] and word in MONTHS)
+
+
 def _names(t: str, lex: Lexicon) -> list[tuple[int, int]]:
     """Runs of name words: first names, initials and surnames in any usual order."""
-    toks = [(m.start(), m.end(), fold(m[0])) for m in _TOKEN.finditer(t)]
-    kind = []
-    for s, e, w in toks:
-        k = "L" if w in lex.lasts else "F" if w in lex.firsts else ""
-        if not k and w in PARTICLES:
-            k = "p"
-        elif not k and e - s == 1 and t[s].isupper() and t[e : e + 1] == ".":
-            k = "i"
-        kind.append(k)
-    out, i, n = [], 0, len(toks)
-    gap = lambda a, b: t[toks[a][1] : toks[b][0]]
+    titled = [m.span(1) for m in _TITLED.finditer(t)]
+    kinds = list(map(lex.kind, _TOKEN.findall(t)))
+    if "L" not in kinds and "F" not in kinds:  # initials and particles are part of a name, but none alone
+        return titled
+    toks = list(_TOKEN.finditer(t))
+    hot = [k for k, x in enumerate(kinds) if x]
+    for k in hot:
+        if kinds[k] == "i" and t[toks[k].end() : toks[k].end() + 1] != ".":
+            kinds[k] = ""
+    out, done, n = [], 0, len(toks)
+    word_at = lambda j: fold(toks[j][0])
+    gap = lambda a, b: t[toks[a].end() : toks[b].start()]
     plain = lambda g: 0 < len(g) <= 3 and not g.strip("  \t")
     dotted = lambda g: len(g) <= 3 and g[:1] == "." and not g[1:].strip("  ")
-    while i < n:
-        k = kind[i]
-        if k not in ("F", "L", "i", "p"):
-            # A title or label before unknown capitalised words.
-            i += 1
+    for i in hot:
+        if i < done or not kinds[i]:
             continue
-        j, seen = i, k
-        while j + 1 < n and kind[j + 1]:
-            g, nxt = gap(j, j + 1), kind[j + 1]
-            if kind[j] == "i" and dotted(g) or kind[j] != "i" and plain(g):
+        j, seen = i, kinds[i]
+        while j + 1 < n and kinds[j + 1]:
+            g, nxt = gap(j, j + 1), kinds[j + 1]
+            if kinds[j] == "i" and dotted(g) or kinds[j] != "i" and plain(g):
                 pass
-            elif kind[j] == "L" and nxt == "F" and g.replace(" ", " ").strip(" ") == "," and len(g) <= 3:
+            elif kinds[j] == "L" and nxt == "F" and g.replace(" ", " ").strip(" ") == "," and len(g) <= 3:
                 pass
             else:
                 break
             step = seen[-1] + nxt
             if step not in ("FL", "Fi", "iL", "ii", "LF", "pL", "Fp", "ip", "FF", "LL", "pp"):
                 break
-            if step == "FF" and fold(t[toks[j + 1][0] : toks[j + 1][1]]) in EVERYDAY:
+            if step == "FF" and word_at(j + 1) in EVERYDAY:
                 break
             if step == "LF" and seen not in ("L", "pL") or step == "FL" and "L" in seen:
                 break
@@ -179,53 +202,52 @@ def _names(t: str, lex: Lexicon) -> list[tuple[int, int]]:
         while seen and seen[-1] in "pi":  # a trailing initial or particle is no part of it
             j, seen = j - 1, seen[:-1]
         if not seen:
-            i += 1
             continue
-        start, end = toks[i][0], toks[j][1]
-        word, before = toks[i][2], toks[i - 1][2] if i else ""
-        after = toks[j + 1][2] if j + 1 < n else ""
+        start, end = toks[i].start(), toks[j].end()
+        word, before = word_at(i), word_at(i - 1) if i else ""
+        after = word_at(j + 1) if j + 1 < n else ""
         ok = False
         if "L" in seen:
             ok = not _ABOUT.match(t[end : end + 24])
         elif "F" in seen:
-            known = before in KIN or before in TITLES or bool(_LABEL.search(t[max(0, start - 25) : start]))
+            known = before in KIN or before in TITLES or _introduced(t, start, word)
             capital = t[start].isupper()
             ok = known and capital if word in EVERYDAY else known or (capital and after not in _NOT_A_PERSON)
         if ok:
             out.append((start, end))
-            i = j + 1
-        else:
-            i += 1
-    for m in _TITLED.finditer(t):
-        out.append((m.start(1), m.end(1)))
-    return out
+            done = j + 1
+    return out + titled
 
 
 _CAP = rf"[A-ZÀ-ÖØ-Þ](?:{_LATIN}|[\u0300-\u036f])*(?:['’-]{_LATIN}+)*"
 _TITLED = re.compile(rf"\b(?:Dr|Prof|Mrs?|Ms|Miss|Herr|Frau)\b\.?[  ]((?:[A-Z]\.[  ]?)*{_CAP})(?!\.?\w)")
 
 
-def find_pieces(text: str | None, lex: Lexicon) -> list[tuple[int, int, str]]:
+def find_pieces(text: str | None, lex: Lexicon, dates: bool = False) -> list[tuple[int, int, str]]:
     """``(start, end, type)`` of the personal data in a text, in order and without overlaps.
 
-    Where pieces overlap, e-mail comes before address, id, phone and name, then the
-    longer one; so a name inside another piece doesn't count.
+    Where pieces overlap, e-mail comes before address, id, phone, name and date, then the
+    longer one; so a name inside another piece doesn't count. Real dates count on request.
     """
     if not text or len(text) < 2:
         return []
-    phones = [(m.start(), m.end()) for m in _PHONE.finditer(text)]
-    ranked = [("EMAIL", _emails(text)), ("ADDRESS", _addresses(text, lex)), ("ID_NUMBER", _ids(text)), ("PHONE", phones), ("NAME", _names(text, lex))]
+    four = _FOUR.search(text)
+    phones = _spans(_PHONE, text) if four or "+" in text else []
+    ranked = [("EMAIL", _emails(text)), ("ADDRESS", _addresses(text, lex)), ("ID_NUMBER", _ids(text) if four else []), ("PHONE", phones), ("NAME", _names(text, lex))]
+    if dates and four:
+        ranked.append(("DATE", [m.span() for m in _DATES.finditer(text) if _read_date(m)]))
     kept: list[tuple[int, int, str]] = []
     for kind, spans in ranked:
         for s, e in sorted(set(spans), key=lambda x: (x[0] - x[1], x)):
-            if all(e <= a or s >= b for a, b, _ in kept):
-                kept.append((s, e, kind))
-    return sorted(kept)
+            k = bisect.bisect(kept, (s, e))
+            if (not k or kept[k - 1][1] <= s) and (k == len(kept) or kept[k][0] >= e):
+                kept.insert(k, (s, e, kind))
+    return kept
 
 
 # --- pseudonyms ---------------------------------------------------------------------
 def _round(key: bytes, *parts: object) -> int:
-    return int.from_bytes(hmac.new(key, "\x1f".join(map(str, parts)).encode(), hashlib.sha256).digest()[:16], "big")
+    return int.from_bytes(hmac.digest(key, "\x1f".join(map(str, parts)).encode(), "sha256")[:16], "big")
 
 
 def permute_digits(digits: str, key: bytes, tweak: str = "") -> str:
@@ -271,29 +293,98 @@ def permute_date(d: date, key: bytes, inverse: bool = False) -> date:
     return _DAY0 + timedelta(days=int(s))
 
 
-def pseudonym(kind: str, value: str, key: bytes) -> str:
-    """What stands in for a value.
+_EXTENSION = re.compile(r"(?:ext\.?|extension|x)\s?(\d+)$", re.I)
+_COUNTRY = re.compile(r"(?:\+|00)(1|\d{1,3}(?=[^\d])|\d\d)")
+
+
+def valid_social(d: str) -> bool:
+    """Whether nine digits can be a social security number: area, group and serial that are given out."""
+    return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
+
 
-    Numbers keep separators and letters while their digits are permuted; values that
-    differ only in separators, or phone numbers only in the extension's writing, give
-    the same digits. Names, addresses and e-mails, which have no such format, give a
-    keyed tag of their folded text.
+def valid_phone(d: str) -> bool:
+    """Whether ten digits can be a number of the ten-digit plan; area and exchange begin with 2 to 9."""
+    return d[0] > "1" and d[3] > "1"
+
+
+def _segments(kind: str, value: str, n: int) -> list[tuple[int, int, str, Callable[[str], bool] | None]]:
+    """Parts of a number's ``n`` digits that are permuted on their own: from, to, tweak and test of validity.
+
+    A country code stays; an extension is a part of its own.
     """
+    if kind != "PHONE":
+        return [(0, n, kind, valid_social if n == 9 and not any(c.isalpha() for c in value) else None)]
+    ext = len(m[1]) if (m := _EXTENSION.search(value)) else 0
+    at = sum(c.isdecimal() for c in m[0]) if (m := _COUNTRY.match(value)) else 1 if n - ext == 11 and value.startswith("1") else 0
+    return [(at, n - ext, kind, valid_phone if n - ext - at == 10 else None), (n - ext, n, "extension", None)]
+
+
+def permute_number(kind: str, value: str, key: bytes, inverse: bool = False) -> str:
+    """A number of the same format: separators, letters and country code stay, digits are permuted.
+
+    Numbers that are valid in their plan are permuted among the valid ones, others among
+    the others (cycle walking). Values that differ only in separators give the same digits.
+    """
+    f = restore_digits if inverse else permute_digits
+    digits = "".join(c for c in value if c.isdecimal() and c.isascii())
+    new = digits
+    for a, b, tweak, ok in _segments(kind, value, len(digits)):
+        old = digits[a:b]
+        got = f(old, key, tweak)
+        while ok is not None and ok(got) != ok(old):
+            got = f(got, key, tweak)
+        new = new[:a] + got + new[b:]
+    it = iter(new)
+    return "".join(next(it) if c.isdecimal() and c.isascii() else c for c in value)
+
+
+_DATES = re.compile(r"(?<![\w/.-])(?:(?P<y>\d{4})-(?P<m>\d{2})-(?P<d>\d{2})|(?P<a>\d{1,2})(?P<s>[/.])(?P<b>\d{1,2})(?P=s)(?P<z>\d{4}))(?![\w/]|[.-]\d)")
+
+
+def _read_date(m: re.Match) -> tuple[date, str] | None:
+    """The date of a match and its order; 03/04/2024 is month first unless that is no date, 03.04.2024 day first."""
+    tries = [("ymd", "y", "m", "d")] if m["y"] else [("mdy", "z", "a", "b"), ("dmy", "z", "b", "a")] if m["s"] == "/" else [("dmy", "z", "b", "a")]
+    for order, y, mo, d in tries:
+        try:
+            return date(int(m[y]), int(m[mo]), int(m[d])), order
+        except ValueError:
+            pass
+    return None
+
+
+def permute_date_text(text: str, key: bytes, inverse: bool = False) -> str:
+    """A date text of the same notation with its date permuted; what is no real date stays."""
+    m = _DATES.fullmatch(text)
+    got = _read_date(m) if m else None
+    if got is None:
+        return text
+    new, order = permute_date(got[0], key, inverse), got[1]
+    if order == "ymd":
+        return new.isoformat()
+    two = "02" if len(text) == 10 else ""
+    parts = [format(x, two) for x in ((new.month, new.day) if order == "mdy" else (new.day, new.month))]
+    return m["s"].join([*parts, f"{new.year:04d}"])
+
+
+def pseudonym(kind: str, value: str, key: bytes) -> str:
+    """What stands in for a value: numbers and dates of the same format, for names, addresses and e-mails,
+    which have none, a keyed tag of their folded text."""
     if kind in ("PHONE", "ID_NUMBER"):
-        new = iter(permute_digits("".join(c for c in value if c.isdecimal() and c.isascii()), key, kind))
-        return "".join(next(new) if c.isdecimal() and c.isascii() else c for c in value)
+        return permute_number(kind, value, key)
+    if kind == "DATE":
+        return permute_date_text(value, key)
     text = " ".join(fold(value).split())
     if kind == "EMAIL":
         text = re.sub(r"\s?[(\[{]\s?dot\s?[)\]}]\s?", ".", re.sub(r"\s?[(\[{]\s?at\s?[)\]}]\s?", "@", text))
     return f"{_round(key, kind, text):032x}"
 
 
-def mask(text: str | None, lex: Lexicon, key: bytes) -> str | None:
+def mask(text: str | None, lex: Lexicon, key: bytes, dates: bool = False) -> str | None:
     """The text with ``[TYPE:pseudonym]`` for each piece and all else unchanged; null for null."""
     if text is None:
         return None
     out, at = [], 0
-    for s, e, kind in find_pieces(text, lex):
+    for s, e, kind in find_pieces(text, lex, dates):
         out += [text[at:s], f"[{kind}:{pseudonym(kind, text[s:e], key)}]"]
         at = e
     return "".join([*out, text[at:]])
@@ -386,11 +477,11 @@ def find_personal_data(docs: DataFrame, words: DataFrame, limit: int = BROADCAST
     return _run(docs, words, make, "source_table string, row_id bigint, pii_type string, pii_text string", limit).distinct()
 
 
-def mask_personal_data(docs: DataFrame, words: DataFrame, key: bytes, limit: int = BROADCAST_WORDS) -> DataFrame:
-    """``(source_table, row_id, masked)``; null texts stay null. ``key`` decides the pseudonyms."""
+def mask_personal_data(docs: DataFrame, words: DataFrame, key: bytes, limit: int = BROADCAST_WORDS, dates: bool = False) -> DataFrame:
+    """``(source_table, row_id, masked)``; null texts stay null. ``key`` decides the pseudonyms; ``dates`` masks dates too."""
 
     def make(b, lexs):
-        out = [mask(t, lex, key) for t, lex in zip(b.column("text").to_pylist(), lexs, strict=True)]
+        out = [mask(t, lex, key, dates) for t, lex in zip(b.column("text").to_pylist(), lexs, strict=True)]
         return pa.record_batch([b.column("source_table"), b.column("row_id"), pa.array(out, pa.string())], names=["source_table", "row_id", "masked"])
 
     return _run(docs, words, make, "source_table string, row_id bigint, masked string", limit)

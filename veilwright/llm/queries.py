@@ -25,6 +25,11 @@ def p3_masked(spark: SparkSession, sf: str) -> DataFrame:
     return pii.mask_personal_data(_texts(spark, sf), pii.lexicon_words(read_table(spark, sf, "pii_data_table")), b"example key")
 
 
+def p3_masked_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with dates masked too."""
+    return pii.mask_personal_data(_texts(spark, sf), pii.lexicon_words(read_table(spark, sf, "pii_data_table")), b"example key", dates=True)
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_corpus(read_table(spark, sf, "documents"))
@@ -48,7 +53,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return subjects.assign_subjects(*(read_table(spark, sf, t) for t in ("documents", "subject_labels", "subject_areas")))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_masked, p8_ids, p8_roundtrip, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_masked, p3_masked_dates, p8_ids, p8_roundtrip, p9_found, p10_found)}
 
 ORACLES = {
     "p8_roundtrip": """
