@@ -3,10 +3,11 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from veilwright.operators.incremental import RecordState, deliveries, records_to_process, taken_by_runs, transitions, windows_of_runs
-from veilwright.session import scratch_path
+from veilwright.session import StaleVersion, scratch_path
 
 SCHEMA = "nd_auto_increment_id bigint, v string, w string, nd_operation string, nd_extracted_date timestamp_ntz, nd_updated_at timestamp_ntz"
 RUNS = "run_id bigint, table_name string, status string, delta_after timestamp_ntz, delta_until timestamp_ntz"
@@ -85,8 +86,8 @@ def test_state_survives_a_run_that_dies(spark):
     cur = transitions(deliveries(first, "t", "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]))
     assert state.pending(cur).count() == 2
     state.commit(state.pending(cur))
-    # files of a version without the pointer: a run that died before its commit
-    cur.write.parquet(f"{state.path}/v=00000002")
+    # files without a version: a run that died before its commit
+    cur.write.parquet(state.versions.fresh("taken"))
     assert state.version() == 1
     later = rows(spark, [(1, "a", "", 1, None), (1, "A", "", 2, None), (2, "b", "", 1, None), (3, "c", "", 2, None)])
     cur2 = transitions(deliveries(later, "t", "nd_auto_increment_id", ["nd_extracted_date"], ["nd_operation", "nd_updated_at"]))
@@ -96,6 +97,28 @@ def test_state_survives_a_run_that_dies(spark):
     assert state.version() == 2 and state.pending(cur2).count() == 0
 
 
+def test_of_two_runs_from_one_version_one_fails(spark):
+    path = scratch_path(spark, "test-state")
+    cur = transitions(deliveries(rows(spark, [(1, "a", "", 1, None), (2, "b", "", 1, None)]), "t", "nd_auto_increment_id", ["nd_extracted_date"]))
+    a, b = RecordState(spark, path), RecordState(spark, path)
+    mine, theirs = a.pending(cur), b.pending(cur)
+    a.commit(mine.where("rec_key = 1"))
+    with pytest.raises(StaleVersion):
+        b.commit(theirs)
+    assert {r["rec_key"] for r in b.pending(cur).collect()} == {2}
+    b.commit(b.pending(cur))
+    assert a.pending(cur).count() == 0
+
+
+def test_commits_become_one_folder_in_time(spark):
+    state = RecordState(spark, scratch_path(spark, "test-state"), compact_after=3)
+    cur = transitions(deliveries(rows(spark, [(k, "a", "", 1, None) for k in range(9)]), "t", "nd_auto_increment_id", ["nd_extracted_date"]))
+    for k in range(9):
+        state.commit(state.pending(cur).where(f"rec_key = {k}"))
+        assert len(state.versions.current()[1]["taken"]) <= 3
+    assert state.version() == 9 and state.read().count() == 9 and state.pending(cur).count() == 0
+
+
 def test_empty_table_and_clashing_names(spark):
     assert found(spark, [], [(0, 3)]) == set()
     df = rows(spark, [(1, "a", "", 1, None)]).select("*", F.lit(1).alias("ts"), F.lit(2).alias("hash"), F.lit(3).alias("prev"), F.lit("x").alias("rec_key"), F.lit("x").alias("windows"))

@@ -19,9 +19,31 @@ def test_pointer_is_replaced(spark, tmp_path):
 def test_shared_folder(spark):
     assert session.scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     conf = SimpleNamespace(get=lambda k, d: d)
-    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077"))
-    with pytest.raises(RuntimeError, match="checkpoint.dir"):
-        session.shared_dir(cluster)
+    for master in ("spark://host:7077", "local-cluster[2,1,512]"):
+        cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        with pytest.raises(RuntimeError, match="checkpoint.dir"):
+            session.shared_dir(cluster)
+
+
+def test_versions(spark):
+    v = session.Versions(spark, session.scratch_path(spark, "versions"))
+    assert v.current() == (0, {})
+    for k in range(4):
+        p = v.fresh("x")
+        spark.range(1).write.parquet(p)
+        assert v.commit(k, {"x": [p]}) == k + 1
+        with pytest.raises(session.StaleVersion):
+            v.commit(k, {"x": []})
+    n, m = v.current()
+    v.drop_old(keep=1)
+    assert n == 4 and v.current() == (4, m) and session.path_exists(spark, m["x"][0])
+
+
+def test_release(spark):
+    df = session.materialize(spark.range(3), "t")
+    session.release(df)
+    session.release(None)
+    assert not session.path_exists(spark, df._scratch)
 
 
 def test_materialize_spread_and_gather(spark):

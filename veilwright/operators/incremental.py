@@ -3,9 +3,9 @@
 Method: key and content-hash state. A *transition* is a delivery whose content hash
 differs from that of the delivery before it, or the first delivery of a key. The state
 holds, for each key, the transitions that successful runs have taken up; current
-transitions are joined with it and those it lacks are the work of the next run. A new
-state version is written beside the old one and swapped in by one atomic rename, so a
-run that dies in between neither skips nor repeats records.
+transitions are joined with it and those it lacks are the work of the next run. What a
+run has taken is written as files of its own, and one atomic rename makes them part of
+the state, so a run that dies in between neither skips nor repeats records.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.normal import content_hash
-from ..session import materialize, read_pointer, scratch_path, write_pointer
+from ..session import Versions, materialize, scratch_path
 
 #: Deliveries of one key beyond which its history is compared in monthly slabs.
 HOT_KEY_DELIVERIES = 100_000
@@ -96,17 +96,24 @@ def windows_of_runs(runs: DataFrame) -> DataFrame:
 
 
 class RecordState:
-    """Versioned state of taken transitions, ``(table_name, rec_key, ts, hash)``, in a shared folder."""
+    """Versioned state of taken transitions, ``(table_name, rec_key, ts, hash)``, in a shared folder.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    A version is a list of folders, one for each commit until ``compact_after`` of them are
+    written as one.
+    """
+
+    COLS = ("table_name", "rec_key", "ts", "hash")
+
+    def __init__(self, spark: SparkSession, path: str, compact_after: int = 16):
+        self.spark, self.versions, self.compact_after = spark, Versions(spark, path), compact_after
+        self._seen: int | None = None
 
     def version(self) -> int:
-        return int(read_pointer(self.spark, f"{self.path}/_CURRENT") or 0)
+        return self.versions.current()[0]
 
     def read(self) -> DataFrame | None:
-        v = self.version()
-        return self.spark.read.parquet(f"{self.path}/v={v:08d}") if v else None
+        self._seen, files = self.versions.current()
+        return self.spark.read.parquet(*files["taken"]) if files else None
 
     def pending(self, current: DataFrame) -> DataFrame:
         """The transitions of ``current`` that the state lacks."""
@@ -123,14 +130,17 @@ class RecordState:
         return c.join(t, same, "left_anti")
 
     def commit(self, taken: DataFrame) -> int:
-        """Add ``taken`` to the state. The files of the new version are complete before the pointer moves."""
-        old, v = self.read(), self.version() + 1
-        cols = ["table_name", "rec_key", "ts", "hash"]
-        new = taken.select(*cols)
-        out = new if old is None else old.select(*cols).unionByName(new)
-        out.write.mode("overwrite").parquet(f"{self.path}/v={v:08d}")
-        write_pointer(self.spark, f"{self.path}/_CURRENT", str(v))
-        return v
+        """Add ``taken`` to the state as it was last read; fails with StaleVersion if another run has added to it since."""
+        seen, files = self.versions.current()
+        base = seen if self._seen is None else self._seen
+        parts, path = list(files.get("taken", [])), self.versions.fresh("taken")
+        out = taken.select(*self.COLS)
+        if len(parts) >= self.compact_after:
+            out, parts = out.unionByName(self.spark.read.parquet(*parts).select(*self.COLS)), []
+        out.write.parquet(path)
+        self._seen = self.versions.commit(base, {"taken": [*parts, path]})
+        self.versions.drop_old()
+        return self._seen
 
 
 def taken_by_runs(current: DataFrame, runs: DataFrame) -> DataFrame:
