@@ -3,20 +3,31 @@
 import json
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from veilwright.operators.change_feed import ChangeTable, decode_events, latest_dump, literal
-from veilwright.session import scratch_path
+from veilwright.session import StaleVersion, scratch_path
 
 LOG = "id bigint, operation string, payload string, binlog_file string, binlog_pos bigint"
 COLS = {"1": "k0", "2": "a", "3": "b"}
 
 
-def table(spark, base, log):
+def events(spark, part):
+    return decode_events(spark.createDataFrame(part, LOG), COLS, "k0")
+
+
+def table(spark, base, log, compact=False):
     t = ChangeTable(spark, scratch_path(spark, "t7"), ["a", "b"])
     t.append_base(spark.createDataFrame(base, "k0 bigint, a string, b string"), "k0")
     for part in log:
-        t.append_events(decode_events(spark.createDataFrame(part, LOG), COLS, "k0"))
+        t.append_events(events(spark, part))
+        if compact:
+            t.compact()
+    return rows_of(t)
+
+
+def rows_of(t):
     return {r["k"]: (r["nd_operation"], r["a"], r["b"]) for r in t.read().collect()}
 
 
@@ -53,6 +64,43 @@ def test_any_order_repeats_and_partial_images(spark):
     rnd.shuffle(shuffled)
     assert table(spark, base, [shuffled]) == want
     assert table(spark, base, [shuffled[:100], shuffled[100:]]) == want
+    assert table(spark, base, [shuffled[:100], shuffled[100:200], shuffled[200:]], compact=True) == want
+
+
+def test_batches_are_seen_whole_or_not_at_all(spark, monkeypatch):
+    t = ChangeTable(spark, scratch_path(spark, "t7"), ["a", "b"])
+    assert rows_of(t) == {}
+    t.append_base(spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "k0 bigint, a string, b string"), "k0")
+    before, batch = rows_of(t), events(spark, [(1, "D", '{"1": 1}', "f.1", 1), (2, "I", '{"1": 3}', "f.1", 2)])
+    commit = t.versions.commit
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(t.versions, "commit", die)
+    with pytest.raises(RuntimeError, match="lost"):
+        t.append_events(batch)
+    assert rows_of(t) == before
+    other = ChangeTable(spark, t.versions.path, ["a", "b"])
+    monkeypatch.setattr(t.versions, "commit", lambda base, m: (other.append_events(events(spark, [(3, "U", '{"1": 2, "2": "x"}', "f.1", 3)])), commit(base, m)))
+    with pytest.raises(StaleVersion):
+        t.append_events(batch)
+    monkeypatch.undo()
+    assert rows_of(t) == {1: ("NONE", "a", "b"), 2: ("UPDATE", "x", "d")}
+    t.append_events(batch)
+    assert rows_of(t) == {2: ("UPDATE", "x", "d"), 3: ("INSERT", None, None)}
+
+
+def test_a_hot_key_is_folded_before_the_shuffle(spark):
+    t = ChangeTable(spark, scratch_path(spark, "t7"), ["a", "b"])
+    log = spark.range(0, 3000, 1, 6).selectExpr("id", "if(id % 7 = 0, 'D', 'U') as operation", """format_string('{"1": %d, "2": "v%d"}', if(id % 3 = 0, 1, id % 50), id) as payload""", "'f.1' as binlog_file", "id as binlog_pos")
+    t.append_events(decode_events(log, COLS, "k0"))
+    plan = t.read()._jdf.queryExecution().executedPlan().toString()
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning" in x]) == 2 and plan.count("partial_max") >= 4
+    key, alive = lambda i: 1 if i % 3 == 0 else i % 50, {}
+    for i in range(3000):
+        alive[key(i)] = i % 7 != 0
+    assert t.read().count() == sum(alive.values())
 
 
 def test_literals(spark):

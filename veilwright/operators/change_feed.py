@@ -3,6 +3,7 @@
 Upserts are appended to data files and deletes to equality-delete files, both with
 their sequence number. Readers drop every data row that a later delete of its key
 covers and fold the rest column by column, so late and repeated events need no rewrite.
+A version of the table names its files; batches become visible whole, with one rename.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import Versions, path_exists
+
 SEQ = "struct<file:bigint,pos:bigint,id:bigint>"
 
 
@@ -48,47 +51,83 @@ def decode_events(log: DataFrame, columns: dict[str, str], key: str) -> DataFram
 
 
 class ChangeTable:
-    """A table of append-only data and equality-delete files under one path."""
+    """A table of append-only data and equality-delete files under one path, in versions."""
 
     def __init__(self, spark: SparkSession, path: str, columns: list[str]):
-        self.spark, self.path, self.columns = spark, path.rstrip("/"), columns
+        self.spark, self.columns, self.versions = spark, columns, Versions(spark, path)
+
+    def _append(self, rows: DataFrame) -> None:
+        """One write of rows ``(deleted, k, op, seq, seen, <columns>)``, divided into data and deletes, then one commit."""
+        base, files = self.versions.current()
+        path = self.versions.fresh("batch")
+        rows.write.partitionBy("deleted").parquet(path)
+        new = {name: [p] if path_exists(self.spark, p := f"{path}/deleted={flag}") else [] for name, flag in (("data", "false"), ("deletes", "true"))}
+        self.versions.commit(base, {k: files.get(k, []) + v for k, v in new.items()})
 
     def append_base(self, rows: DataFrame, key: str) -> None:
         """Rows of a dump: before every event, all columns given, operation NONE."""
-        seq = F.lit(None).cast("bigint")
         seen = F.struct(*[F.lit(True).alias(c) for c in self.columns])
+        first = F.lit(-1).cast("bigint")
         out = rows.where(F.col(key).isNotNull()).select(
-            F.col(key).cast("bigint").alias("k"), F.lit("NONE").alias("op"),
-            F.struct(F.lit(-1).cast("bigint").alias("file"), F.lit(-1).cast("bigint").alias("pos"), F.coalesce(seq, F.lit(-1).cast("bigint")).alias("id")).alias("seq"),
+            F.lit(False).alias("deleted"), F.col(key).cast("bigint").alias("k"), F.lit("NONE").alias("op"),
+            F.struct(first.alias("file"), first.alias("pos"), first.alias("id")).alias("seq"),
             seen.alias("seen"), *[F.col(c).cast("string").alias(c) for c in self.columns],
         )
-        out.distinct().write.mode("append").parquet(f"{self.path}/data")
+        self._append(out)
 
     def append_events(self, events: DataFrame) -> None:
-        """Upserts to the data files, keys of deletes to the delete files; one pass over the log.
+        """Upserts to the data files, deletes to the delete files, in one pass over the log.
 
         Batches may come in any order and more than once: readers go by sequence number.
         """
-        cols = [F.col(c).cast("string").alias(c) for c in self.columns]
+        gone = F.col("op") == "DELETE"
+        value = lambda c: F.when(~gone, F.col(c).cast("string")).alias(c)
         seen = F.struct(*[F.col(f"seen.{c}").alias(c) for c in self.columns])
-        events.where("op <> 'DELETE'").select("k", "op", "seq", seen.alias("seen"), *cols).write.mode("append").parquet(f"{self.path}/data")
-        events.where("op = 'DELETE'").select("k", "seq").write.mode("append").parquet(f"{self.path}/deletes")
+        self._append(events.select(gone.alias("deleted"), "k", "op", "seq", seen.alias("seen"), *[value(c) for c in self.columns]))
+
+    def _part(self, name: str) -> DataFrame:
+        files = self.versions.current()[1].get(name, [])
+        if files:
+            return self.spark.read.parquet(*files)
+        seen = ", ".join(f"{c}: boolean" for c in self.columns)
+        return self.spark.createDataFrame([], f"k bigint, op string, seq {SEQ}, seen struct<{seen}>, {', '.join(f'{c} string' for c in self.columns)}")
+
+    def _folded(self) -> DataFrame:
+        """``(k, op, seq, <columns>)``: the last row of each key and, as (seq, v), the value each column was given last, where no later delete covers them.
+
+        Data rows and deletes are folded per key before they are shuffled, so both sides
+        of the anti-join have one row a key, however many events it has. A delete covers
+        the row, or else the values given before it.
+        """
+        last = lambda c: F.max(F.when(F.col(f"seen.{c}"), F.struct("seq", F.col(c).alias("v")))).alias(c)
+        data = self._part("data").groupBy("k").agg(F.max(F.struct("seq", "op")).alias("last"), *[last(c) for c in self.columns])
+        dels = self._part("deletes").groupBy(F.col("k").alias("dk")).agg(F.max("seq").alias("dseq"))
+        covered = lambda seq: F.coalesce(F.col("dseq") > seq, F.lit(False))
+        live = data.join(dels, F.col("k") == F.col("dk"), "left").where(~covered(F.col("last.seq")))
+        return live.select("k", "last.op", "last.seq", *[F.when(~covered(F.col(f"{c}.seq")), F.col(c)).alias(c) for c in self.columns])
 
     def read(self) -> DataFrame:
-        """Current rows ``(k, nd_operation, <columns>)``.
+        """Current rows ``(k, nd_operation, <columns>)``; each column has the value given last since the key's last delete.
 
-        Deletes and rows are combined per key before they are shuffled, so a key with any
-        number of events is no hot spot: of the rows of a key only those after its last
-        delete survive, and each column takes the value given last among them.
+        Of events with one sequence number and key the greater value counts.
         """
-        data = self.spark.read.parquet(f"{self.path}/data")
-        dels = self.spark.read.parquet(f"{self.path}/deletes").groupBy(F.col("k").alias("dk")).agg(F.max("seq").alias("dseq"))
-        live = data.join(dels, (F.col("k") == F.col("dk")) & (F.col("dseq") > F.col("seq")), "left_anti")
-        last = [
-            F.max_by(F.struct(F.col(c).alias("v")), F.when(F.col(f"seen.{c}"), F.col("seq"))).alias(c) for c in self.columns
-        ]
-        folded = live.groupBy("k").agg(F.max_by("op", "seq").alias("nd_operation"), *last)
-        return folded.select("k", "nd_operation", *[F.col(f"{c}.v").alias(c) for c in self.columns])
+        return self._folded().select("k", F.col("op").alias("nd_operation"), *[F.col(f"{c}.v").alias(c) for c in self.columns])
+
+    def compact(self) -> None:
+        """Write what is current as one set of data files, and one delete for each key that had any, so late events still meet it."""
+        base, _ = self.versions.current()
+        data, gone = self.versions.fresh("data"), self.versions.fresh("deletes")
+        rows = self._folded()
+        nothing = {c: F.lit(None).cast("string").alias(c) for c in self.columns}
+        flags = lambda own: F.struct(*[F.lit(c == own).alias(c) for c in self.columns]).alias("seen")
+        out = rows.select("k", "op", "seq", flags(None), *nothing.values())
+        for own in self.columns:  # values have sequence numbers of their own
+            given = rows.where(F.col(own).isNotNull())
+            out = out.unionByName(given.select("k", "op", F.col(f"{own}.seq").alias("seq"), flags(own), *[F.col(f"{c}.v").alias(c) if c == own else nothing[c] for c in self.columns]))
+        out.write.parquet(data)
+        self._part("deletes").groupBy("k").agg(F.max("seq").alias("seq")).write.parquet(gone)
+        self.versions.commit(base, {"data": [data], "deletes": [gone]})
+        self.versions.drop_old()
 
 
 def latest_dump(meta: DataFrame, table: str) -> DataFrame:
