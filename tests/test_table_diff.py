@@ -11,10 +11,10 @@ from veilwright.operators.table_diff import diff_tables
 S = "k bigint, a string, b int, v int, bucket string"
 
 
-def run(spark, left, right, n=50_000, emit=False):
+def run(spark, left, right, n=50_000, cells="none"):
     f = {"a": F.col("a"), "b": F.col("b")}
     l, r = (spark.createDataFrame([(*x, "clash") for x in d], S) for d in (left, right))
-    return diff_tables(l, r, "k", f, f, "v", bucket_rows=n, emit_values=emit).collect()
+    return diff_tables(l, r, "k", f, f, "v", bucket_rows=n, cells=cells).collect()
 
 
 def brute(left, right):
@@ -44,8 +44,10 @@ def test_against_brute_force(spark):
 
 
 def test_values_and_empty_sides(spark):
-    got = run(spark, [(1, None, 5, 1)], [(1, "x", 5, 1)], emit=True)
+    got = run(spark, [(1, None, 5, 1)], [(1, "x", 5, 1)], cells="raw")
     assert [tuple(r) for r in got] == [(1, "mismatch", "a", None, "x")]
+    got = run(spark, [(1, "Zoë-12", 5, 1)], [(1, None, 6, 1)], cells="masked")
+    assert {tuple(r) for r in got} == {(1, "mismatch", "a", "xxx-99", None), (1, "mismatch", "b", "9", "9")}
     assert run(spark, [], []) == []
     assert [r["kind"] for r in run(spark, [], [(1, "x", 5, 1)])] == ["missing_left"]
     assert [r["kind"] for r in run(spark, [(1, "x", 5, 1)], [])] == ["missing_right"]
@@ -54,6 +56,17 @@ def test_values_and_empty_sides(spark):
         diff_tables(df, df, "k", {"a": F.col("a")}, {"b": F.col("b")})
 
 
+def test_text_keys(spark):
+    s, f = "k string, a string, v int", {"a": F.col("a")}
+    l = spark.createDataFrame([("x", "1", 1), ("", "1", 1), ("only", "1", 1), ("x", "2", 2), (None, "1", 1)], s)
+    r = spark.createDataFrame([("x", "1", 1), ("", "1", 1), ("é", None, 1)], s)
+    want = {("x", "mismatch", "a"), ("only", "missing_right", "*"), ("é", "missing_left", "*")}
+    for n in (50_000, 1):
+        assert {tuple(x)[:3] for x in diff_tables(l, r, "k", f, f, "v", bucket_rows=n).collect()} == want
+    with pytest.raises(ValueError, match="keys"):
+        diff_tables(l, r.withColumn("k", F.lit(1)), "k", f, f, "v")
+
+
 def test_canonical_cells(spark):
     df = spark.createDataFrame([(" 007 ",), ("7.0",), ("7",), ("-0",), ("",), (None,), ("7.5",), ("AB 1",)], "x string").coalesce(1)
     assert [r[0] for r in df.select(id_text(F.col("x"))).collect()] == ["7", "7", "7", "0", None, None, "7.5", "AB 1"]

@@ -2,19 +2,22 @@
 
 New references probe the parent index; those without a live parent wait in the state.
 Arriving parents resolve waiting references, deletions reopen them, and counts can be
-taken per table and period at any moment.
+taken per table and period at any moment. A step writes what it changes and no more: the
+state is the last entry of each reference and parent key over the steps, so any sequence
+of steps gives what one step over everything would.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normal import id_text, is_active
-from ..session import read_pointer, write_pointer
+from ..session import Versions, path_exists
 
+REF = "child_table string, child_id bigint, ref_column string, ref_key string, child_time timestamp_ntz"
 REF_COLS = ["child_table", "child_id", "ref_column", "ref_key", "child_time"]
 
 
@@ -44,58 +47,100 @@ def parent_index(df: DataFrame, key: str, ref_column: str, created: str, active:
     )
 
 
-def probe(refs: DataFrame, parents: DataFrame) -> DataFrame:
-    """References with ``kind``: missing, deleted, late or null (resolved in time).
+def parent_changes(df: DataFrame, key: str, ref_column: str, created: str, before: Column, now: Column, active_before: Column | None = None, active_now: Column | None = None) -> DataFrame:
+    """Index entries of the keys whose entry isn't what it was: ``before`` and ``now`` tell which rows were and are there,
+    ``active_before`` and ``active_now`` which are active. A key none of whose rows is there any more has a null ``alive``."""
+    one = F.col(key)
+    was, live = (F.lit(True) if a is None else a for a in (active_before, active_now))
+    alive = lambda there, act: F.bool_or(F.when(there, act))
+    since = lambda there, act: F.min(F.when(there & act, F.col(created)))
+    out = df.where(one.isNotNull()).groupBy(F.lit(ref_column).alias("ref_column"), one.cast("string").alias("ref_key")).agg(
+        alive(before, was).alias("a0"), since(before, was).alias("s0"), alive(now, live).alias("alive"), since(now, live).alias("since"))
+    return out.where(~(F.col("a0").eqNullSafe(F.col("alive")) & F.col("s0").eqNullSafe(F.col("since")))).drop("a0", "s0")
 
-    A plain equi-join on the key: a key that holds a large share of the references is
-    split by AQE's skew join, as the parent side has one row per key and nothing after
-    the join needs its partitioning.
+
+def kind_of(alive: Column, since: Column, child_time: Column) -> Column:
+    """missing, deleted, late or null (resolved in time)."""
+    return F.when(alive.isNull(), "missing").when(~alive, "deleted").when(since > child_time, "late")
+
+
+def probe(refs: DataFrame, index: DataFrame, how: str = "left") -> DataFrame:
+    """References with their ``kind`` by an index of one row a key; null for those resolved in time.
+
+    Nothing here needs the join's partitioning, so AQE can split a key that holds a large
+    share of the references as long as the next step is a write or an exchange.
     """
-    kind = (
-        F.when(F.col("alive").isNull(), "missing")
-        .when(~F.col("alive"), "deleted")
-        .when(F.col("since") > F.col("child_time"), "late")
-    )
-    return refs.join(parents, ["ref_column", "ref_key"], "left").select(*REF_COLS, kind.alias("kind"))
+    kind = kind_of(F.col("alive"), F.col("since"), F.col("child_time")).alias("kind")
+    return refs.select(*REF_COLS).join(index.select("ref_column", "ref_key", "alive", "since"), ["ref_column", "ref_key"], how).select(*REF_COLS, kind)
 
 
 class OrphanState:
-    """Versioned table of waiting references (missing or deleted) and of those resolved late."""
+    """Versioned state: entries of references that wait or were late, and of parent keys, each with the step that wrote it."""
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, compact_after: int = 16):
+        self.spark, self.versions, self.compact_after = spark, Versions(spark, path), compact_after
 
-    def read(self) -> DataFrame | None:
-        v = read_pointer(self.spark, f"{self.path}/_CURRENT")
-        return self.spark.read.parquet(f"{self.path}/v={int(v):08d}") if v else None
+    def _last(self, files: dict, part: str, keys: Sequence[str], schema: str, before: int | None = None) -> DataFrame:
+        """The last entry of each key over the steps, with map-side combine."""
+        paths = [p for q in files.get("steps", []) if path_exists(self.spark, p := f"{q}/{part}")]
+        df = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        rest = [c for c in df.columns if c not in (*keys, "step")]
+        return df.groupBy(*keys).agg(F.max(F.struct("step", *rest)).alias("x")).select(*keys, "x.*")
+
+    def _orphans(self, files: dict) -> DataFrame:
+        return self._last(files, "orphans", REF_COLS, f"{REF}, kind string, step int").where("kind is not null").drop("step")
 
-    def advance(self, new_refs: DataFrame, parents: DataFrame, reopened: DataFrame | None = None) -> DataFrame:
-        """Take in new references and the present parent index; returns the new state.
+    def _parents(self, files: dict) -> DataFrame:
+        return self._last(files, "parents", ["ref_column", "ref_key"], "ref_column string, ref_key string, alive boolean, since timestamp_ntz, step int").drop("step")
 
-        Waiting references and new ones probe the index; late ones are kept as a record of
-        the delay. ``reopened`` holds earlier references whose parents were deleted since
-        (see :func:`reopen`). References delivered repeatedly appear once per kind. The
-        state is complete on disk before the pointer moves, so a failed call changes nothing.
+    def read(self) -> DataFrame | None:
+        """The present orphans, each once."""
+        n, files = self.versions.current()
+        return self._orphans(files) if n else None
+
+    def advance(self, new_refs: DataFrame, changes: DataFrame, taken: DataFrame | None = None) -> DataFrame:
+        """Take in new references and the index entries of changed parents; returns the new state.
+
+        ``changes`` has one row per changed key as :func:`parent_index` or
+        :func:`parent_changes` give it; ``alive`` is null for a parent that is gone.
+        ``taken`` holds the references of earlier steps (usually the child tables as they
+        were); without it references that were resolved can't be reopened. References
+        whose parent changed get their kind anew: those that wait from the state, those
+        that were resolved from ``taken``. Each of the three joins meets one row a key on
+        its right side and ends in a write, so AQE can split a key that holds a large
+        share of the references. The step is complete on disk before its version is, so a
+        failed call changes nothing.
         """
-        old = self.read()
-        todo = new_refs.select(*REF_COLS)
-        if reopened is not None:
-            todo = todo.unionByName(reopened.select(*REF_COLS))
-        if old is not None:
-            todo = todo.unionByName(old.where("kind <> 'late'").select(*REF_COLS))
-        state = probe(todo, parents).where("kind is not null")
-        if old is not None:
-            state = state.unionByName(old.where("kind = 'late'"))
-        state = state.distinct()
-        v = int(read_pointer(self.spark, f"{self.path}/_CURRENT") or 0) + 1
-        state.write.mode("overwrite").parquet(f"{self.path}/v={v:08d}")
-        write_pointer(self.spark, f"{self.path}/_CURRENT", str(v))
+        base, files = self.versions.current()
+        step, path = F.lit(base + 1).alias("step"), self.versions.fresh("step")
+        key = ["ref_column", "ref_key"]
+        entry = changes.select(*key, "alive", F.col("since").cast("timestamp_ntz").alias("since"))
+        if base:
+            old = self._parents(files).select(*key, F.coalesce("alive", F.lit(False)).alias("was_alive"))
+            entry = entry.join(old, key, "left")
+        else:
+            entry = entry.withColumn("was_alive", F.lit(False))
+        entry.select(*key, "alive", "since", step, "was_alive").write.parquet(f"{path}/parents")
+        moved = self.spark.read.parquet(f"{path}/parents")
+        index = self._parents({"steps": [*files.get("steps", []), path]})
+        out = probe(new_refs, index).where("kind is not null")
+        if base:
+            out = out.unionByName(probe(self._orphans(files), moved, "inner"))
+            if taken is not None:
+                out = out.unionByName(probe(taken, moved.where("was_alive"), "inner"))
+        out.select(*REF_COLS, "kind", step).write.parquet(f"{path}/orphans")
+        steps = [*files.get("steps", []), path]
+        if len(steps) > self.compact_after:
+            steps = [self._compact(steps, step)]
+        self.versions.commit(base, {"steps": steps})
+        self.versions.drop_old()
         return self.read()
 
-
-def reopen(all_refs: DataFrame, deleted_keys: DataFrame) -> DataFrame:
-    """Earlier references to parents deleted since: ``deleted_keys`` has ref_column and ref_key."""
-    return all_refs.join(deleted_keys.select("ref_column", "ref_key").distinct(), ["ref_column", "ref_key"], "left_semi")
+    def _compact(self, steps: list[str], step: Column) -> str:
+        path, files = self.versions.fresh("step"), {"steps": steps}
+        self._parents(files).where("alive is not null").select("ref_column", "ref_key", "alive", "since", step).write.parquet(f"{path}/parents")
+        self._orphans(files).select(*REF_COLS, "kind", step).write.parquet(f"{path}/orphans")
+        return path
 
 
 def orphan_counts(state: DataFrame, period: str = "month") -> DataFrame:

@@ -1,7 +1,8 @@
 """Differences between two copies of data, field by field.
 
 Both copies are reduced to one row per key, cogrouped by hash bucket as Arrow tables,
-aligned by sorted search and compared with vectorised null-aware masks.
+aligned by sorted search and compared with vectorised null-aware masks. Differing cells
+come out masked: their shape shows, their content doesn't.
 """
 
 from __future__ import annotations
@@ -23,17 +24,28 @@ def current_rows(df: DataFrame, key: str, fields: dict[str, Column], version: st
 
     Fields become text by the given expressions, so equal values compare equal however
     they were written. Copies combine before the shuffle. Rows without key are left out.
+    Keys that are numbers become bigint, others text.
     """
     names = list(fields)
+    whole = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
     rows = df.where(F.col(key).isNotNull()).select(
-        F.col(key).cast("bigint").alias("k"), (F.col(version) if version else F.lit(0)).alias("v"), F.struct(*[fields[n].cast("string").alias(n) for n in names]).alias("a")
+        F.col(key).cast("bigint" if whole else "string").alias("k"), (F.col(version) if version else F.lit(0)).alias("v"), F.struct(*[fields[n].cast("string").alias(n) for n in names]).alias("a")
     )
     return rows.groupBy("k").agg(F.max_by("a", F.struct("v", "a")).alias("a")).select("k", "a.*")
 
 
-def _compare(names: Sequence[str], emit_values: bool):
+def masked(cells: pa.Array) -> pa.Array:
+    """Cells with every digit as 9 and every letter as x; separators, length and nulls stay."""
+    return pc.replace_substring_regex(pc.replace_substring_regex(cells, r"\pL", "x"), r"\pN", "9")
+
+
+def _compare(names: Sequence[str], cells: str, kind: str):
+    arrow = pa.int64() if kind == "bigint" else pa.string()
+    show = {"none": lambda a: pa.nulls(len(a), pa.string()), "masked": masked, "raw": lambda a: a}[cells]
+
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        lk, rk = (t.column("k").to_numpy(zero_copy_only=False).astype("int64") if t.num_rows else np.empty(0, "int64") for t in (left, right))
+        dtype = "int64" if kind == "bigint" else object
+        lk, rk = (t.column("k").to_numpy(zero_copy_only=False).astype(dtype) if t.num_rows else np.empty(0, dtype) for t in (left, right))
         lo, ro = np.argsort(lk, kind="stable"), np.argsort(rk, kind="stable")
         ls, rs = lk[lo], rk[ro]
         at = np.searchsorted(rs, ls)
@@ -46,7 +58,7 @@ def _compare(names: Sequence[str], emit_values: bool):
 
         def add(keys, kind, field, a=None, b=None):
             n = len(keys)
-            out["key"].append(pa.array(keys, pa.int64()))
+            out["key"].append(pa.array(keys, arrow))
             out["kind"].append(pa.array([kind] * n, pa.string()))
             out["field_name"].append(pa.array([field] * n, pa.string()))
             out["left_value"].append(a if a is not None else pa.nulls(n, pa.string()))
@@ -62,8 +74,8 @@ def _compare(names: Sequence[str], emit_values: bool):
             both_null = pc.and_(pc.is_null(a), pc.is_null(b))
             differ = pc.invert(pc.or_(same, both_null))
             d = differ.to_numpy(zero_copy_only=False).astype(bool)
-            add(keys[d], "mismatch", n, pc.filter(a, differ) if emit_values else None, pc.filter(b, differ) if emit_values else None)
-        schema = pa.schema([("key", pa.int64()), ("kind", pa.string()), ("field_name", pa.string()), ("left_value", pa.string()), ("right_value", pa.string())])
+            add(keys[d], "mismatch", n, *(show(pc.filter(x, differ)) for x in (a, b)))
+        schema = pa.schema([("key", arrow), ("kind", pa.string()), ("field_name", pa.string()), ("left_value", pa.string()), ("right_value", pa.string())])
         return pa.table([pa.chunked_array(out[f.name], f.type) for f in schema], schema=schema)
 
     return run
@@ -71,20 +83,24 @@ def _compare(names: Sequence[str], emit_values: bool):
 
 def diff_tables(
     left: DataFrame, right: DataFrame, key: str, left_fields: dict[str, Column], right_fields: dict[str, Column],
-    version: str | None = None, bucket_rows: int = BUCKET_ROWS, emit_values: bool = False,
+    version: str | None = None, bucket_rows: int = BUCKET_ROWS, cells: str = "none",
 ) -> DataFrame:
     """``(key, kind, field_name, left_value, right_value)``; kinds missing_right, missing_left, mismatch.
 
     Null equals only null. The number of buckets follows the row counts, so a bucket stays
     small whatever the size; keys are unique when they are bucketed, so none can be hot.
-    Values are emitted only on request, as they may be personal.
+    ``cells`` says how differing values come out: none, masked or raw, as they may be personal.
+    Both keys must be numbers or both text.
     """
     names = list(left_fields)
     if names != list(right_fields):
         raise ValueError("both sides need the same fields in the same order")
-    n = max(left.count(), right.count())
-    buckets = max(1, -(-n // bucket_rows))
+    n = left.select(F.lit(1)).unionAll(right.select(F.lit(1))).count()  # one pass over metadata
+    buckets = max(1, -(-n // (2 * bucket_rows)))
     bucket = F.pmod(F.xxhash64("k"), F.lit(buckets)).alias("bucket")
     l, r = (current_rows(df, key, f, version).select(bucket, "k", *names) for df, f in ((left, left_fields), (right, right_fields)))
-    schema = "key bigint, kind string, field_name string, left_value string, right_value string"
-    return l.groupBy("bucket").cogroup(r.groupBy("bucket")).applyInArrow(_compare(names, emit_values), schema)
+    kind = dict(l.dtypes)["k"]
+    if kind != dict(r.dtypes)["k"]:
+        raise ValueError("keys must be numbers on both sides or text on both")
+    schema = f"key {kind}, kind string, field_name string, left_value string, right_value string"
+    return l.groupBy("bucket").cogroup(r.groupBy("bucket")).applyInArrow(_compare(names, cells, kind), schema)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normal import flag, id_text
@@ -50,21 +53,43 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+#: Steps in which p5 takes in the references, by time.
+P5_STEPS = 3
+
+
 def _orphan_state(spark: SparkSession, sf: str) -> DataFrame:
-    maps = read_table(spark, sf, "encounter_mapping_table")
-    patients = read_table(spark, sf, "patient_mapping_table")
-    refs = None
-    for table, id_col, cols, at in (
-        ("enc_staging", "nd_auto_increment_id", ("patientid", "encounterid"), "nd_extracted_date"),
-        ("encounter_notes", "nd_auto_increment_id", ("patientid", "encounterid"), "nd_extracted_date"),
-        ("encounter_mapping_table", "id", ("patientid",), "created_at"),
-    ):
-        r = orp.references(read_table(spark, sf, table), table, id_col, cols, at)
-        refs = r if refs is None else refs.unionByName(r)
-    parents = orp.parent_index(patients, "patientid", "patientid", "created_at").unionByName(
-        orp.parent_index(maps, "encounter_id", "encounterid", "created_at", "nd_activeflag")
-    )
-    return orp.OrphanState(spark, scratch_path(spark, "p5-state")).advance(refs, parents)
+    """The state after steps over slices of time, each with the references and the changes of parents that fall in it.
+
+    A parent row is there from its creation on, and what is inactive was active until its last update.
+    """
+    maps, patients = read_table(spark, sf, "encounter_mapping_table"), read_table(spark, sf, "patient_mapping_table")
+    span = maps.agg(F.min("created_at").alias("lo"), F.max("created_at").alias("hi")).first()
+    cuts = [span["lo"] + (span["hi"] - span["lo"]) * k / P5_STEPS for k in range(1, P5_STEPS)] if span["lo"] else []
+
+    def until(c: str, cut: datetime | None) -> Column:
+        return F.lit(True) if cut is None else F.col(c).isNull() | (F.col(c) <= F.lit(cut).cast("timestamp_ntz"))
+
+    def refs(which: Callable[[str], Column]) -> DataFrame:
+        out = None
+        for table, id_col, cols, at in (
+            ("enc_staging", "nd_auto_increment_id", ("patientid", "encounterid"), "nd_extracted_date"),
+            ("encounter_notes", "nd_auto_increment_id", ("patientid", "encounterid"), "nd_extracted_date"),
+            ("encounter_mapping_table", "id", ("patientid",), "created_at"),
+        ):
+            r = orp.references(read_table(spark, sf, table).where(which(at)), table, id_col, cols, at)
+            out = r if out is None else out.unionByName(r)
+        return out
+
+    state, got = orp.OrphanState(spark, scratch_path(spark, "p5-state")), None
+    nothing, on = F.lit(False), orp.is_active(F.col("nd_activeflag"))
+    for k, cut in enumerate([*cuts, None]):
+        last = cuts[k - 1] if k else None
+        before = (lambda c: until(c, last)) if k else (lambda c: nothing)  # noqa: B023
+        active = lambda t: on if t is None else on | F.coalesce(F.col("updated_at") > F.lit(t).cast("timestamp_ntz"), nothing)
+        changes = orp.parent_changes(patients, "patientid", "patientid", "created_at", before("created_at"), until("created_at", cut)).unionByName(
+            orp.parent_changes(maps, "encounter_id", "encounterid", "created_at", before("created_at"), until("created_at", cut), active(last), active(cut)))
+        got = state.advance(refs(lambda c: until(c, cut) & ~before(c)), changes, refs(before) if k else None)  # noqa: B023
+    return got
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,17 +102,26 @@ def p5_counts(spark: SparkSession, sf: str) -> DataFrame:
     return orp.orphan_counts(_orphan_state(spark, sf))
 
 
-def p6_found(spark: SparkSession, sf: str) -> DataFrame:
-    """Differences between the mapping table and its local copy."""
+def _mapping_diff(spark: SparkSession, sf: str, cells: str = "none") -> DataFrame:
     fields = {
         "patientid": id_text(F.col("patientid")),
         "offset_days": F.col("offset_days"),
         "registration_date": F.date_trunc("second", "registration_date"),
         "excluded": flag(F.col("excluded").cast("string")),
     }
-    out = diff_tables(read_table(spark, sf, "patient_mapping_table"), read_table(spark, sf, "patient_mapping_local"), "nd_patient_id", fields, fields, "updated_at")
+    return diff_tables(read_table(spark, sf, "patient_mapping_table"), read_table(spark, sf, "patient_mapping_local"), "nd_patient_id", fields, fields, "updated_at", cells=cells)
+
+
+def p6_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Differences between the mapping table and its local copy."""
     kind = F.when(F.col("kind") == "missing_right", "missing_in_local").when(F.col("kind") == "missing_left", "extra_in_local").otherwise(F.col("kind"))
-    return out.select(F.col("key").alias("nd_patient_id"), kind.alias("kind"), "field_name")
+    return _mapping_diff(spark, sf).select(F.col("key").alias("nd_patient_id"), kind.alias("kind"), "field_name")
+
+
+def p6_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The differing cells of both sides, masked."""
+    out = _mapping_diff(spark, sf, "masked").where("kind = 'mismatch'")
+    return out.select(F.col("key").alias("nd_patient_id"), "field_name", F.col("left_value").alias("main_cell"), F.col("right_value").alias("local_cell"))
 
 
 APPOINTMENT_COLUMNS = {"1": "apptid", "2": "patientid", "3": "facilityid", "4": "appt_status", "5": "reason"}
@@ -112,7 +146,7 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_versions, p4_found, p5_found, p5_counts, p6_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p2_found, p2_versions, p4_found, p5_found, p5_counts, p6_found, p6_cells, p7_found)}
 
 _P1 = """
 with runs as (
@@ -188,6 +222,16 @@ j as (select refs.*, case when alive is null then 'missing' when not alive then
       from refs left join par using (rc, k) where k is not null)
 """
 
+_P6 = """
+with m as (
+  select nd_patient_id k, patientid p, offset_days o, date_trunc('second', registration_date) r, excluded e
+  from patient_mapping_table qualify row_number() over (partition by nd_patient_id order by updated_at desc) = 1),
+l as (
+  select nd_patient_id k, try_cast(try_cast(trim(patientid) as decimal(20,2)) as bigint) p, offset_days o, date_trunc('second', registration_date) r,
+         case when lower(trim(excluded)) in ('1','y','true') then true when lower(trim(excluded)) in ('0','n','false') then false end e
+  from patient_mapping_local qualify row_number() over (partition by nd_patient_id order by updated_at desc) = 1)
+"""
+
 ORACLES = {
     "p7_found": _P7,
     "p1_found": _P1,
@@ -201,18 +245,17 @@ from i group by e, g""",
     "p5_found": _P5 + """select distinct ct as child_table, id as child_id, rc as ref_column, kind from j where kind is not null""",
     "p5_counts": _P5 + """select ct as child_table, rc as ref_column, kind, strftime(date_trunc('month', ts), '%Y-%m-%d') as period, count(distinct id) as n_records, count(*) as n_references
 from (select distinct ct, id, rc, k, ts, kind from j where kind is not null) group by 1, 2, 3, 4""",
-    "p6_found": """
-with m as (
-  select nd_patient_id k, patientid p, offset_days o, date_trunc('second', registration_date) r, excluded e
-  from patient_mapping_table qualify row_number() over (partition by nd_patient_id order by updated_at desc) = 1),
-l as (
-  select nd_patient_id k, try_cast(try_cast(trim(patientid) as decimal(20,2)) as bigint) p, offset_days o, date_trunc('second', registration_date) r,
-         case when lower(trim(excluded)) in ('1','y','true') then true when lower(trim(excluded)) in ('0','n','false') then false end e
-  from patient_mapping_local qualify row_number() over (partition by nd_patient_id order by updated_at desc) = 1)
-select k as nd_patient_id, 'missing_in_local' as kind, '*' as field_name from m where k not in (select k from l)
+    "p6_found": _P6 + """select k as nd_patient_id, 'missing_in_local' as kind, '*' as field_name from m where k not in (select k from l)
 union all select k, 'extra_in_local', '*' from l where k not in (select k from m)
 union all select k, 'mismatch', 'patientid' from m join l using (k) where m.p is distinct from l.p
 union all select k, 'mismatch', 'offset_days' from m join l using (k) where m.o is distinct from l.o
 union all select k, 'mismatch', 'registration_date' from m join l using (k) where m.r is distinct from l.r
 union all select k, 'mismatch', 'excluded' from m join l using (k) where m.e is distinct from l.e""",
+    "p6_cells": _P6 + """
+, j as (select k, unnest([
+    {'f': 'patientid', 'a': m.p::varchar, 'b': l.p::varchar}, {'f': 'offset_days', 'a': m.o::varchar, 'b': l.o::varchar},
+    {'f': 'registration_date', 'a': strftime(m.r, '%Y-%m-%d %H:%M:%S'), 'b': strftime(l.r, '%Y-%m-%d %H:%M:%S')},
+    {'f': 'excluded', 'a': case when m.e then 'Y' when not m.e then 'N' end, 'b': case when l.e then 'Y' when not l.e then 'N' end}]) x from m join l using (k))
+select k as nd_patient_id, x.f as field_name, regexp_replace(regexp_replace(x.a, '\\pL', 'x', 'g'), '\\pN', '9', 'g') as main_cell, regexp_replace(regexp_replace(x.b, '\\pL', 'x', 'g'), '\\pN', '9', 'g') as local_cell
+from j where x.a is distinct from x.b""",
 }
