@@ -1,7 +1,7 @@
 """A project end to end on small parquet tables; identifier settings; command line."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +10,8 @@ from veilwright import cli
 from veilwright.plans import UnsafePlan
 from veilwright.plans.identifiers import check_identifiers, id_columns, pii_config, pii_tables, remap_single
 from veilwright.operators.quality import GateError
-from veilwright.plans.pipeline import audit_report, auto_qc, delta_qc, load_config, mapping_gate, notes_audit, parse_rules, run_tables, tables_to_run
+from veilwright.plans.pipeline import delta_qc, last_report, load_config, mapping_gate, notes_audit, parse_rules, prerequisites, retry_failed, run_tables, tables_to_run
+from veilwright.plans.qc_run import FINDING_FIELDS, GATE, SUMMARY_FIELDS, check_project
 
 
 @pytest.fixture
@@ -31,12 +32,62 @@ def test_run_and_qc(spark, project):
     assert rep["codes"]["status"] == "passthrough" and rep["gone"]["status"] == "failed" and rep["gone"]["error"]
     row = spark.read.parquet(f"{dst}/patients.parquet").first()
     assert tuple(row) == (1, 1001, "<<FNAME>>", "021", 1985)
-    summary, findings = auto_qc(spark, cfg, ["patients", "gone"])
-    s = {r["table_name"]: r["overall_status"] for r in summary.collect()}
-    assert s["gone"] == "ERROR"
-    f = {(r["check_name"], r["status"]) for r in findings.where("table_name = 'patients'").collect()}
-    assert ("row_count", "PASS") in f and ("column:fname", "PASS") in f
-    assert audit_report(summary)["overall_passed"] is False
+    summary, findings, report = check_project(spark, cfg, ["patients", "gone"])
+    assert summary.columns == SUMMARY_FIELDS and findings.columns == FINDING_FIELDS
+    s = {r["table"]: r for r in summary.collect()}
+    assert s["gone"]["part1_status"] == "ERROR" and s["gone"]["overall_status"] == "ERROR" and s[GATE]["overall_status"] == "PASS"
+    p = s["patients"]
+    assert (p["part1_status"], p["part1_source_rows"], p["part1_dest_rows"], p["delta_status"], p["master_status"]) == ("PASS", "3", "1", "SKIPPED", "SKIPPED")
+    assert report["overall_passed"] is False and report["part1"]["failures"] == ["gone"] and "# Quality report" in report["markdown"]
+    spark.createDataFrame([(k, 1001, "Ann", "02139", 1985) for k in range(60)], "nd_auto_increment_id bigint, patientid bigint, fname string, zip string, dob int").write.mode("overwrite").parquet(f"{dst}/patients.parquet")
+    cfg.qc["delta"] = True
+    summary, findings, _ = check_project(spark, cfg, ["patients"], gate=False)
+    p = summary.first()
+    assert (p["overall_status"], p["part1_failed_columns"], p["delta_status"]) == ("FAIL", "fname;zip", "FAIL")
+    f = {(r["check"], r["column"]): r for r in findings.collect()}
+    assert f[("phi_detected", "zip")]["count"] == 60 and f[("phi_detected", "zip")]["detail"].count(",") == 49 and ("row_count", "") in f and f[("extra_in_dest", "")]["count"] == 57
+
+
+def test_prerequisites_retry_exclude_and_identifiers(spark, project):
+    cfg, _, dst = project
+    assert prerequisites(spark, cfg) == []
+    cfg.appointment_map, cfg.exclude = "absent", ["CODES"]
+    assert len(prerequisites(spark, cfg)) == 1
+    cfg.appointment_map = None
+    assert {r["table_name"]: r["status"] for r in run_tables(spark, cfg).collect()} == {"patients": "completed", "gone": "failed"}
+    spark.createDataFrame([("x",)], "a string").write.parquet(f"{cfg.source}/gone.parquet")
+    assert [tuple(r)[:4] for r in retry_failed(spark, cfg).collect()] == [("gone", "completed", 1, 1)]
+    assert {r["table_name"]: r["status"] for r in last_report(spark, cfg).collect()} == {"patients": "completed", "gone": "completed"}
+    assert retry_failed(spark, cfg).count() == 0
+    cfg.identifiers = ["patientid"]
+    assert run_tables(spark, cfg, ["patients"]).first()["status"] == "completed"
+    assert spark.read.parquet(f"{dst}/patients.parquet").first()["dob"] == 1985
+    cfg.identifiers = ["chart_id"]
+    with pytest.raises(UnsafePlan):
+        run_tables(spark, cfg, ["patients"])
+
+
+def test_runs_take_up_new_and_changed_records(spark, project, tmp_path, monkeypatch):
+    cfg, _, dst = project
+    schema = "k bigint, patientid bigint, v string, at timestamp_ntz"
+    day = lambda n: datetime(2024, 1, n)
+    rows = [(1, 101, "a", day(1)), (2, 101, "b", day(1)), (3, 999, "c", day(1))]
+    put = lambda: spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{cfg.source}/visits.parquet")
+    cfg.rules["visits"] = {"patientid": "PATIENT_ID"}
+    cfg.incremental["visits"] = {"key": "k", "times": ["at"]}
+    put()
+    assert "state" in run_tables(spark, cfg, ["visits"]).first()["error"]
+    cfg.state = f"file://{tmp_path}/state"
+    once = lambda: tuple(run_tables(spark, cfg, ["visits"]).first())[1:5]
+    monkeypatch.setattr("veilwright.plans.pipeline.RecordState.commit", lambda *_: 1 / 0)
+    assert once()[0] == "failed"  # dies between writing and commit
+    monkeypatch.undo()
+    assert once() == ("completed", 3, 2, 1) and once() == ("completed", 0, 0, 0)
+    rows += [(1, 101, "A", day(2)), (4, 101, "d", day(2)), (2, 101, "b", day(2))]
+    put()
+    assert once() == ("completed", 3, 3, 0)  # both deliveries of 1, and 4; 2 came again as it was
+    got = sorted((r["run"], r["k"], r["v"]) for r in spark.read.parquet(f"{dst}/visits.parquet").collect())
+    assert got == [(1, 1, "a"), (1, 2, "b"), (3, 1, "A"), (3, 1, "a"), (3, 4, "d")]
 
 
 def test_command_line(spark, project, tmp_path, capsys, monkeypatch):
@@ -47,8 +98,11 @@ def test_command_line(spark, project, tmp_path, capsys, monkeypatch):
     assert cli.main(["run", "--config", str(path), "--tables", "patients"], spark) == 0
     cli.main(["auto-qc", "--config", str(path), "--tables", "patients", "--out", f"{tmp_path}/rep"], spark)
     assert "patients" in capsys.readouterr().out
-    assert cli.main(["mapping", "--config", str(path)], spark) == 0
-    got = {r["patientid"]: r["nd_patient_id"] for r in spark.read.parquet(f"{dst}/patient_mapping_table.parquet").collect()}
+    assert cli.main(["mapping", "--config", str(path)], spark) == 2
+    path.write_text(json.dumps(json.loads(text) | {"secret": "s"}))
+    assert cli.main(["mapping", "--config", str(path), "--out", f"{tmp_path}/maps"], spark) == 0
+    assert cli.main(["status", "--config", str(path)], spark) == 0 and cli.main(["retry", "--config", str(path)], spark) == 0 and cli.main(["check", "--config", str(path)], spark) == 0
+    got = {r["patientid"]: r["nd_patient_id"] for r in spark.read.parquet(f"{tmp_path}/maps/patient_mapping_table.parquet").collect()}
     assert got == {101: 1001, 102: 1002, 999: 1003}
     cli.main(["generate-config", "--source", cfg.source, "--tables", "patients"], spark)
     assert "patients,zip,ZIP_CODE" in capsys.readouterr().out
@@ -98,6 +152,10 @@ def test_gate_delta_audit_and_logs(spark, project, tmp_path, capsys, monkeypatch
     (tmp_path / "logs" / "bin.1").write_text("# at 5\n### INSERT INTO `a`.`b`\n### SET\n###   @1=1\n")
     assert cli.main(["cdc", "--logs", f"{tmp_path}/logs", "--out", f"{tmp_path}/log"], spark) == 0
     assert spark.read.parquet(f"{tmp_path}/log").first()["table_name"] == "b"
+    (tmp_path / "logs" / "bin.2").write_text("# at 7\n### INSERT INTO `a`.`c`\n### SET\n###   @1=1\n# at 9\n### DELETE FROM `a`.`D`\n### WHERE\n###   @1=1\n")
+    assert cli.main(["cdc", "--logs", f"{tmp_path}/logs", "--out", f"{tmp_path}/log", "--exclude", "d"], spark) == 0
+    assert '{"files": 1, "events": 1}' in capsys.readouterr().out
+    assert {r["table_name"] for r in spark.read.parquet(f"{tmp_path}/log").collect()} == {"b", "c"}
     notes.write.parquet(f"{tmp_path}/notes")
     master.write.parquet(f"{tmp_path}/master")
     assert cli.main(["qc-audit", "--notes", f"{tmp_path}/notes", "--master", f"{tmp_path}/master", "--content", "a", "b"], spark) == 1

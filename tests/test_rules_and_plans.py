@@ -51,14 +51,44 @@ def test_notes(spark):
 def test_mapping(spark):
     old = spark.createDataFrame([(10_000_005, 5, 33)], "nd_patient_id bigint, patientid bigint, offset_days int")
     ids = spark.createDataFrame([(9,), (7,), (5,), (7,), (None,)], "patientid bigint")
-    got = {r["patientid"]: r["nd_patient_id"] for r in mp.populate_patient_map(old, ids).collect()}
+    got = {r["patientid"]: r["nd_patient_id"] for r in mp.populate_patient_map(old, ids, "s").collect()}
     assert got == {5: 10_000_005, 7: 10_000_006, 9: 10_000_007}
-    band = {r[0] for r in spark.range(5000).select(mp.banded_offset(F.col("id"))).collect()}
+    band = {r[0] for r in spark.range(5000).select(mp.banded_offset(F.col("id"), "s")).collect()}
     assert band == {*range(-38, -29), *range(30, 39)}
     n = mp.numbered(spark.range(1000).repartition(7), ["id"], "n").collect()
     assert all(r["n"] == r["id"] + 1 for r in n)
 
 
+def test_offsets_need_the_secret(spark):
+    a, b = ([r[0] for r in spark.range(200).select(mp.banded_offset(F.col("id"), x)).collect()] for x in ("s", "t"))
+    assert a != b and len(set(a)) > 10
+
+
+def test_encounter_numbers_are_unique(spark, monkeypatch):
+    monkeypatch.setattr(mp, "ENCOUNTER_BAND", 10)
+    pats = spark.createDataFrame([(1, 101), (2, 102), (3, 103)], "patientid bigint, nd_patient_id bigint")
+    enc = spark.createDataFrame([(e, 1 + (e % 5 == 0) + (e % 7 == 0), e % 4) for e in range(40)], "encounter_id bigint, patientid bigint, encounter_date int")
+    got = mp.encounter_surrogates(enc, pats).collect()
+    numbers = [r["nd_encounter_id"] for r in got]
+    assert len(set(numbers)) == len(numbers) == 40
+    first = sorted((r for r in got if r["patientid"] == 1), key=lambda r: (r["encounter_date"], r["encounter_id"]))
+    assert [r["nd_encounter_id"] for r in first[:9]] == list(range(1011, 1020)) and min(r["nd_encounter_id"] for r in first[9:]) > 1030
+    old = spark.createDataFrame([(100, 101, 1013), (101, 103, 1015), (102, 103, 1012), (103, 102, 5000)], "encounter_id bigint, nd_patient_id bigint, nd_encounter_id bigint")
+    new = {r["encounter_id"]: r["nd_encounter_id"] for r in mp.encounter_surrogates(enc.where("encounter_id < 20"), pats, old).collect()}
+    mine = [new[r["encounter_id"]] for r in first if r["encounter_id"] in new]
+    assert mine[:5] == [1014, 1016, 1017, 1018, 1019] and all(n > 5000 for n in mine[5:])
+    assert not set(new.values()) & {1013, 1015, 1012, 5000} and len(set(new.values())) == 20
+
+
+def test_mapping_delta_of_new_patients(spark):
+    old = spark.createDataFrame([(5, 1005, 33, None, False, None)], "patientid bigint, nd_patient_id bigint, offset_days int, registration_date string, excluded boolean, excluded_at string")
+    delta = spark.createDataFrame([(9, "d", True), (7, None, False), (5, None, True), (None, "x", True)], "patientid bigint, registration_date string, excluded boolean")
+    got = {r["patientid"]: r for r in mp.mapping_delta(old, delta, F.lit("now"), "s").collect()}
+    assert {k: r["nd_patient_id"] for k, r in got.items()} == {5: 1005, 7: 1006, 9: 1007}
+    assert got[5]["offset_days"] == 33 and all(30 <= abs(r["offset_days"]) <= 38 for r in got.values())
+    assert {k: r["excluded_at"] for k, r in got.items()} == {5: "now", 7: None, 9: "now"}
+
+
 def test_map_join_keys(spark):
     left = spark.createDataFrame([("PAT1", 1), ("7", 2), (None, 3)], "pid string, v int")
     right = spark.createDataFrame([(7, 100)], "pid bigint, nd bigint")
@@ -75,11 +105,20 @@ def test_plan_rejects_and_guards(spark):
     assert [tuple(r) for r in good.collect()] == [(10010001, "a", "2020-01-31 00:00:00")]
     assert {r["reason"] for r in bad.collect()} == {"unresolved_id:5002", "unresolved_id:5003", "unresolved_id:NULL"}
     assert all(json.loads(r["row_data"]) for r in bad.collect())
-    for r in ({}, {"note": ""}, {"absent": "MASK"}):
+    for r in ({}, {"note": ""}, {"absent": "MASK"}, {"encounterid": "ENCOUNTER_ID", "note": "MASKED"}):
         with pytest.raises(plans.UnsafePlan):
             plans.TablePlan("visits", r).apply(rows, pats, enc)
 
 
+def test_dates_in_cells_and_generic_notes(spark):
+    pats = spark.createDataFrame([(1001, 1, 3)], "nd_patient_id bigint, patientid bigint, offset_days int")
+    cells = ["seen 03/04/2024, left 2024-03-05 10:00:00", "03042024", "03/04/2024", "none", "", None, "13/13/2024 x"]
+    rows = spark.createDataFrame([(1, c, c) for c in cells], "pid bigint, at string, note string").coalesce(1)
+    got = plans.TablePlan("t", {"pid": "PATIENT_ID", "at": "DATE_OFFSET", "note": "GENERIC_NOTES"}).apply(rows, pats)[0].collect()
+    assert [r["at"] for r in got] == ["seen 2024-03-07, left 2024-03-08 10:00:00", "2024-03-07", "2024-03-07 00:00:00", None, None, None, None]
+    assert got[0]["note"] == "seen  2024-03-07 , left  2024-03-08 10:00:00 " and got[5]["note"] is None
+
+
 def test_configuration():
     env = {"A": "x", "L": '["p", "q"]'}
     assert plans.interpolate({"k": "${A}-${B:-d}", "l": "${L}", "n": 3}, env) == {"k": "x-d", "l": ["p", "q"], "n": 3}

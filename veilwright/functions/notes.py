@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .rules import DATE_FORMATS, DATE_IN_TEXT
+from .rules import DATE_FORMATS, DATE_IN_CELL, DATE_IN_TEXT
 
 #: What generic masking looks for and what it writes, in the order of application.
 IP = r"\b((25[0-5]|2[0-4][0-9]|[0-1]?[0-9][0-9]?)\.){3}(25[0-5]|2[0-4][0-9]|[0-1]?[0-9][0-9]?)\b"
@@ -155,8 +155,8 @@ def generic_chain(c: Column, offset: Column | None = None, address: Sequence[str
     return t
 
 
-_PY_FORMATS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d", "%m/%d/%Y", "%m-%d-%Y", "%m/%d/%y", "%m-%d-%y", "%d/%m/%Y", "%d-%m-%Y", "%m.%d.%Y", "%Y/%m/%d", "%Y/%m/%d.%H:%M:%S", "%d %b %Y", "%d %B %Y", "%b %d %Y", "%B %d %Y", "%b-%d-%Y"]
-_DATE_RE = re.compile(DATE_IN_TEXT, re.I)
+_PY_FORMATS = ["%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d", "%m/%d/%Y", "%m-%d-%Y", "%m/%d/%y", "%m-%d-%y", "%d/%m/%Y", "%d-%m-%Y", "%m.%d.%Y", "%Y/%m/%d", "%Y/%m/%d.%H:%M:%S", "%d %b %Y", "%d %B %Y", "%b %d %Y", "%B %d %Y", "%b-%d-%Y", "%m%d%Y", "%d%m%Y", "%Y%m%d"]
+_DATE_RE, _CELL_RE = re.compile(DATE_IN_TEXT, re.I), re.compile(DATE_IN_CELL, re.I)
 assert len(DATE_FORMATS) == 13
 
 
@@ -173,25 +173,48 @@ def _read_date(token: str, year_now: int) -> datetime | None:
     return None
 
 
+def _shift_match(m: re.Match, days: int, year_now: int) -> str | None:
+    d = _read_date(m[0], year_now)
+    if d is None:
+        return None
+    try:
+        d = d + timedelta(days=days)
+    except OverflowError:
+        d = datetime.max
+    return f"{d:%Y-%m-%d %H:%M:%S}" if re.search(r"\d{2}:\d{2}:\d{2}", m[0]) else f"{d:%Y-%m-%d}"
+
+
 def _shift_text(text: str, days: int, year_now: int) -> str:
+    return _DATE_RE.sub(lambda m: m[0] if (d := _shift_match(m, days, year_now)) is None else f" {d} ", text)
+
+
+def _shift_cell(text: str, days: int, year_now: int) -> str | None:
+    """The text with its dates shifted; null if none can be read."""
+    n = 0
+
     def one(m: re.Match) -> str:
-        d = _read_date(m[0], year_now)
-        if d is None:
-            return m[0]
-        try:
-            d = d + timedelta(days=days)
-        except OverflowError:
-            return " 9999-12-31 "
-        has_time = re.search(r"\d{2}:\d{2}:\d{2}", m[0])
-        return f" {d:%Y-%m-%d %H:%M:%S} " if has_time else f" {d:%Y-%m-%d} "
+        nonlocal n
+        d = _shift_match(m, days, year_now)
+        n += d is not None
+        return m[0] if d is None else d
 
-    return _DATE_RE.sub(one, text)
+    out = _CELL_RE.sub(one, text)
+    return out if n else None
+
+
+def _each(text: pd.Series, days: pd.Series, f) -> pd.Series:
+    now = datetime.now().year
+    return pd.Series([t if t is None or not any(c.isdigit() for c in t) else f(t, 0 if d is None or d != d else int(d), now) for t, d in zip(text, days, strict=True)], dtype="object")
 
 
 @F.pandas_udf(T.StringType())
 def _shift_udf(text: pd.Series, days: pd.Series) -> pd.Series:
-    now = datetime.now().year
-    return pd.Series([t if t is None or not any(c.isdigit() for c in t) else _shift_text(t, 0 if d is None or d != d else int(d), now) for t, d in zip(text, days, strict=True)], dtype="object")
+    return _each(text, days, _shift_text)
+
+
+@F.pandas_udf(T.StringType())
+def _shift_cell_udf(text: pd.Series, days: pd.Series) -> pd.Series:
+    return _each(text, days, _shift_cell)
 
 
 def shift_dates_in_text(text: Column, offset: Column) -> Column:
@@ -199,6 +222,11 @@ def shift_dates_in_text(text: Column, offset: Column) -> Column:
     return _shift_udf(text, F.coalesce(offset, F.lit(0)).cast("int"))
 
 
+def shift_dates_in_cell(text: Column, offset: Column) -> Column:
+    """Each date in a cell shifted where it stands; null if the cell holds none that can be read."""
+    return _shift_cell_udf(text, F.coalesce(offset, F.lit(0)).cast("int"))
+
+
 def birth_dates_to_year(text: Column, dob: Column) -> Column:
     """The patient's date of birth, in the usual numeric notations, becomes its year."""
     forms = ["yyyy-MM-dd", "MM/dd/yyyy", "M/d/yyyy", "MM-dd-yyyy", "M-d-yyyy", "MM/dd/yy", "M/d/yy", "MM.dd.yyyy", "yyyy/MM/dd"]

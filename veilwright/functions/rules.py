@@ -25,7 +25,7 @@ BIRTH_AHEAD, OTHER_AHEAD = 0, 10
 
 _MONTHS = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|Jun(?:e)?|Jul(?:y)?|Aug(?:ust)?|Sep(?:t)?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
 _M, _D = "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12]\\d|3[01])"
-#: Dates inside text: ISO with optional time, numeric with two- or four-digit year, named months.
+#: Dates inside text: ISO with optional time, numeric with two- or four-digit year, named months.
 DATE_IN_TEXT = (
     rf"\b\d{{4}}-{_M}-{_D}(?:\s\d{{2}}:\d{{2}}:\d{{2}}(?:\.\d{{1,9}})?)?\b|\b{_M}[/-]{_D}[/-]\d{{4}}\b|\b{_M}\.{_D}\.\d{{4}}\b|\b{_M}[/-]{_D}[/-]\d{{2}}\b"
     rf"|\b{_D}[/-]{_M}[/-]\d{{4}}\b|\b\d{{1,2}}\s(?:{_MONTHS})\s\d{{4}}\b|\b(?:{_MONTHS})[\s-]\d{{1,2}}(?:st|nd|rd|th)?[,/\s-]?\s?\d{{4}}\b|\b\d{{4}}/\d{{2}}/\d{{2}}\.\d{{2}}:\d{{2}}:\d{{2}}\b"
@@ -88,10 +88,21 @@ def zip3(c: Column) -> Column:
     return F.when(F.lower(t).isin("", "nan", "none"), None).when(F.length(t) > 2, F.substring(t, 1, 3)).otherwise(t)
 
 
-def generic_note(c: Column) -> Column:
+def shift_cell(c: Column, days: Column, typed: bool = False) -> Column:
+    """A whole date shifted as by :func:`shift`; in other text the dates within it; text without a readable date gives null."""
+    plain = shift(c, days, typed=typed)
+    if typed:
+        return plain
+    from .notes import shift_dates_in_cell
+
+    rest = F.when(plain.isNull() & c.cast("string").rlike(f"(?i){DATE_IN_CELL}"), c.cast("string"))
+    return F.coalesce(plain, shift_dates_in_cell(rest, days))
+
+
+def generic_note(c: Column, days: Column) -> Column:
     from .notes import generic_chain
 
-    return generic_chain(c)
+    return generic_chain(c, days)
 
 
 #: Rule name to (function of column and context, result type). The context holds
@@ -99,12 +110,12 @@ def generic_note(c: Column) -> Column:
 RULES: dict[str, tuple[Callable[[Column, dict], Column], str]] = {
     **{r: (lambda c, x: mapped_id(x["resolved"]), "bigint") for r in ("PATIENT_ID", "ENCOUNTER_ID", "REFERENCE_PID", "APPOINTMENT_ID", "CHART_ID")},
     "MASK": (lambda c, x: mask(x.get("token", "<<>>")), "string"),
-    "DATE_OFFSET": (lambda c, x: shift(c, x["offset"], typed=x.get("typed", False)), "string"),
-    "STATIC_OFFSET": (lambda c, x: shift(c, F.lit(DEFAULT_OFFSET), typed=x.get("typed", False)), "string"),
+    "DATE_OFFSET": (lambda c, x: shift_cell(c, x["offset"], x.get("typed", False)), "string"),
+    "STATIC_OFFSET": (lambda c, x: shift_cell(c, F.lit(DEFAULT_OFFSET), x.get("typed", False)), "string"),
     "DOB": (lambda c, x: birth_year(c), "int"),
     "PATIENT_DOB": (lambda c, x: birth_year(c), "int"),
     "ZIP_CODE": (lambda c, x: zip3(c), "string"),
-    "GENERIC_NOTES": (lambda c, x: generic_note(c), "string"),
+    "GENERIC_NOTES": (lambda c, x: generic_note(c, x["offset"]), "string"),
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import Versions
 from .change_feed import literal, sequence
 
 AUDIT = ["nd_extracted_date", "nd_updated_at", "nd_operation", "nd_activeflag"]
@@ -257,27 +258,69 @@ def closing(text: str, at: int) -> int:
     return -1
 
 
-def parse_insert(sql: str | None) -> dict[str, str] | None:
-    """Column to literal of an insert in VALUES (first row) or SET form; null for other statements."""
+def parse_inserts(sql: str | None) -> list[dict[str, str]] | None:
+    """Column to literal of each row of an insert in VALUES or SET form; null for other statements.
+
+    A row with another number of values than columns is empty.
+    """
     if not sql:
         return None
     m = re.match(r"(?is)^\s*(?:insert|replace)\s+(?:ignore\s+)?into\s+[`\w.]+\s*\(", sql)
     if m:
         end = closing(sql, m.end() - 1)
-        v = re.match(r"(?is)\s*values?\s*\(", sql[end + 1 :]) if end > 0 else None
+        v = re.match(r"(?is)\s*values?\s*(?=\()", sql[end + 1 :]) if end > 0 else None
         if not v:
             return None
-        start = end + v.end()
         cols = [c.strip().strip("`") for c in split_arguments(sql[m.end() : end])]
-        vals = split_arguments(sql[start + 1 : closing(sql, start)])
-        return dict(zip(cols, vals, strict=False)) if len(cols) == len(vals) else None
+        rows, at = [], end + 1 + v.end()
+        while at < len(sql) and sql[at] == "(":
+            stop = closing(sql, at)
+            if stop < 0:
+                return None
+            vals = split_arguments(sql[at + 1 : stop])
+            rows.append(dict(zip(cols, vals, strict=True)) if len(cols) == len(vals) else {})
+            more = re.match(r"\s*,\s*(?=\()", sql[stop + 1 :])
+            at = stop + 1 + more.end() if more else len(sql)
+        return rows
     m = re.match(r"(?is)^\s*(?:insert|replace)\s+(?:ignore\s+)?into\s+[`\w.]+\s+set\s+(.*?)(?:\s+on\s+duplicate\s+key.*)?;?\s*$", sql)
     if m:
         pairs = [p.split("=", 1) for p in split_arguments(m[1]) if "=" in p]
-        return {c.strip().strip("`"): v.strip() for c, v in pairs}
+        return [{c.strip().strip("`"): v.strip() for c, v in pairs}]
     return None
 
 
+def parse_insert(sql: str | None) -> dict[str, str] | None:
+    """The first row of :func:`parse_inserts`; null if it is malformed."""
+    rows = parse_inserts(sql)
+    return (rows[0] or None) if rows else None
+
+
+def take_logs(files: DataFrame, out: str, schemas: Sequence[str] | None = None, tables: Sequence[str] | None = None, exclude: Sequence[str] = ()) -> dict[str, int]:
+    """Add the events of log texts ``files(path, value)`` that ``out`` lacks to it; names of tables in any letter case.
+
+    Each call is a partition named after its version, which lists the files taken; a call
+    that dies leaves no version and its partition is written anew. Returns counts.
+    """
+    spark = files.sparkSession
+    versions = Versions(spark, out)
+    n, seen = versions.current()
+    name = F.substring_index("path", "/", -1)
+    new = files.withColumn("_name", name)
+    if seen:
+        new = new.join(spark.read.parquet(*seen["names"]).select(F.col("name").alias("_taken")), F.col("_name") == F.col("_taken"), "left_anti")
+    events = read_log_texts(new.select("path", "value"), schemas)
+    low = F.lower("table_name")
+    if tables:
+        events = events.where(low.isin([t.lower() for t in tables]))
+    if exclude:
+        events = events.where(~low.isin([t.lower() for t in exclude]))
+    path, names = f"{out}/batch={n + 1:010d}", f"{out}/_names-{n + 1:010d}"
+    events.write.mode("overwrite").parquet(path)
+    new.select(F.col("_name").alias("name")).distinct().write.mode("overwrite").parquet(names)
+    versions.commit(n, {"batches": [*seen.get("batches", []), path], "names": [*seen.get("names", []), names]})
+    return {"files": spark.read.parquet(names).count(), "events": spark.read.parquet(path).count()}
+
+
 @F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def insert_values(sql: pd.Series) -> pd.Series:
     """Column to literal of insert statements, on Arrow batches."""

@@ -110,6 +110,16 @@ def decrypt_note(data: bytes | None, when: str, secret: bytes, decrypt: Callable
         return None
 
 
+def decrypt_notes(df: DataFrame, content: str, when: str, secret: bytes, decrypt: Callable[[bytes, bytes], bytes]) -> DataFrame:
+    """``df`` with its notes decrypted by the date in ``when``; what can't be read gives null."""
+
+    @F.pandas_udf(T.StringType())
+    def read(data: pd.Series, day: pd.Series) -> pd.Series:
+        return pd.Series([decrypt_note(b, d or "", secret, decrypt) for b, d in zip(data, day, strict=True)], dtype="object")
+
+    return df.withColumn(content, read(F.col(content).cast("binary"), F.col(when).cast("string")))
+
+
 # --- reading XML ---------------------------------------------------------------------------
 _MENDS: list[Callable[[str], str]] = [
     lambda s: s,

@@ -168,9 +168,12 @@ class TablePlan:
         return out
 
     def check(self, columns: Sequence[str]) -> None:
-        """Refuse a table without rules, or with rules for columns it lacks."""
+        """Refuse a table without rules, with rules that don't exist, or with rules for columns it lacks."""
         if not any((r or "").strip() for r in self.rules.values()):
             raise UnsafePlan(f"table {self.table} has no rules")
+        unknown = sorted(f"{r} of {c}" for c, r in self.rules.items() if (r or "").strip() and rule_of(r) is None)
+        if unknown:
+            raise UnsafePlan(f"table {self.table} has unknown rules: {', '.join(unknown)}")
         missing = sorted(c for c in self.rules if c.lower() not in {x.lower() for x in columns})
         if missing:
             raise UnsafePlan(f"table {self.table} lacks {', '.join(missing)}")
@@ -195,8 +198,8 @@ class TablePlan:
         row is asked of its reference (``reference_mapping`` of the patients), encounter,
         patient, appointment and chart columns in turn; rows without one are rejected as
         JSON with the reason. A reference that isn't mapped is the row's patient. Tables
-        with appointment, chart or reference columns but without that map are refused. Columns keep their order. NOTES columns go through
-        the whole chain of ``notes``; without it, or in a table without ids, they are refused.
+        with appointment, chart or reference columns but without that map are refused, as are unknown rules. Columns keep
+        their order. NOTES columns go through the whole chain of ``notes``; without it, or in a table without ids, they are refused.
         """
         df = df.toDF(*[c.lower() for c in df.columns])
         self.check(df.columns)

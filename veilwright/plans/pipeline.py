@@ -6,7 +6,6 @@ import csv
 import io
 import json
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,10 @@ from pyspark.sql import functions as F
 
 from ..operators import quality as qc
 from ..operators import resolve as rs
+from ..operators.incremental import RecordState, deliveries, transitions
+from ..session import materialize, release
 from . import NotePlan, TablePlan, UnsafePlan, interpolate, overlay, roles
+from .identifiers import check_identifiers, remap_single
 
 
 @dataclass
@@ -23,7 +25,11 @@ class Config:
 
     ``notes`` says how NOTES columns are masked: ``tables`` (of each master table its name
     as ``table``, and ``key``, ``mask``, ``dob``, ``combine``), ``regex``, ``replace``,
-    ``address`` and ``facility``.
+    ``address`` and ``facility``. ``secret`` decides the date offsets of new patients.
+    Tables in ``exclude`` are left out, in any letter case. ``identifiers`` are the
+    project's identifiers, columns of the patient map. ``incremental`` gives tables that
+    are taken up by runs their ``key`` and ``times`` columns, and ``state`` is where what
+    runs have taken is kept.
     """
 
     source: str
@@ -34,6 +40,11 @@ class Config:
     appointment_map: str | None = None
     chart_map: str | None = None
     date_offset_days: int = 34
+    secret: str = ""
+    exclude: list[str] = field(default_factory=list)
+    identifiers: list[str] = field(default_factory=list)
+    incremental: dict[str, dict] = field(default_factory=dict)
+    state: str = ""
     qc: dict = field(default_factory=dict)
     notes: dict = field(default_factory=dict)
 
@@ -68,94 +79,129 @@ def tables_to_run(text: str, known: Sequence[str]) -> list[str]:
     return [n for n in names if n and not n.startswith("#") and n in set(known)]
 
 
+_REPORT = "table_name string, status string, n_in bigint, n_out bigint, n_rejected bigint, error string"
+
+
+def prerequisites(spark: SparkSession, cfg: Config, read: Callable[[str], DataFrame] | None = None) -> list[str]:
+    """What a run lacks: maps and master tables that don't exist or are empty."""
+    read = read or (lambda t: spark.read.parquet(f"{cfg.source}/{t}.parquet"))
+    need = [m for m in (cfg.patient_map, cfg.encounter_map, cfg.appointment_map, cfg.chart_map) if m] + [m["table"] for m in cfg.notes.get("tables", [])]
+    out = []
+    for t in dict.fromkeys(need):
+        try:
+            if read(t).isEmpty():
+                out.append(f"table {t} is empty")
+        except Exception as e:
+            out.append(f"table {t} can't be read: {str(e).splitlines()[0][:200]}")
+    return out
+
+
+def chosen(cfg: Config, tables: Sequence[str] | None = None) -> list[str]:
+    """The tables of a run: those asked for, else all configured, without the excluded ones."""
+    out = {t.strip().lower() for t in cfg.exclude}
+    return [t for t in tables or list(cfg.rules) if t.lower() not in out]
+
+
+def effective_rules(cfg: Config, map_columns: Sequence[str]) -> dict[str, dict[str, str]]:
+    """Rules after the identifier settings: checked, and old names mapped where there is one identifier."""
+    if not cfg.identifiers:
+        return cfg.rules
+    rules = {t: remap_single(rs, cfg.identifiers) for t, rs in cfg.rules.items()}
+    check_identifiers(cfg.identifiers, [c.lower() for c in map_columns], rules)
+    return rules
+
+
 def run_tables(spark: SparkSession, cfg: Config, tables: Sequence[str] | None = None, read: Callable[[str], DataFrame] | None = None) -> DataFrame:
     """De-identify tables and write rows and rejects; ``(table_name, status, n_in, n_out, n_rejected, error)``.
 
     A table without any rule is copied, one whose rules don't fit, or whose notes can't be
-    masked, fails, and the others go on. Writing overwrites, so a run may be repeated.
+    masked, fails, and the others go on. Writing overwrites, so a run may be repeated;
+    tables under ``incremental`` get only what no run has taken. The report is kept for
+    :func:`last_report`.
     """
     read = read or (lambda t: spark.read.parquet(f"{cfg.source}/{t}.parquet"))
     report = []
-    for t in tables or list(cfg.rules):
+    all_rules = effective_rules(cfg, read(cfg.patient_map).columns if cfg.identifiers else [])
+    for t in chosen(cfg, tables):
         try:
-            df, rules = read(t), cfg.rules.get(t)
+            rules = all_rules.get(t)
             if rules is None:
                 raise UnsafePlan(f"table {t} isn't configured")
-            if not any(rules.values()):
-                df.write.mode("overwrite").parquet(f"{cfg.destination}/{t}.parquet")
+            if t in cfg.incremental:
+                report.append((t, *_run_increment(spark, cfg, t, rules, read), None))
+            elif not any(rules.values()):
+                read(t).write.mode("overwrite").parquet(f"{cfg.destination}/{t}.parquet")
                 n = spark.read.parquet(f"{cfg.destination}/{t}.parquet").count()
                 report.append((t, "passthrough", n, n, 0, None))
-                continue
-            plan = TablePlan(t, {c: r for c, r in rules.items() if r}, default_offset=cfg.date_offset_days)
-            notes = None
-            if cfg.notes and "NOTES" in {r.strip().upper() for r in plan.rules.values()}:
-                notes = NotePlan(**cfg.notes | {"tables": [m | {"table": read(m["table"])} for m in cfg.notes.get("tables", [])]})
-            maps = [read(m) if m else None for m in (cfg.encounter_map, cfg.appointment_map, cfg.chart_map)]
-            good, bad = plan.apply(df, read(cfg.patient_map), maps[0], notes, *maps[1:])
-            good.write.mode("overwrite").parquet(f"{cfg.destination}/{t}.parquet")
-            bad.write.mode("overwrite").parquet(f"{cfg.destination}/_rejects/{t}.parquet")
-            n = [df.count(), *(spark.read.parquet(f"{cfg.destination}/{p}{t}.parquet").count() for p in ("", "_rejects/"))]
-            report.append((t, "completed" if n[0] == n[1] + n[2] else "failed", *n, None))
+            else:
+                report.append((t, *_run_whole(spark, cfg, t, rules, read), None))
         except Exception as e:  # one table's trouble is no other's
             report.append((t, "failed", None, None, None, str(e).splitlines()[0][:500]))
-    return spark.createDataFrame(report, "table_name string, status string, n_in bigint, n_out bigint, n_rejected bigint, error string")
+    out = spark.createDataFrame(report, _REPORT)
+    out.coalesce(1).withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{cfg.destination}/_reports")
+    return out
 
 
-def table_checks(source: DataFrame, dest: DataFrame, rules: Mapping[str, str], n_rejected: int = 0, tolerance: float = 1.0) -> list[DataFrame]:
-    """Findings ``(check_name, status, detail)`` of a table: detectors by rule in one pass, row counts, fill rates."""
-    dest = dest.toDF(*[c.lower() for c in dest.columns])
-    tests = {}
-    for c, r in rules.items():
-        c = c.lower()
-        if c not in dest.columns:
-            continue
-        col, r = F.col(c), r.upper()
-        if r == "ZIP_CODE":
-            tests[c] = qc.zip_ok(col)
-        elif r in ("DOB", "PATIENT_DOB"):
-            tests[c] = qc.birth_year_ok(col)
-        elif r == "MASK":
-            tests[c] = qc.mask_ok(col, c.upper())
-        elif r in ("NOTES", "GENERIC_NOTES"):
-            tests[c] = F.coalesce(F.size(qc.residual(col)), F.lit(0)) == 0
-    out = []
-    if tests:
-        one = dest.agg(*[F.count_if(~ok).alias(c) for c, ok in tests.items()])
-        out.append(one.select(F.explode(F.array(*[F.struct(F.lit(f"column:{c}").alias("check_name"), F.when(F.col(c) > 0, "FAIL").otherwise("PASS").alias("status"), F.col(c).cast("string").alias("detail")) for c in tests])).alias("x")).select("x.*"))
-    n = source.select(F.lit(1).alias("s"), F.lit(0).alias("d")).unionByName(dest.select(F.lit(0).alias("s"), F.lit(1).alias("d"))).agg(F.sum("s").alias("s"), F.sum("d").alias("d"))
-    out.append(n.select(F.lit("row_count").alias("check_name"), F.when(F.col("s") == F.col("d") + n_rejected, "PASS").otherwise("FAIL").alias("status"), F.concat_ws(" / ", F.col("s").cast("string"), F.col("d").cast("string")).alias("detail")))
-    both = [c for c, r in rules.items() if r and c.lower() in dest.columns and c in source.columns]
-    if both:
-        f = qc.compare_fill(source, dest, [c.lower() for c in both], tolerance)
-        out.append(f.select(F.concat(F.lit("fill:"), "column_name").alias("check_name"), F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"), F.concat_ws(" / ", F.col("source_rate").cast("string"), F.col("dest_rate").cast("string")).alias("detail")))
-    return out
+def last_report(spark: SparkSession, cfg: Config) -> DataFrame:
+    """The last line of each table over all runs."""
+    rows = spark.read.parquet(f"{cfg.destination}/_reports")
+    cols = [c for c in rows.columns if c != "table_name"]
+    return rows.groupBy("table_name").agg(F.max_by(F.struct(*cols), "at").alias("r")).select("table_name", "r.*")
 
 
-def auto_qc(spark: SparkSession, cfg: Config, tables: Sequence[str] | None = None, workers: int = 4) -> tuple[DataFrame, DataFrame]:
-    """(summary, findings) of all checks of all tables; a check that breaks is an ERROR of its own table only."""
+def retry_failed(spark: SparkSession, cfg: Config, read: Callable[[str], DataFrame] | None = None) -> DataFrame:
+    """Run the tables again whose last run failed."""
+    names = [r["table_name"] for r in last_report(spark, cfg).where("status = 'failed'").select("table_name").collect()]
+    known = [t for t in names if t in cfg.rules]
+    return run_tables(spark, cfg, known, read) if known else spark.createDataFrame([], _REPORT)
 
-    def one(t: str) -> list[tuple]:
-        try:
-            src, dst = (spark.read.parquet(f"{p}/{t}.parquet") for p in (cfg.source, cfg.destination))
-            try:
-                n_bad = spark.read.parquet(f"{cfg.destination}/_rejects/{t}.parquet").count()
-            except Exception:
-                n_bad = 0
-            return [(t, *r) for df in table_checks(src, dst, cfg.rules[t], n_bad) for r in df.collect()]
-        except Exception as e:
-            return [(t, "table", "ERROR", str(e).splitlines()[0][:500])]
 
-    names = list(tables or cfg.rules)
-    with ThreadPoolExecutor(max(1, workers)) as pool:
-        rows = [r for part in pool.map(one, names) for r in part]
-    findings = spark.createDataFrame(rows, "table_name string, check_name string, status string, detail string")
-    return qc.summary(findings), findings
+def _applied(cfg: Config, t: str, df: DataFrame, rules: Mapping[str, str], read: Callable[[str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    plan = TablePlan(t, {c: r for c, r in rules.items() if r}, default_offset=cfg.date_offset_days)
+    notes = None
+    if cfg.notes and "NOTES" in {r.strip().upper() for r in plan.rules.values()}:
+        notes = NotePlan(**cfg.notes | {"tables": [m | {"table": read(m["table"])} for m in cfg.notes.get("tables", [])]})
+    maps = [read(m) if m else None for m in (cfg.encounter_map, cfg.appointment_map, cfg.chart_map)]
+    return plan.apply(df, read(cfg.patient_map), maps[0], notes, *maps[1:])
 
 
-def audit_report(summary: DataFrame) -> dict:
-    """Totals of a summary and its Markdown; passed when every table passed."""
-    rows = summary.orderBy("table_name").collect()
-    return {"tables": len(rows), "passed": sum(r["overall_status"] == "PASS" for r in rows), "overall_passed": all(r["overall_status"] in ("PASS", "SKIPPED") for r in rows), "markdown": qc.markdown(rows)}
+def _write(spark: SparkSession, good: DataFrame, bad: DataFrame, n_in: int, to: str, rejects: str) -> tuple[str, int, int, int]:
+    """Write both sides; the rejects are only looked for if rows are missing. Counts come from the files' footers."""
+    good.write.mode("overwrite").parquet(to)
+    n_out = spark.read.parquet(to).count()
+    (bad if n_out < n_in else spark.createDataFrame([], "reason string, row_data string")).write.mode("overwrite").parquet(rejects)
+    n_bad = spark.read.parquet(rejects).count()
+    return "completed" if n_in == n_out + n_bad else "failed", n_in, n_out, n_bad
+
+
+def _run_whole(spark: SparkSession, cfg: Config, t: str, rules: Mapping[str, str], read: Callable[[str], DataFrame]) -> tuple[str, int, int, int]:
+    df = read(t)
+    good, bad = _applied(cfg, t, df, rules, read)
+    return _write(spark, good, bad, df.count(), f"{cfg.destination}/{t}.parquet", f"{cfg.destination}/_rejects/{t}.parquet")
+
+
+def _run_increment(spark: SparkSession, cfg: Config, t: str, rules: Mapping[str, str], read: Callable[[str], DataFrame]) -> tuple[str, int, int, int]:
+    """Take up the records that no run has taken, into a partition named after the state's next version.
+
+    A run that dies before its commit leaves the version as it was, so the next one writes
+    the same partition anew: nothing is skipped and nothing comes twice.
+    """
+    if not cfg.state:
+        raise UnsafePlan(f"table {t} is incremental, but there is no state folder")
+    df, how = read(t), cfg.incremental[t]
+    key = how["key"]
+    state = RecordState(spark, f"{cfg.state}/{t}")
+    now = materialize(transitions(deliveries(df, t, key, how["times"], how.get("ignore", ["nd_operation"]))), "run-transitions")
+    pending = materialize(state.pending(now), "run-pending")
+    number = state.version() + 1
+    todo = df.join(pending.select(F.col("rec_key").alias("_rk")).distinct(), F.col(key).eqNullSafe(F.col("_rk")), "left_semi")
+    good, bad = _applied(cfg, t, todo, rules, read) if any(rules.values()) else (todo, todo.limit(0).select(F.lit("").alias("reason"), F.lit("").alias("row_data")))
+    got = _write(spark, good, bad, todo.count(), f"{cfg.destination}/{t}.parquet/run={number}", f"{cfg.destination}/_rejects/{t}.parquet/run={number}")
+    if got[0] == "completed":
+        state.commit(pending)
+    release(now)
+    release(pending)
+    return got
 
 
 def roles_of(cfg: Config):

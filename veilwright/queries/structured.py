@@ -329,13 +329,21 @@ def w02_row_ids(s, d):
     return mp.numbered(T(s, d, "events").select("event_id", "ts"), ["ts", "event_id"], "row_id").select("event_id", "row_id")
 
 
-_CUST = """cmap as (select c_custkey patientid, 10000000 + row_number() over (order by c_custkey) nd_patient_id,
-  case when (c_custkey * 7919 + 42) % 18 < 9 then (c_custkey * 7919 + 42) % 18 - 38 else (c_custkey * 7919 + 42) % 18 + 21 end offset_days from customer)"""
+#: Secret of the offsets in these queries.
+_SECRET = "example secret"
+
+
+def _offset(k: str) -> str:
+    v = f"(('0x' || substr(sha256('{_SECRET}:' || sha256('{_SECRET}:' || {k})), 1, 8))::bigint % 18)"
+    return f"case when {v} < 9 then {v} - 38 else {v} + 21 end::int"
+
+
+_CUST = f"""cmap as (select c_custkey patientid, 10000000 + row_number() over (order by c_custkey) nd_patient_id, {_offset('c_custkey')} offset_days from customer)"""
 
 
 def _customers(s, d):
     empty = s.createDataFrame([], "nd_patient_id bigint, patientid bigint, offset_days int")
-    return mp.populate_patient_map(empty, T(s, d, "customer").select(F.col("c_custkey").alias("patientid")))
+    return mp.populate_patient_map(empty, T(s, d, "customer").select(F.col("c_custkey").alias("patientid")), _SECRET)
 
 
 @query(f"with {_CUST} select nd_patient_id, patientid, offset_days::int as offset_days from cmap")
@@ -431,6 +439,48 @@ def r07_clamp(s, d):
     return T(s, d, "lineitem").select("l_orderkey", "l_linenumber", rules.shift(F.lit("1000-01-05 00:00:00"), -F.col("l_linenumber") * 2).alias("low"))
 
 
+_USABLE = """pats as (select patientid, min(nd_patient_id) nd, min(offset_days) off from patient_mapping_table where not coalesce(excluded, false) group by 1),
+exc as (select distinct nd_patient_id from patient_mapping_table where excluded)"""
+
+
+@query(f"""with {_USABLE}, offs as (select nd, min(off) off from pats group by 1),
+own as (select patientid, min(nd_patient_id) nd from patient_mapping_table group by 1),
+amap as (select apptid, min(own.nd) nd from appointment_dump left join own using (patientid) where own.nd is null or own.nd not in (from exc) group by 1),
+j as (select d.nd_auto_increment_id, d.apptid, d.patientid, p.nd rnd, a.nd an, case when d.patientid % 2 = 0 and own.nd not in (from exc) then own.nd end cn, a.apptid hasa
+  from appointment_dump d left join pats p on p.patientid = d.patientid and p.patientid % 3 > 0 left join amap a on a.apptid = d.apptid left join own on own.patientid = d.patientid)
+select nd_auto_increment_id, case when hasa is not null then 100100000000000 + apptid end as apptid, coalesce(rnd, an, cn) as ref, case when cn is not null then 7000000 + patientid end as chart
+from j where coalesce(rnd, an, cn) is not null""")
+def r03_r04_r05_ids(s, d):
+    """Reference, appointment and chart ids of all appointments through a table plan; two thirds of the patients have a reference, half a chart."""
+    a, p = T(s, d, "appointment_dump", "patient_mapping_table")
+    rows = a.select("nd_auto_increment_id", "apptid", F.concat(F.lit("r"), "patientid").alias("ref"), F.concat(F.lit("c"), "patientid").alias("chart"))
+    own = p.groupBy("patientid").agg(F.min("nd_patient_id").alias("nd_patient_id"))
+    appts = a.join(own, "patientid", "left").select(F.col("apptid").alias("appointment_id"), (F.col("apptid") + 100100000000000).alias("nd_appointment_id"), "nd_patient_id")
+    charts = own.where("patientid % 2 = 0").select(F.concat(F.lit("c"), "patientid").alias("chart_id"), (F.col("patientid") + 7000000).alias("nd_chart_id"), "nd_patient_id")
+    pats = p.withColumn("reference_mapping", F.when(F.col("patientid") % 3 > 0, F.concat(F.lit("r"), "patientid")))
+    plan = plans.TablePlan("appointments", {"apptid": "APPOINTMENT_ID", "ref": "REFERENCE_PID", "chart": "CHART_ID"})
+    return plan.apply(rows, pats, appointments=appts, charts=charts)[0]
+
+
+@query(f"""with {_USABLE} select id, nd as patientid, 'visit  ' || strftime(encounter_date::date + to_days(off), '%Y-%m-%d') || '  call ((PHONE_NUMBER)) x' as note
+from encounter_mapping_table join pats using (patientid) where encounter_date is not null""")
+def r11_generic_notes_plan(s, d):
+    """Generic notes through a table plan: masks, and dates shifted by the patient's offset."""
+    e, p = T(s, d, "encounter_mapping_table", "patient_mapping_table")
+    rows = e.where("encounter_date is not null").select("id", "patientid", F.concat(F.lit("visit "), F.date_format("encounter_date", "MM/dd/yyyy"), F.lit(" call 212-555-0100 x")).alias("note"))
+    return plans.TablePlan("visits", {"patientid": "PATIENT_ID", "note": "GENERIC_NOTES"}).apply(rows, p)[0]
+
+
+@query(f"""with {_USABLE} select id, nd as patientid, case when id % 3 = 0 then strftime(encounter_date::date + to_days(off), '%Y-%m-%d 00:00:00') when id % 3 = 1 then 'seen ' || strftime(encounter_date::date + to_days(off), '%Y-%m-%d') || ', twice' end as at
+from encounter_mapping_table join pats using (patientid) where encounter_date is not null""")
+def r15_dates_in_cells_plan(s, d):
+    """Date cells through a table plan: whole dates, dates within text, and text without a date, which isn't released."""
+    e, p = T(s, d, "encounter_mapping_table", "patient_mapping_table")
+    day = F.date_format("encounter_date", "MM/dd/yyyy")
+    at = F.when(F.col("id") % 3 == 0, day).when(F.col("id") % 3 == 1, F.concat(F.lit("seen "), day, F.lit(", twice"))).otherwise("no date")
+    return plans.TablePlan("visits", {"patientid": "PATIENT_ID", "at": "DATE_OFFSET"}).apply(e.where("encounter_date is not null").select("id", "patientid", at.alias("at")), p)[0]
+
+
 @query("""select c_custkey, (case when 2000 + c_custkey % 100 > 2024 then 1900 + c_custkey % 100 else 2000 + c_custkey % 100 end)::int as birth_year from customer""")
 def r14_two_digit_year(s, d):
     text = F.concat(F.lit("1/7/"), F.lpad((F.col("c_custkey") % 100).cast("string"), 2, "0"))
@@ -441,16 +491,18 @@ def r14_two_digit_year(s, d):
 _NOW = "2024-07-01 00:00:00"
 
 
-@query(f"""with old as (select patientid, min(nd_patient_id) nd_patient_id, min(registration_date) registration_date, bool_or(excluded) excluded, min(excluded_at) excluded_at from patient_mapping_table group by 1),
-d as (select try_cast(trim(patientid) as bigint) patientid, max(registration_date) d_reg, bool_or(coalesce(lower(trim(excluded)) in ('1','y','true'), false)) d_exc from patient_mapping_local where try_cast(trim(patientid) as bigint) is not null group by 1)
-select coalesce(old.patientid, d.patientid) as patientid, nd_patient_id, coalesce(d_reg, registration_date) as registration_date, coalesce(excluded, false) or coalesce(d_exc, false) as excluded,
-case when (coalesce(excluded, false) or coalesce(d_exc, false)) and not coalesce(excluded, false) then timestamp '{_NOW}' else excluded_at end as excluded_at from old full join d on old.patientid = d.patientid""")
+@query(f"""with old as (select patientid, min(nd_patient_id) nd_patient_id, min(offset_days) offset_days, min(registration_date) registration_date, bool_or(excluded) excluded, min(excluded_at) excluded_at from patient_mapping_table where patientid is not null group by 1),
+d as (select try_cast(trim(patientid) as bigint) patientid, max(registration_date) d_reg, bool_or(coalesce(lower(trim(excluded)) in ('1','y','true'), false)) d_exc from patient_mapping_local where try_cast(trim(patientid) as bigint) is not null group by 1),
+fresh as (select patientid, (select max(nd_patient_id) from old) + row_number() over (order by patientid) nd, {_offset('patientid')} off from d where patientid not in (select patientid from old))
+select coalesce(old.patientid, d.patientid) as patientid, coalesce(nd_patient_id, nd) as nd_patient_id, coalesce(offset_days, off) as offset_days, coalesce(d_reg, registration_date) as registration_date, coalesce(excluded, false) or coalesce(d_exc, false) as excluded,
+case when (coalesce(excluded, false) or coalesce(d_exc, false)) and not coalesce(excluded, false) then timestamp '{_NOW}' else excluded_at end as excluded_at from old full join d on old.patientid = d.patientid left join fresh on fresh.patientid = d.patientid""")
 def m07_mapping_delta(s, d):
+    """New patients get a surrogate and an offset, known ones keep theirs."""
     m, l = T(s, d, "patient_mapping_table", "patient_mapping_local")
-    old = m.groupBy("patientid").agg(F.min("nd_patient_id").alias("nd_patient_id"), F.min("registration_date").alias("registration_date"), F.bool_or("excluded").alias("excluded"), F.min("excluded_at").alias("excluded_at"))
+    old = m.where("patientid is not null").groupBy("patientid").agg(*[F.min(c).alias(c) for c in ("nd_patient_id", "offset_days", "registration_date")], F.bool_or("excluded").alias("excluded"), F.min("excluded_at").alias("excluded_at"))
     pid = id_long(F.col("patientid"))
     delta = l.where(pid.isNotNull()).select(pid.alias("patientid"), "registration_date", (F.coalesce(flag(F.col("excluded")), F.lit("N")) == "Y").alias("excluded"))
-    return mp.mapping_delta(old, delta, F.expr(f"timestamp_ntz'{_NOW}'"))
+    return mp.mapping_delta(old, delta, F.expr(f"timestamp_ntz'{_NOW}'"), _SECRET)
 
 
 @query("""with o as (select nd_patient_id, max(umobileno) umobileno, max(uemail) uemail from pii_data_table where nd_patient_id is not null group by 1),
