@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cdc
+from ..operators import cdc_apply as ca
+from ..operators.change_feed import sequence
 from ..session import scratch_path
 from ..streaming.changes import StateTable, run_available
 from .structured import T
@@ -156,9 +158,10 @@ def c35_failure_counts(s, d):
     return _log(s, d).groupBy(F.upper(F.trim("operation")).alias("operation"), F.lower(F.trim("table_name")).alias("table_name")).agg(F.count("*").alias("n_events")).orderBy(F.desc("n_events"))
 
 
-@query("select id, binlog_file, binlog_pos from change_log order by binlog_file, binlog_pos, id")
+@query("select id, binlog_file, binlog_pos from change_log order by try_cast(regexp_extract(binlog_file, '\\.(\\d+)$', 1) as bigint) nulls first, binlog_pos nulls first, id")
 def c31_l08_log_order(s, d):
-    return _log(s, d).select("id", "binlog_file", "binlog_pos").orderBy("binlog_file", "binlog_pos", "id")
+    """The whole log in the order of its files' numbers, positions and ids."""
+    return _log(s, d).select("id", "binlog_file", "binlog_pos").orderBy(sequence(F.col("binlog_file"), F.col("binlog_pos"), F.col("id")))
 
 
 @query("select o_orderkey, case o_orderstatus when 'F' then 'INSERT' when 'O' then 'UPDATE' when 'P' then 'DELETE' end as op from orders")
@@ -239,3 +242,77 @@ def c30_insert_select(s, d):
     sql = F.expr("case user_id % 2 when 0 then 'INSERT INTO a SELECT * FROM b' else 'INSERT INTO a SET x = 1' end")
     f = cdc.insert_format(sql)
     return T(s, d, "events").select("event_id", F.when(f == "INSERT_SELECT", "insert_select").otherwise("insert").alias("kind"))
+
+
+_COLS = {"1": "apptid", "2": "patientid", "3": "facilityid", "4": "appt_status"}
+_APPLY = r"""
+with e as (
+  select (try_cast(regexp_extract(binlog_file, '\.(\d+)$', 1) as bigint), binlog_pos, id) s, upper(substr(trim(operation), 1, 1)) o, payload::json j
+  from change_log where lower(trim(table_name)) = 'appointments' and binlog_pos is not null and regexp_matches(binlog_file, '\.(\d+)$')),
+v as (
+  select s, o, json_keys(j) ks, list_transform(['1', '2', '3', '4'], lambda p: case when upper(trim(j->>p)) = 'NULL' then null
+    when regexp_matches(trim(j->>p), '^-?\d+\s+\(\d+\)$') then regexp_extract(trim(j->>p), '^(-?\d+)', 1)
+    when starts_with(trim(j->>p), chr(39)) and ends_with(trim(j->>p), chr(39)) and length(trim(j->>p)) > 1 then regexp_replace(trim(j->>p)[2:-2], '\\(.)', '\1', 'g') else trim(j->>p) end) c from e),
+b as (select apptid::varchar k, max(coalesce(nd_operation, 'NONE')) op, max_by(coalesce(nd_activeflag, 'Y'), coalesce(nd_operation, 'NONE')) fl, max(patientid)::varchar c2, max(facilityid)::varchar c3, max(appt_status) c4
+  from appointment_dump where apptid is not null group by 1),
+births as (select k, min(s) born from (select k, (-1::bigint, -1::bigint, -1::bigint) s from b union all select c[1], s from v where o in ('I', 'U') and c[1] is not null) group by 1),
+x as (
+  select v.*, c[1] k, born, case when len(list_intersect(ks, ['1', '2', '3', '4'])) = 0 or o not in ('I', 'U', 'D') then 'skipped_row_based' when o = 'I' and c[1] is null then 'errors_insert_no_pk' when o = 'U' and c[1] is null then 'skipped_row_based'
+    when o = 'I' then case when s > born then 'refreshed' else 'inserted' end when o = 'U' then 'updated' when s > born then 'soft_deleted' else 'delete_no_match' end outcome
+  from v left join births on c[1] = births.k)
+"""
+
+
+def _applied(s, d):
+    cols = list(_COLS.values())
+    base = ca.base_rows(T(s, d, "appointment_dump"), "apptid", cols)
+    log = _log(s, d).where(F.lower(F.trim("table_name")) == "appointments")
+    return ca.apply_row_events(base, ca.row_events(log, _COLS), "apptid", cols)
+
+
+@query(_APPLY + r"""
+, r as (select k, s, case o when 'I' then 'INSERT' when 'U' then 'UPDATE' else 'DELETE' end op, case when o = 'D' then 'N' when o = 'I' or s = born then 'Y' end fl, o <> 'D' and list_contains(ks, '2') h2, c[2] c2, o <> 'D' and list_contains(ks, '3') h3, c[3] c3, o <> 'D' and list_contains(ks, '4') h4, c[4] c4
+  from x where outcome in ('inserted', 'refreshed', 'updated', 'soft_deleted')
+  union all select k, (-1::bigint, -1::bigint, -1::bigint), op, fl, true, c2, true, c3, true, c4 from b)
+select k as apptid, max_by(op, s) as nd_operation, max_by(fl, s) filter (fl is not null) as nd_activeflag, (max_by([c2], s) filter (h2))[1] as patientid, (max_by([c3], s) filter (h3))[1] as facilityid, (max_by([c4], s) filter (h4))[1] as appt_status from r group by 1""")
+def c12_c13_c14_apply(s, d):
+    """All events of appointments applied to the dump: inserts, upserting updates and soft deletes by key."""
+    return _applied(s, d)[0].select(F.col("k").alias("apptid"), "nd_operation", "nd_activeflag", "patientid", "facilityid", "appt_status")
+
+
+@query(_APPLY + "select u.c as counter, (select count(*) from x where outcome = u.c) as n from (select unnest([" + ", ".join(f"'{c}'" for c in ca.COUNTERS) + "]) c) u")
+def a15_counters(s, d):
+    """All counters of that run."""
+    return ca.counters(_applied(s, d)[1])
+
+
+@query("""select nd_auto_increment_id::varchar as k, 'DELETE' as nd_operation, 'N' as nd_activeflag from appointment_dump group by 1 having true
+union all select '-1', 'INSERT', 'Y'""")
+def c14_image_deletes(s, d):
+    """Every row deleted by its whole image, as the log of a table without key has it, and one new row."""
+    t = T(s, d, "appointment_dump")
+    cols = ["nd_auto_increment_id", "apptid", "patientid", "facilityid", "appt_status"]
+    base = ca.base_rows(t.drop("nd_operation", "nd_activeflag"), "nd_auto_increment_id", cols)
+    seq = lambda pos: F.struct(F.lit(1).cast("bigint").alias("file"), pos.cast("bigint").alias("pos"), pos.cast("bigint").alias("id"))
+    image = F.create_map(*[x for c in cols[1:] for x in (F.lit(c), F.col(c))])
+    gone = base.select(seq(F.col("nd_auto_increment_id")).alias("seq"), F.lit("DELETE").alias("op"), image.alias("image"))
+    new = s.range(1).select(seq(F.lit(0)).alias("seq"), F.lit("INSERT").alias("op"), F.create_map(F.lit("nd_auto_increment_id"), F.lit("-1"), F.lit("apptid"), F.lit("-1")).alias("image"))
+    return ca.apply_row_events(base, gone.unionByName(new), "nd_auto_increment_id", cols)[0].select("k", "nd_operation", "nd_activeflag")
+
+
+@query("""select o_orderkey::varchar as k, case when o_orderkey % 3 = 2 then 'DELETE' when o_orderkey % 3 = 1 then 'UPDATE' else 'INSERT' end as nd_operation, case when o_orderkey % 3 = 2 then 'N' else 'Y' end as nd_activeflag,
+case when o_orderkey % 3 = 1 then 'it''s (new), ' || o_orderstatus else o_orderstatus end as status, o_custkey::varchar as cust from orders""")
+def c16_statements(s, d):
+    """Statements of a log read and applied: inserts of two tuples, updates and deletes by key."""
+    o = T(s, d, "orders")
+    row = F.concat(F.lit("("), F.col("o_orderkey"), F.lit(", '"), "o_orderstatus", F.lit("', "), "o_custkey", F.lit(")"))
+    ins = F.concat(F.lit("INSERT INTO t (id, status, cust) VALUES "), row, F.lit(", ("), -F.col("o_orderkey") - 1, F.lit(", NULL, NULL)"))
+    upd = F.concat(F.lit("UPDATE t SET status = 'it''s (new), "), "o_orderstatus", F.lit("' WHERE id = "), "o_orderkey")
+    dele = F.concat(F.lit("DELETE FROM t WHERE id = "), "o_orderkey")
+    key = F.col("o_orderkey") % 3
+    sql = F.array_compact(F.array(ins, F.when(key == 1, upd), F.when(key == 2, dele)))
+    log = o.select(F.posexplode(sql).alias("n", "sql"), "o_orderkey").select("sql", F.lit("log.1").alias("binlog_file"), (F.col("o_orderkey") * 4 + F.col("n")).alias("binlog_pos"), F.lit(1).alias("id"))
+    events, _ = ca.statement_events(log, "id", F.col("sql"))
+    cols = ["id", "status", "cust"]
+    table, _ = ca.apply_row_events(ca.base_rows(s.createDataFrame([], "id string, status string, cust string"), "id", cols), events, "id", cols)
+    return table.where("not startswith(k, '-')").select("k", "nd_operation", "nd_activeflag", "status", "cust")
