@@ -53,6 +53,12 @@ def test_policies(spark, a, n, want):
         with_utc_text(df, "t", F.lit("UTC"), F.lit("MDY"), ambiguous="other")
 
 
+def test_clocks_that_go_back_half_an_hour(spark):
+    df = spark.createDataFrame([("2021-04-04 01:45:00",), ("2021-04-04 01:15:00",)], "t string").coalesce(1)
+    got = {a: [r["utc_ts"] for r in with_utc_text(df, "t", F.lit("Australia/Lord_Howe"), F.lit("MDY"), ambiguous=a).collect()] for a in ("first", "last", "null")}
+    assert got == {"first": ["2021-04-03T14:45:00.000000Z", "2021-04-03T14:15:00.000000Z"], "last": ["2021-04-03T15:15:00.000000Z", "2021-04-03T14:15:00.000000Z"], "null": [None, "2021-04-03T14:15:00.000000Z"]}
+
+
 def test_operator_with_repeats_and_unknown_places(spark):
     places = spark.createDataFrame([(1, "Asia/Kolkata", "DMY"), (1, "Asia/Kolkata", "DMY"), (None, "UTC", "MDY")], "facilityid int, tz_name string, date_order string")
     rows = spark.createDataFrame([(7, "2024-01-01 00:00:00", 1), (7, "2024-01-01 00:00:00", 1), (8, "2024-01-01 00:00:00", 99), (9, None, 1), (None, "2024-01-01", None)], "id bigint, t string, facilityid int")

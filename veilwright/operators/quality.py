@@ -223,14 +223,19 @@ def sample_size(n: int, seed: int = 42) -> int:
     return min(3_000 + (n - 10_000) // 30_000 * 1_000, 5_000)
 
 
+def _draw(key: str, seed: int) -> Column:
+    """What orders a sample: a hash of seed and key that any database can compute."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+
+
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows by the order of a seeded hash of the key: random, yet the same on every run."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    """``n`` rows by the order of a seeded hash of the key: random, yet the same on every run. Null keys come last."""
+    return df.orderBy(_draw(key, seed).asc_nulls_last(), key).limit(n)
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: Column, per: int, seed: int = 42) -> DataFrame:
-    """Up to ``per`` rows of each stratum by seeded hash."""
-    w = Window.partitionBy("_s").orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
+    """Up to ``per`` rows of each stratum by seeded hash; what a stratum keeps is cut off before it is sorted whole."""
+    w = Window.partitionBy("_s").orderBy(_draw(key, seed).asc_nulls_last(), key)
     return df.withColumn("_s", stratum).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= per).drop("_s", "_rn")
 
 

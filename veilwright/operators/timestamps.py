@@ -65,7 +65,7 @@ def with_utc_text(df: DataFrame, text: str, tz_name: Column, date_order: Column,
     canon = F.lit(None).cast("string")
     for pattern, template in reversed(CASCADE):
         canon = F.when(F.col("__veil_t").rlike("(?i)" + pattern), F.regexp_replace("__veil_t", "(?i)" + pattern, template)).otherwise(canon)
-    known = sorted(zoneinfo.available_timezones())
+    known = sorted(zoneinfo.available_timezones() & set(df.sparkSession._jvm.java.time.ZoneId.getAvailableZoneIds()))
     step = df.withColumns({"__veil_t": t, "__veil_tz": F.when(tz_name.isin(known), tz_name).otherwise("UTC"), "__veil_mdy": F.upper(F.trim(date_order)).eqNullSafe("MDY")})
     step = step.withColumn("__veil_p", F.split(canon, r"\|", -1))
     year, mon, day, hh, mi, sec, frac, half, zone = (F.col("__veil_p")[i] for i in range(9))
@@ -86,8 +86,10 @@ def with_utc_text(df: DataFrame, text: str, tz_name: Column, date_order: Column,
         step = step.withColumn("__veil_local", local)
         local = F.col("__veil_local")
         exists = F.convert_timezone(F.lit("UTC"), tz, local) == wall
-        later = local + F.expr("interval 1 hour")
-        twice = exists & (F.convert_timezone(F.lit("UTC"), tz, later) == wall)
+        # Clocks go back by half an hour, an hour or two, depending on the zone.
+        shifts = [local + F.expr(f"interval {m} minutes") for m in (30, 60, 120)]
+        later = F.coalesce(*[F.when(F.convert_timezone(F.lit("UTC"), tz, x) == wall, x) for x in shifts])
+        twice = exists & later.isNotNull()
         if nonexistent == "null":
             local = F.when(exists, local)
         if ambiguous != "first":

@@ -396,13 +396,18 @@ def l07_cap_per_issue(s, d):
     return qc.capped(T(s, d, "enc_staging").select("visittype", "nd_auto_increment_id").distinct(), ["visittype"], ["nd_auto_increment_id"], 10)
 
 
-@query()
+_LINE_KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+@query(f"""select * from lineitem order by md5('42:' || {_LINE_KEY}), {_LINE_KEY}
+limit (select case when n <= 300 then n else least(3000 + (n - 10000) // 30000 * 1000, 5000) end from (select count(*) n from lineitem))""")
 def l03_hash_sample(s, d):
-    t = T(s, d, "lineitem").withColumn("k", F.xxhash64(*T(s, d, "lineitem").columns))
+    """Its SQL has the sizes for more than 10,000 rows, as the steps below them are drawn by a random number generator."""
+    t = T(s, d, "lineitem").withColumn("k", F.expr(_LINE_KEY))
     return qc.hash_sample(t, "k", qc.sample_size(t.count())).drop("k")
 
 
-@query()
+@query("select * from orders qualify row_number() over (partition by o_orderpriority order by md5('42:' || o_orderkey), o_orderkey) <= 50")
 def l04_stratified_sample(s, d):
     return qc.stratified_sample(T(s, d, "orders"), "o_orderkey", F.col("o_orderpriority"), 50)
 

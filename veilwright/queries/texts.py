@@ -276,6 +276,34 @@ def d23_batch_to_rows(s, d):
     return dc.explode_pairs(docs, "sections")
 
 
+_SPACES = r"[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+@query(f"""with n as (select nd_auto_increment_id, trim(regexp_replace(regexp_replace(content, '<[^>]+>', '', 'g'), '{_SPACES}', ' ', 'g')) c, facilityid f from encounter_notes where content is not null)
+select nd_auto_increment_id, 'History' as category, case when c = '' then '[]' else c end as value from n union all select nd_auto_increment_id, 'Chief', case when c = '' then 'null' else c end from n union all select nd_auto_increment_id, 'Plan', 'facility ' || coalesce(f::varchar, 'none') from n
+union all select nd_auto_increment_id, null, null from encounter_notes where content is null""")
+def d23_note_documents(s, d):
+    """A document of every note, from XML over JSON to sections and rows: its text as markup and as a list item, and a plan."""
+    n = T(s, d, "encounter_notes")
+    text = F.replace(F.replace(F.replace("content", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    xml = F.concat(F.lit("<levelone><body><section><caption>History</caption><content>"), text, F.lit("</content></section><section><caption>Chief</caption><list><item><content>"), text,
+                   F.lit("</content></item></list></section><section><caption>Plan</caption><section><caption>Orders</caption><list><item><content>facility "), F.coalesce(F.col("facilityid").cast("string"), F.lit("none")), F.lit("</content></item></list></section></section></body></levelone>"))
+    docs = spread(n.select("nd_auto_increment_id", xml.alias("xml"))).select("nd_auto_increment_id", dc.document_udf(dc.xml_to_json_udf(F.col("xml"))).alias("x")).select("nd_auto_increment_id", "x.sections")
+    rows = dc.explode_pairs(docs, "sections")
+    value = F.when(F.col("sections_category") == "Chief", F.get_json_object("sections", "$[0]")).when(F.col("sections_category") == "Plan", F.get_json_object("sections", "$.Orders[0]")).otherwise(F.col("sections"))
+    return rows.select("nd_auto_increment_id", F.col("sections_category").alias("category"), value.alias("value"))
+
+
+@query("select nd_auto_increment_id, facilityid, facility_name, content from encounter_notes join (select facilityid, min(facility_name) facility_name from facilities group by 1) using (facilityid)")
+def s26_document_scan_all(s, d):
+    """The same scan with every kind that occurs."""
+    n, f = T(s, d, "encounter_notes", "facilities")
+    docs = f.groupBy(F.col("facilityid").alias("documentid")).agg(F.min("facility_name").alias("facility_name"))
+    kinds = sorted(r[0] for r in docs.select("documentid").where("documentid is not null").collect())  # a table of fixed size
+    bins = n.select(F.col("facilityid").alias("bintypeid"), F.col("facilityid").alias("documentid"), "nd_auto_increment_id", "content")
+    return dc.scan_documents(bins, docs, kinds).select("nd_auto_increment_id", F.col("documentid").alias("facilityid"), "facility_name", "content")
+
+
 @query("select n_nationkey, '{\"section\":[]}' as body from nation")
 def d11_body(s, d):
     return T(s, d, "nation").select("n_nationkey", dc.body_json(F.lit('{"levelone": {"body": {"section": []}}}')).alias("body"))
