@@ -327,15 +327,21 @@ def permute_number(kind: str, value: str, key: bytes, inverse: bool = False) ->
     """
     f = restore_digits if inverse else permute_digits
     digits = "".join(c for c in value if c.isdecimal() and c.isascii())
-    new = digits
-    for a, b, tweak, ok in _segments(kind, value, len(digits)):
-        old = digits[a:b]
-        got = f(old, key, tweak)
-        while ok is not None and ok(got) != ok(old):
+
+    def put(new: str) -> str:
+        it = iter(new)
+        return "".join(next(it) if c.isdecimal() and c.isascii() else c for c in value)
+
+    parts = _segments(kind, value, len(digits))
+    for k, (a, b, tweak, ok) in enumerate(parts):
+        old = got = digits[a:b]
+        while True:  # until it is of the same class and the number still falls into the same parts
             got = f(got, key, tweak)
-        new = new[:a] + got + new[b:]
-    it = iter(new)
-    return "".join(next(it) if c.isdecimal() and c.isascii() else c for c in value)
+            new = digits[:a] + got + digits[b:]
+            if (ok is None or ok(got) == ok(old)) and (k or [x[:2] for x in _segments(kind, put(new), len(digits))] == [x[:2] for x in parts]):
+                break
+        digits = new
+    return put(digits)
 
 
 _DATES = re.compile(r"(?<![\w/.-])(?:(?P<y>\d{4})-(?P<m>\d{2})-(?P<d>\d{2})|(?P<a>\d{1,2})(?P<s>[/.])(?P<b>\d{1,2})(?P=s)(?P<z>\d{4}))(?![\w/]|[.-]\d)")
