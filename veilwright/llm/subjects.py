@@ -2,10 +2,10 @@
 
 Documents are weighted by term (TF-IDF over hashed terms) and embedded by a truncated
 SVD that is computed by a randomised range finder over the whole corpus (more rounds make
-it subspace iteration). Labelled documents
-give seed centroids per area and language, which are refined on their sentences; then
-every sentence of every document is compared with the centroids by cosine, and an area
-counts for a document when enough of its sentences are about it.
+it subspace iteration). Labelled documents give seed centroids per area and language,
+which are refined on their sentences; then every sentence of every document is compared
+with the centroids by cosine, and an area counts for a document when enough of its
+sentences are about it.
 
 Words and sentences are cut for a whole block of texts at once, by array operations over
 code points, so a pass over the corpus costs little more than reading it.
@@ -24,7 +24,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import gather, materialize, spread
+from ..session import gather, materialize, release, spread
 
 _BLOCK = 1 << 20  # letters of texts taken together; a longer text is a block of its own
 _DOCS = 64  # documents per product of matrices
@@ -450,7 +450,7 @@ def assign_subjects(
     marks = labels.select(F.col(doc_id).cast("bigint").alias("doc_id"), clean(F.col(area)).alias("area")).join(known, "area", "left_semi")
     marks = marks.where("doc_id is not null").groupBy("doc_id").agg(F.collect_set("area").alias("areas"))
     some = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.labelled_docs)  # a bounded table, so it may be broadcast
-    labelled = materialize(raw.join(F.broadcast(some), "doc_id").select("text", "areas", "lang"), "p10-labelled")
+    kept = labelled = materialize(raw.join(F.broadcast(some), "doc_id").select("text", "areas", "lang"), "p10-labelled")
     areas = sorted(r[0] for r in labelled.select(F.explode("areas")).distinct().collect())
     empty = spark.createDataFrame([], "doc_id bigint, area string")
     if not areas:
@@ -466,6 +466,7 @@ def assign_subjects(
     _truncated_svd(texts, m, s)
     sent = spark.sparkContext.broadcast(m)
     cents = _fit_centroids(labelled, areas, langs, sent, s)
+    release(kept)
 
     def assign(batches):
         m = sent.value

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import secrets
+from array import array
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +28,7 @@ DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 #: Pre-tokens after which a batch ends; a document is never divided.
 BATCH_TOKENS = 1 << 20
+_LONG = 1 << 22  # letters from which on the pre-tokens of a text aren't held all at once
 
 
 def load_ranks(path: str = DEFAULT_RANKS) -> dict[bytes, int]:
@@ -52,16 +54,17 @@ def pretokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch
         import regex
 
         pat = regex.compile(PATTERN)
-        ids, codes, ends, numbers = [], [], [0], _Numbers()
+        ids, codes, ends, numbers = [], array("i"), [0], _Numbers()
 
         def flush():
             batch = secrets.randbits(62)
             n = len(ids)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(codes, pa.int32()))
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.array(codes, np.int32)))
             yield _rows(batch, pa.array(ids, pa.int64()), lists, pa.nulls(n, pa.list_(pa.string())))
             if numbers:
                 yield _rows(batch, pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.array([list(numbers)], pa.list_(pa.string())))
-            ids.clear(), codes.clear(), numbers.clear()
+            ids.clear(), numbers.clear()
+            del codes[:]
             ends[:] = [0]
 
         def _rows(batch, *cols):
@@ -71,7 +74,8 @@ def pretokens(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", batch
             for doc, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids.append(doc)
                 if t:
-                    codes.extend(map(numbers.__getitem__, pat.findall(t)))
+                    words = pat.findall(t) if len(t) < _LONG else (m[0] for m in pat.finditer(t))
+                    codes.extend(map(numbers.__getitem__, words))
                 ends.append(len(codes))
                 if len(codes) >= batch_tokens:
                     yield from flush()
