@@ -43,7 +43,7 @@ def test_run_and_qc(spark, project):
     cfg.qc["delta"] = True
     summary, findings, _ = check_project(spark, cfg, ["patients"], gate=False)
     p = summary.first()
-    assert (p["overall_status"], p["part1_failed_columns"], p["delta_status"]) == ("FAIL", "fname;zip", "FAIL")
+    assert (p["overall_status"], p["part1_failed_columns"], p["delta_status"]) == ("FAIL", "fname;zip;patientid", "FAIL")
     f = {(r["check"], r["column"]): r for r in findings.collect()}
     assert f[("phi_detected", "zip")]["count"] == 60 and f[("phi_detected", "zip")]["detail"].count(",") == 49 and ("row_count", "") in f and f[("extra_in_dest", "")]["count"] == 57
 

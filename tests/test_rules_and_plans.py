@@ -89,6 +89,34 @@ def test_mapping_delta_of_new_patients(spark):
     assert {k: r["excluded_at"] for k, r in got.items()} == {5: "now", 7: None, 9: "now"}
 
 
+def test_get_or_create_by_several_runs(spark, monkeypatch):
+    from veilwright.session import scratch_path
+
+    path = scratch_path(spark, "patients")
+    a, b = mp.PatientMap(spark, path, "s"), mp.PatientMap(spark, path, "s")
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "patientid bigint")
+    commit = a.versions.commit
+
+    def late(base, manifest):
+        monkeypatch.undo()
+        b.get_or_create(ids(5, 6))
+        return commit(base, manifest)
+
+    monkeypatch.setattr(a.versions, "commit", late)
+    got = {r["patientid"]: r["nd_patient_id"] for r in a.get_or_create(ids(5, 7, None, 7)).collect()}
+    assert got == {5: 10_000_001, 7: 10_000_003} and a.read().count() == 3
+    assert {tuple(r)[:2] for r in b.get_or_create(ids(6)).collect()} == {(10_000_002, 6)} and a.versions.current()[0] == 2
+
+
+def test_sources_only_read():
+    for sql in ("delete from t", " /* x */ INSERT into t values (1)", "select 1; drop table t", "with x as (select 1) update t set a = 1", "select * into u from t", "exec p"):
+        with pytest.raises(PermissionError):
+            sources.only_reads(sql)
+    assert sources.only_reads("select 'delete; drop', `update` from t -- insert") and sources.only_reads("with d as (select 1) select * from d")
+    assert sources.table_query("mssql", "dbo.Notes", {"id": "INT", "body": "XML"}) == "SELECT [id], CAST([body] AS NVARCHAR(MAX)) AS [body] FROM [dbo].[Notes] WITH (NOLOCK)"
+    assert sources.table_query("mysql", "a`b") == "SELECT * FROM `a``b`" and sources.table_query("postgresql", "t", schema="s") == 'SELECT * FROM "s"."t"'
+
+
 def test_map_join_keys(spark):
     left = spark.createDataFrame([("PAT1", 1), ("7", 2), (None, 3)], "pid string, v int")
     right = spark.createDataFrame([(7, 100)], "pid bigint, nd bigint")

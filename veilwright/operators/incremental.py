@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.normal import content_hash
-from ..session import Versions, materialize, scratch_path
+from ..session import Versions, materialize, release, scratch_path
 
 #: Deliveries of one key beyond which its history is compared in monthly slabs.
 HOT_KEY_DELIVERIES = 100_000
@@ -72,7 +72,9 @@ def transitions(rows: DataFrame, hot: int = HOT_KEY_DELIVERIES) -> DataFrame:
     cold = marked.where(~first).select(*rec, "ts", "hash", "prev")
     warm = marked.where(first).join(borders, same & (F.col("slab") == F.col("bs")), "left").select(*rec, "ts", "hash", F.col("before").alias("prev"))
     moved = cold.unionByName(warm).where(F.col("prev").isNull() | (F.col("prev") != F.col("hash")))
-    return steady.unionByName(moved.select(*rec, "ts", "hash"))
+    out = steady.unionByName(moved.select(*rec, "ts", "hash"))
+    out._scratch = per_key._scratch  # what may be released once the result is written
+    return out
 
 
 def windows_of_runs(runs: DataFrame) -> DataFrame:
@@ -162,7 +164,9 @@ def records_to_process(tables: dict[str, tuple[DataFrame, str]], runs: DataFrame
     for name, (df, key) in tables.items():
         part = deliveries(df, name.lower(), key, ["nd_extracted_date", "nd_updated_at"], ["nd_operation"])
         rows = part if rows is None else rows.unionByName(part)
-    current = materialize(transitions(rows), "p1-transitions")
+    found = transitions(rows)
+    current = materialize(found, "p1-transitions")
+    release(found)
     if state is None:
         state = RecordState(spark, scratch_path(spark, "p1-state"))
         state.commit(taken_by_runs(current, runs))

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import StaleVersion, Versions, materialize
 
 #: The band of offsets, 30 to 38 days either way.
 BAND_LOW, BAND_HIGH = 30, 38
@@ -65,6 +65,43 @@ def populate_patient_map(existing: DataFrame, ids: DataFrame, secret: str, prefi
     )
 
 
+class PatientMap:
+    """A patient map in versions, each a folder of rows that it adds, so that several runs may add patients to it."""
+
+    SCHEMA = "nd_patient_id bigint, patientid bigint, offset_days int"
+
+    def __init__(self, spark: SparkSession, path: str, secret: str, prefix: int = 10_000_000):
+        self.spark, self.versions, self.secret, self.prefix = spark, Versions(spark, path), secret, prefix
+
+    def read(self) -> DataFrame:
+        files = self.versions.current()[1].get("rows", [])
+        return self.spark.read.schema(self.SCHEMA).parquet(*files) if files else self.spark.createDataFrame([], self.SCHEMA)
+
+    def get_or_create(self, ids: DataFrame, tries: int = 5) -> DataFrame:
+        """Rows of the patients in ``ids(patientid)``; those that the map lacks are added first.
+
+        If another run adds patients meanwhile, this one looks again, so no patient gets two surrogates.
+        """
+        for _ in range(tries):
+            base, files = self.versions.current()
+            old = self.read()
+            fresh = new_ids(ids, old, "patientid").where("patientid is not null")
+            if fresh.isEmpty():
+                break
+            top = old.agg(F.coalesce(F.max("nd_patient_id"), F.lit(self.prefix)).alias("m")).first()["m"]
+            rows = numbered(fresh, ["patientid"], "nd_patient_id", int(top)).withColumn("offset_days", banded_offset(F.col("patientid"), self.secret))
+            path = self.versions.fresh("rows")
+            rows.select("nd_patient_id", "patientid", "offset_days").write.parquet(path)
+            try:
+                self.versions.commit(base, {"rows": [*files.get("rows", []), path]})
+                break
+            except StaleVersion:
+                continue
+        else:
+            raise StaleVersion("other runs kept adding patients")
+        return self.read().join(ids.select("patientid").distinct(), "patientid", "left_semi").select("nd_patient_id", "patientid", "offset_days")
+
+
 def first_pair(df: DataFrame, key: str, value: str) -> DataFrame:
     """One value per key: the least."""
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))

@@ -191,7 +191,9 @@ def _run_increment(spark: SparkSession, cfg: Config, t: str, rules: Mapping[str,
     df, how = read(t), cfg.incremental[t]
     key = how["key"]
     state = RecordState(spark, f"{cfg.state}/{t}")
-    now = materialize(transitions(deliveries(df, t, key, how["times"], how.get("ignore", ["nd_operation"]))), "run-transitions")
+    found = transitions(deliveries(df, t, key, how["times"], how.get("ignore", ["nd_operation"])))
+    now = materialize(found, "run-transitions")
+    release(found)
     pending = materialize(state.pending(now), "run-pending")
     number = state.version() + 1
     todo = df.join(pending.select(F.col("rec_key").alias("_rk")).distinct(), F.col(key).eqNullSafe(F.col("_rk")), "left_semi")

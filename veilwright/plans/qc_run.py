@@ -59,7 +59,15 @@ def _detectors(rules: dict[str, str], columns: Sequence[str]) -> dict:
     return tests
 
 
-def _part1(src: DataFrame, dst: DataFrame, rules: dict[str, str], n_rejected: int, id_col: str) -> Part:
+def wrong_ids(src: DataFrame, dst: DataFrame, col: str, reverse: DataFrame, nd: str, original: str, id_col: str) -> DataFrame:
+    """Released rows whose surrogate, mapped back, is none of the ids that deliveries of the record have; null surrogates pass."""
+    s = src.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_r")).agg(F.collect_set(F.col(col).cast("string")).alias("_expected"))
+    m = reverse.where(F.col(nd).isNotNull()).groupBy(F.col(nd).cast("string").alias("_nd")).agg(F.collect_set(F.col(original).cast("string")).alias("_actual"))
+    j = dst.where(F.col(col).isNotNull()).join(s, F.col(id_col) == F.col("_r")).join(m, F.col(col).cast("string") == F.col("_nd"), "left")
+    return j.where(F.col("_actual").isNull() | ~F.arrays_overlap("_expected", "_actual"))
+
+
+def _part1(src: DataFrame, dst: DataFrame, rules: dict[str, str], n_rejected: int, id_col: str, reverse: dict[str, tuple[DataFrame, str, str]]) -> Part:
     tests = _detectors(rules, dst.columns)
     notes = [c.lower() for c, r in rules.items() if (r or "").strip().upper() in ("NOTES", "GENERIC_NOTES") and c.lower() in dst.columns]
     hits = {c: F.coalesce(F.size(qc.residual(F.col(c))), F.lit(0)) > 0 for c in notes}
@@ -69,6 +77,11 @@ def _part1(src: DataFrame, dst: DataFrame, rules: dict[str, str], n_rejected: in
     failed = [c for c in tests if n[f"_t_{c}"]]
     for c in failed:
         p.findings.append(("phi_detected", c, "FAIL", n[f"_t_{c}"], _offenders(dst, ~tests[c], id_col)))
+    for c, (table, nd, original) in reverse.items():
+        bad = wrong_ids(src, dst, c, table, nd, original, id_col)
+        if n_bad := bad.count():
+            failed.append(c)
+            p.findings.append(("id_mismatch", c, "FAIL", n_bad, _offenders(bad, F.lit(True), id_col)))
     if n_src != n["_n"] + n_rejected:
         p.findings.append(("row_count", "", "FAIL", n_src, f"source={n_src} dest={n['_n']} rejected={n_rejected}"))
     if p.findings:
@@ -124,7 +137,15 @@ def check_table(spark: SparkSession, cfg: Config, table: str, id_col: str = "nd_
             rejected = spark.read.parquet(f"{cfg.destination}/_rejects/{table}.parquet").count()
         except Exception:  # nothing was rejected
             rejected = 0
-        return _part1(low(read(cfg.source, table)), low(read(cfg.destination, table)), rules, rejected, id_col)
+        src, dst, reverse = low(read(cfg.source, table)), low(read(cfg.destination, table)), {}
+        if id_col in src.columns and id_col in dst.columns:
+            maps = {"PATIENT_ID": (cfg.patient_map, "nd_patient_id", "patientid"), "ENCOUNTER_ID": (cfg.encounter_map, "nd_encounter_id", "encounter_id"), "APPOINTMENT_ID": (cfg.appointment_map, "nd_appointment_id", "appointment_id"),
+                    "CHART_ID": (cfg.chart_map, "nd_chart_id", "chart_id")}
+            for c, r in rules.items():
+                name, nd, original = maps.get(rule_of(r) if (r or "").strip().upper() != "PATIENT_DOB" else None, (None, "", ""))
+                if name and c in dst.columns:
+                    reverse[c] = (low(read(cfg.source, name)), nd, original)
+        return _part1(src, dst, rules, rejected, id_col, reverse)
 
     def master() -> Part:
         tables = cfg.notes.get("tables", [])

@@ -25,6 +25,49 @@ def jdbc_url(kind: str, host: str = "", database: str = "", port: int | None = N
     return URLS[kind].format(host=host, database=database, port=port or PORTS.get(kind, ""))
 
 
+#: Statements that write, and what makes a session of each database read-only.
+WRITES = ("INSERT", "UPDATE", "DELETE", "DROP", "ALTER", "CREATE", "TRUNCATE", "REPLACE", "MERGE", "UPSERT", "EXEC", "EXECUTE")
+READ_ONLY = {
+    "mysql": "SET SESSION TRANSACTION READ ONLY",
+    "postgresql": "SET SESSION CHARACTERISTICS AS TRANSACTION READ ONLY",
+    "mssql": "SET TRANSACTION ISOLATION LEVEL READ UNCOMMITTED",
+    "snowflake": "ALTER SESSION SET TRANSACTION_DEFAULT_ISOLATION_LEVEL = 'READ COMMITTED'",
+    "sqlite": "PRAGMA query_only=ON",
+}
+
+
+def only_reads(sql: str) -> str:
+    """The statement, or an error if any statement in it writes; comments and quoted text don't count."""
+    bare = re.sub(r"(?s)'(?:[^'\\]|\\.|'')*'|\"[^\"]*\"|`[^`]*`|\[[^\]]*\]|--[^\n]*|/\*.*?\*/", " ", sql)
+    for part in bare.split(";"):
+        words = re.findall(r"\w+", part.upper())
+        if words and (words[0] in WRITES or words[0] == "WITH" and set(words) & set(WRITES[:3]) or words[0] == "SELECT" and "INTO" in words):
+            raise PermissionError(f"the source is read-only: {sql.strip()[:120]}")
+    return sql
+
+
+def table_query(kind: str, table: str, columns: Mapping[str, str] | None = None, schema: str | None = None) -> str:
+    """A query over a whole table in a database's own writing; ``columns`` maps names to types.
+
+    ``schema.table`` names are taken apart. On mssql tables are read without locks and XML
+    columns as text, as its drivers can't deliver them.
+    """
+    parts = [x.strip("[]`\"") for x in table.split(".")]
+    if schema and len(parts) == 1:
+        parts = [schema, *parts]
+    marks = {"mssql": "[]", "mysql": "``"}.get(kind, '""')
+    q = lambda n: marks[0] + n.replace(marks[1], marks[1] * 2) + marks[1]
+    one = lambda n, t: f"CAST({q(n)} AS NVARCHAR(MAX)) AS {q(n)}" if kind == "mssql" and "XML" in t.upper() else q(n)
+    cols = ", ".join(one(n, t) for n, t in columns.items()) if columns else "*"
+    return only_reads(f"SELECT {cols} FROM {'.'.join(map(q, parts))}" + (" WITH (NOLOCK)" if kind == "mssql" else ""))
+
+
+def read_source(spark: SparkSession, kind: str, url: str, table: str, options: Mapping[str, str], columns: Mapping[str, str] | None = None, key: str | None = None, low: int = 0, high: int = 0, parts: int = 1) -> DataFrame:
+    """A table of a source database, whose session can only read."""
+    opts = {"sessionInitStatement": READ_ONLY[kind], **options} if kind in READ_ONLY else dict(options)
+    return read_jdbc(spark, url, f"({table_query(kind, table, columns)}) q", opts, key, low, high, parts)
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, options: Mapping[str, str], key: str | None = None, low: int = 0, high: int = 0, parts: int = 1) -> DataFrame:
     """A table over JDBC; with a key and its range read by that many tasks."""
     r = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
