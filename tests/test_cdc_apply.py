@@ -5,8 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from veilwright.operators.cdc import parse_inserts
-from veilwright.operators.cdc_apply import COUNTERS, apply_row_events, base_rows, counters, read_statement, row_events, statement_events
+from veilwright.operators.cdc import id_validation, latest_snapshot, log_page, parse_inserts
+from veilwright.operators.cdc_apply import COUNTERS, apply_row_events, base_rows, counters, read_statement, row_events, run_day, statement_events
 
 LOG = "id bigint, operation string, payload string, binlog_file string, binlog_pos bigint"
 COLS = {"1": "k0", "2": "a", "3": "b"}
@@ -92,3 +92,29 @@ def test_statements(spark):
     table, outcomes = apply_row_events(base, events, "id", ["id", "a"])
     assert {r["k"]: (r["nd_operation"], r["nd_activeflag"], r["a"]) for r in table.collect()} == {"1": ("UPDATE", "Y", None), "2": ("DELETE", "N", "it's")}
     assert sorted(r["outcome"] for r in outcomes.select("outcome").unionByName(rest.select("outcome")).collect()) == ["errors_delete_no_where", "inserted", "inserted", "soft_deleted", "updated"]
+
+
+def test_days_go_on_from_the_last_position(spark):
+    from veilwright.session import Versions, scratch_path
+
+    path = scratch_path(spark, "day")
+    prod = spark.createDataFrame([("1", "a", None), ("2", "b", None)], "k0 string, a string, b string")
+    log = [(1, "U", '{"1": 1, "2": "x"}', "f.9", 5), (2, "I", '{"1": 3, "2": "c"}', "f.10", 1)]
+    day = lambda rows: run_day(spark, path, spark.createDataFrame(rows, LOG), COLS, "k0", prod)
+    assert day(log) == {"updated": 1, "inserted": 1}
+    assert day(log) == {}
+    assert day([*log, (3, "D", '{"1": 2}', "f.10", 2), (4, "U", '{"1": 3, "3": "y"}', "f.11", 1)]) == {"soft_deleted": 1, "updated": 1}
+    got = {r["k"]: (r["nd_operation"], r["nd_activeflag"], r["a"], r["b"]) for r in spark.read.parquet(*Versions(spark, path).current()[1]["table"]).collect()}
+    assert got == {"1": ("UPDATE", "Y", "x", None), "2": ("DELETE", "N", "b", None), "3": ("UPDATE", "Y", "c", "y")}
+
+
+def test_pages_snapshots_and_ids(spark):
+    log = spark.createDataFrame([(i, "I", None, f"f.{i % 3 + 9}", i) for i in range(10)] + [(99, "I", None, "f.9", None)], LOG)
+    one = log_page(log, 4).collect()
+    two = log_page(log, 100, (9, 9, 9)).collect()
+    assert [r["id"] for r in one] == [0, 3, 6, 9] and [r["id"] for r in two] == [1, 4, 7, 2, 5, 8]
+    meta = spark.createDataFrame([("T", "d1", "2024-01-01"), ("t ", "d2", "2024-02-20"), ("u", "d3", "2020-01-01"), ("u", "d4", None)], "table_name string, dump_file string, dump_completed_at string").withColumn("dump_completed_at", F.col("dump_completed_at").cast("timestamp_ntz"))
+    assert {tuple(r) for r in latest_snapshot(meta, F.lit("2024-03-01").cast("timestamp_ntz"), base="b").collect()} == {("t", "d2"), ("u", "b")}
+    a, b = (spark.createDataFrame(x, "k bigint, v string") for x in ([(1, "a"), (1, "b"), (2, "c"), (None, "x"), (4, None)], [(1, "b"), (1, "a"), (3, "c"), (2, "d"), (4, None)]))
+    summary, detail = id_validation(a, b, "k", "v")
+    assert {tuple(r) for r in summary.collect()} == {("mismatch", 1), ("missing_here", 1)} and {r["key"] for r in detail.collect()} == {"2", "3"}

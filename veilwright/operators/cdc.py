@@ -26,6 +26,34 @@ def after_position(log: DataFrame, meta: DataFrame) -> DataFrame:
     return j.where(ok).select(*log.columns)
 
 
+def latest_snapshot(meta: DataFrame, day: Column, days: int = 30, base: str | None = None) -> DataFrame:
+    """``(table_name, dump_file)``: of each table the last dump completed in the days before ``day``, else ``base``."""
+    at = F.col("dump_completed_at")
+    recent = (at >= day - F.make_dt_interval(F.lit(days))) & (at < day)
+    return meta.groupBy(F.lower(F.trim("table_name")).alias("table_name")).agg(F.coalesce(F.max_by("dump_file", F.when(recent, at)), F.lit(base)).alias("dump_file"))
+
+
+def without_generated(payload: Column, positions: Sequence[str]) -> Column:
+    """A positional payload as a map without the columns that the database computes."""
+    return F.map_filter(F.from_json(payload, "map<string,string>"), lambda k, _: ~k.isin(list(positions)))
+
+
+def log_page(log: DataFrame, n: int, after: tuple[int, int, int] | None = None) -> DataFrame:
+    """The next ``n`` events of a log in the order of file number, position and id, after the last one taken."""
+    rows = log.withColumn("_seq", sequence(F.col("binlog_file"), F.col("binlog_pos"), F.col("id"))).where("_seq.file is not null and _seq.pos is not null")
+    if after is not None:
+        rows = rows.where(F.col("_seq") > F.struct(*[F.lit(x).cast("bigint").alias(k) for k, x in zip(("file", "pos", "id"), after, strict=True)]))
+    return rows.orderBy("_seq").limit(n).drop("_seq")
+
+
+def id_validation(here: DataFrame, there: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(summary ``(kind, n_ids)``, detail ``(key, kind, here, there)``) of two environments' ids: missing on a side, or of another value."""
+    a, b = (df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key")).agg(F.array_sort(F.collect_set(F.col(value).cast("string"))).alias(n)) for df, n in ((here, "here"), (there, "there")))
+    kind = F.when(F.col("there").isNull(), "missing_there").when(F.col("here").isNull(), "missing_here").when(~F.col("here").eqNullSafe(F.col("there")), "mismatch")
+    detail = a.join(b, "key", "full").select("key", kind.alias("kind"), F.array_join("here", ",").alias("here"), F.array_join("there", ",").alias("there")).where("kind is not null")
+    return detail.groupBy("kind").agg(F.count(F.lit(1)).alias("n_ids")), detail
+
+
 def insert_format(sql: Column) -> Column:
     """VALUES, SET or INSERT_SELECT form of an insert statement, else null."""
     return F.when(sql.rlike(r"(?is)^\s*(?:insert|replace)\b.*?\bvalues?\s*\("), "VALUES").when(sql.rlike(r"(?is)^\s*(?:insert|replace)\b.*?\bset\b"), "SET").when(sql.rlike(r"(?is)^\s*(?:insert|replace)\b.*?\bselect\b"), "INSERT_SELECT")

@@ -11,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cdc import decode_literal, parse_inserts, split_arguments
+from ..session import Versions
+from .cdc import decode_literal, merge_tables, parse_inserts, split_arguments
 from .change_feed import SEQ, sequence
 
 #: The counters of a run.
@@ -120,6 +121,30 @@ def counters(outcomes: DataFrame) -> DataFrame:
     return every.join(n, "counter", "left").select("counter", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
 
 
+def run_day(spark: SparkSession, path: str, log: DataFrame, columns: dict[str, str], key: str, prod: DataFrame) -> dict[str, int]:
+    """One run of a table under ``path``: the log's events from the last position on go to a staging table, which is merged into production rows.
+
+    The version holds the merged table, the counters and the position reached; all of it
+    becomes visible together, and events up to that position are never taken twice.
+    ``prod`` is where the first run starts from. Returns the counters that aren't 0.
+    """
+    cols = list(dict.fromkeys(columns.values()))
+    versions = Versions(spark, path)
+    n, files = versions.current()
+    base = spark.read.parquet(*files["table"]) if n else base_rows(prod, key, cols)
+    events = row_events(log, columns)
+    if n and files["position"]:
+        events = events.where(F.col("seq") > F.struct(*[F.lit(x).cast("bigint").alias(f) for f, x in zip(("file", "pos", "id"), files["position"], strict=True)]))
+    staged, outcomes = apply_row_events(base, events, key, cols)
+    table, counts = versions.fresh("table"), versions.fresh("counters")
+    merge_tables(base, staged.select(*base.columns), "k").write.parquet(table)
+    counters(outcomes).write.parquet(counts)
+    last = events.agg(F.max("seq").alias("s")).first()["s"]
+    reached = list(last) if last is not None else files.get("position", [])
+    versions.commit(n, {"table": [table], "counters": [counts], "position": reached})
+    return {r["counter"]: r["n"] for r in spark.read.parquet(counts).where("n > 0").collect()}
+
+
 # --- statements ---------------------------------------------------------------------------
 def read_statement(sql: str | None, key: str) -> list[dict]:
     """Row events of one statement: op, key literal, image of literals, and the counter where nothing can be applied.

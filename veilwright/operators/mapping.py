@@ -164,6 +164,23 @@ def mapping_delta(old: DataFrame, delta: DataFrame, at: Column, secret: str, pre
     return rows.where("_known").drop("_known").unionByName(fresh)
 
 
+def exclusions(patients: DataFrame, visits: DataFrame, kinds: Sequence[str], answers: DataFrame | None = None) -> DataFrame:
+    """``(nd_patient_id)`` of the patients to exclude: by a visit of one of the kinds (in any letter case), by an answer in ``answers(patientid)``, or already so."""
+    by = visits.where(F.lower(F.trim("visittype")).isin([k.lower() for k in kinds])).select("patientid")
+    if answers is not None:
+        by = by.union(answers.select("patientid"))
+    new = patients.join(by.distinct(), "patientid", "left_semi").select("nd_patient_id")
+    return new.union(patients.where("excluded").select("nd_patient_id")).distinct()
+
+
+def personal_values(master: DataFrame, key: str, columns: Sequence[str], patients: DataFrame | None = None) -> DataFrame:
+    """``(key, <columns>)`` with the distinct values of each column per patient, of the given patients only."""
+    rows = master.where(F.col(key).isNotNull())
+    if patients is not None:
+        rows = rows.join(patients.select(key).distinct(), key, "left_semi")
+    return rows.groupBy(key).agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in columns])
+
+
 def upsert_keep(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Rows of both by key; a null of the new row never overwrites."""
     cols = [c for c in old.columns if c != key]

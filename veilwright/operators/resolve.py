@@ -79,3 +79,10 @@ def conservation(source: DataFrame, kept: DataFrame, rejected: DataFrame) -> Dat
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     n = u.agg(*[F.count_if(F.col("side") == k).alias(k) for k in ("n_in", "n_out", "n_rejected")])
     return n.withColumn("balanced", F.col("n_in") == F.col("n_out") + F.col("n_rejected"))
+
+
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """The first row of each key by ``order`` (nulls first), ties by the other columns; one aggregation with map-side combine, so no key is sorted in one task."""
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min(F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], *rest)).alias("_r")
+    return df.groupBy(*keys).agg(first).select(*[c if c in keys else F.col(f"_r.{c}") for c in df.columns])

@@ -217,8 +217,7 @@ def c14_soft_delete(s, d):
 @query("select id, count(*) as n_columns from (select id, unnest(json_keys(payload)) k from change_log) where k <> '5' group by 1")
 def c11_generated_columns(s, d):
     """Columns the database computes are taken out of the payload."""
-    m = F.from_json("payload", "map<string,string>")
-    kept = _log(s, d).select("id", F.size(F.map_filter(m, lambda k, v: k != "5")).cast("bigint").alias("n_columns"))
+    kept = _log(s, d).select("id", F.size(cdc.without_generated(F.col("payload"), ["5"])).cast("bigint").alias("n_columns"))
     return kept.where("n_columns > 0")
 
 
@@ -316,3 +315,25 @@ def c16_statements(s, d):
     cols = ["id", "status", "cust"]
     table, _ = ca.apply_row_events(ca.base_rows(s.createDataFrame([], "id string, status string, cust string"), "id", cols), events, "id", cols)
     return table.where("not startswith(k, '-')").select("k", "nd_operation", "nd_activeflag", "status", "cust")
+
+
+@query("""select lower(trim(table_name)) as table_name, coalesce(max_by(dump_file, dump_completed_at) filter (dump_completed_at >= timestamp '2024-03-01' - interval 30 day and dump_completed_at < timestamp '2024-03-01'), 'base') as dump_file from dump_metadata group by 1""")
+def c06_snapshot_per_table(s, d):
+    """The last dump of the 30 days before a run of each table, else the base dump."""
+    return cdc.latest_snapshot(T(s, d, "dump_metadata"), F.expr("timestamp_ntz'2024-03-01 00:00:00'"), base="base")
+
+
+@query("""with a as (select nd_patient_id k, list_sort(list(distinct patientid::varchar)) v from patient_mapping_table where nd_patient_id is not null group by 1), b as (select nd_patient_id k, list_sort(list(distinct patientid) filter (patientid is not null)) v from patient_mapping_local where nd_patient_id is not null group by 1)
+select case when b.k is null then 'missing_there' when a.k is null then 'missing_here' else 'mismatch' end as kind, count(*) as n_ids from a full join b using (k) where b.k is null or a.k is null or coalesce(a.v, []) <> coalesce(b.v, []) group by 1""")
+def c24_id_report(s, d):
+    """Ids that one environment lacks or maps to other patients, as written."""
+    return cdc.id_validation(*T(s, d, "patient_mapping_table", "patient_mapping_local"), "nd_patient_id", "patientid")[0]
+
+
+@query("""with l as (select id, try_cast(regexp_extract(binlog_file, '\\.(\\d+)$', 1) as bigint) f, binlog_pos p from change_log where binlog_pos is not null and regexp_matches(binlog_file, '\\.(\\d+)\\s*$')),
+o as (select *, row_number() over (order by f, p, id) n from l) select id from o where n > 500 and n <= 1500""")
+def c31_l08_log_page(s, d):
+    """The second page of the log: it goes on after the last event of the first."""
+    first = cdc.log_page(_log(s, d), 500)
+    last = first.select(sequence(F.col("binlog_file"), F.col("binlog_pos"), F.col("id")).alias("q")).agg(F.max("q").alias("q")).first()["q"]
+    return cdc.log_page(_log(s, d), 1000, tuple(last)).select("id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import plans
 from ..operators import quality as qc
 from ..operators import resolve as rs
-from ..plans.pipeline import Config, run_tables
+from ..plans.pipeline import Config, notes_audit, run_tables
 from ..plans.qc_run import check_project
 from ..session import scratch_path
 from .structured import _DEID_RULES, _MAPS, _deid, T
@@ -244,6 +244,17 @@ def q34_q37_audit(s, d):
     return j.agg(F.count("*").alias("audited"), F.count_if(F.col("p").isNull()).alias("without_master"), F.count_if(F.coalesce("content", F.lit("")) == "").alias("coverage_gaps"))
 
 
+@query("""with m as (select nd_patient_id k, list(v) vs, list(w) filter (length(w) >= 3) ws from (
+  select nd_patient_id, unnest([ufname, ulname, umobileno, uemail, upaddress, registration_date]) v, unnest(string_split_regex(lower(trim(coalesce(ufname, ''))), '\\s+') || string_split_regex(lower(trim(coalesce(ulname, ''))), '\\s+')) w from pii_data_table) where k is not null group by 1)
+select nd_auto_increment_id, coalesce(trim(content) = '', true) as gap,
+  coalesce(len(list_filter(vs, lambda x: trim(x) <> '' and contains(lower(content), lower(trim(x))))) > 0 or len(list_filter(ws, lambda x: contains(lower(content), x))) > 0, false) as has_phi
+from encounter_notes left join m on nd_patient_id = k""")
+def q34_notes_audit(s, d):
+    """All notes against all rows of their patient in the master table."""
+    a = notes_audit(T(s, d, "encounter_notes"), T(s, d, "pii_data_table"), ["content"])
+    return a.select("nd_auto_increment_id", F.coalesce("gap", F.lit(True)).alias("gap"), (F.size("phi_hits") > 0).alias("has_phi"))
+
+
 @query("""select 'appointment_dump' as "table", 'PASS' as overall_status, 'PASS' as part1_status, '' as part1_failed_columns, count(*)::varchar as part1_source_rows,
 count(*) filter (patientid in (select patientid from patient_mapping_table where not coalesce(excluded, false)))::varchar as part1_dest_rows,
 'SKIPPED' as delta_status, '' as delta_missing_in_dest, '' as delta_extra_in_dest, '' as delta_value_mismatch, 'SKIPPED' as master_status, '' as master_fail_count, '' as master_coverage_gaps, 'PASS' as fillrate_status, '' as fillrate_failed_columns, '' as errors from appointment_dump

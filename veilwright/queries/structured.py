@@ -320,8 +320,7 @@ def a18_distinct(s, d):
 
 @query("""select nd_auto_increment_id, nd_extracted_date from (select *, row_number() over (partition by nd_auto_increment_id order by nd_extracted_date nulls first) rn from enc_staging) where rn = 1""")
 def w01_dedup_keep_first(s, d):
-    w = Window.partitionBy("nd_auto_increment_id").orderBy(F.col("nd_extracted_date").asc_nulls_first())
-    return T(s, d, "enc_staging").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("nd_auto_increment_id", "nd_extracted_date")
+    return rs.keep_first(T(s, d, "enc_staging"), ["nd_auto_increment_id"], [F.col("nd_extracted_date")]).select("nd_auto_increment_id", "nd_extracted_date")
 
 
 @query("select event_id, row_number() over (order by ts, event_id) as row_id from events")
@@ -560,8 +559,7 @@ def m19_resolver(s, d):
 @query("select distinct nd_patient_id from patient_mapping_table p join enc_staging e on p.patientid = e.patientid where lower(trim(visittype)) = 'tele' union select nd_patient_id from patient_mapping_table where excluded")
 def m09_exclusions(s, d):
     p, e = T(s, d, "patient_mapping_table", "enc_staging")
-    by_visit = p.join(e.where(F.lower(F.trim("visittype")) == "tele").select("patientid").distinct(), "patientid", "left_semi")
-    return by_visit.select("nd_patient_id").union(p.where("excluded").select("nd_patient_id")).distinct()
+    return mp.exclusions(p, e, ["TELE"])
 
 
 
@@ -628,6 +626,15 @@ def m13_pii_by_patient(s, d):
     return T(s, d, "pii_data_table").groupBy("nd_patient_id").agg(F.count("*").alias("n_rows"), F.countDistinct("ufname").alias("n_first_names"))
 
 
+@query("""select nd_patient_id, array_to_string(list_sort(list_distinct(list(ufname))), '|') as first_names, array_to_string(list_sort(list_distinct(list(ulname))), '|') as last_names from pii_data_table
+where nd_patient_id in (select nd_patient_id from encounter_mapping_table) group by 1""")
+def m13_n13_personal_values(s, d):
+    """The values by which notes of the patients with an encounter are masked."""
+    p, e = T(s, d, "pii_data_table", "encounter_mapping_table")
+    v = mp.personal_values(p, "nd_patient_id", ["ufname", "ulname"], e)
+    return v.select("nd_patient_id", F.array_join("ufname", "|").alias("first_names"), F.array_join("ulname", "|").alias("last_names"))
+
+
 @query("select nd_auto_increment_id, length(content) as width from (select distinct nd_auto_increment_id, content from encounter_notes where content is not null) qualify row_number() over (order by length(content) desc, nd_auto_increment_id, content) <= 25")
 def l09_longest_first(s, d):
     n = T(s, d, "encounter_notes").where("content is not null").select("nd_auto_increment_id", "content").distinct()
@@ -690,8 +697,8 @@ def a19_null_delta(s, d):
 
 @query("select encounter_id, min(nd_patient_id) as nd_patient_id from encounter_mapping_table group by 1")
 def w05_first_per_key(s, d):
-    w = Window.partitionBy("encounter_id").orderBy(F.col("nd_patient_id").asc_nulls_last())
-    return T(s, d, "encounter_mapping_table").withColumn("rn", F.row_number().over(w)).where("rn = 1").select("encounter_id", "nd_patient_id")
+    x = F.col("nd_patient_id")
+    return rs.keep_first(T(s, d, "encounter_mapping_table"), ["encounter_id"], [x.isNull(), x]).select("encounter_id", "nd_patient_id")
 
 
 @query("select o_orderkey, o_totalprice from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING')")

@@ -158,7 +158,7 @@ class Versions:
     def drop_old(self, keep: int = 2) -> None:
         """Delete all versions but the last ``keep``, with the files that only they name."""
         n = self._numbers()
-        paths = lambda numbers: {p for k in numbers for x in self._read(k).values() if isinstance(x, list) for p in x}
+        paths = lambda numbers: {p for k in numbers for x in self._read(k).values() if isinstance(x, list) for p in x if isinstance(p, str)}
         live = paths(n[-keep:])
         for p in paths(n[:-keep]) - live:
             delete_path(self.spark, p)
