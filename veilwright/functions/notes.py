@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import lru_cache
 from itertools import permutations
 
 import pandas as pd
@@ -160,9 +161,21 @@ _DATE_RE, _CELL_RE = re.compile(DATE_IN_TEXT, re.I), re.compile(DATE_IN_CELL, re
 assert len(DATE_FORMATS) == 13
 
 
+_SHAPES = {"%Y": "0000", "%m": "00?", "%d": "00?", "%y": "00", "%H": "00?", "%M": "00?", "%S": "00?", "%f": "0{1,6}", "%b": "aaa", "%B": "a+"}
+_SHAPE_OF = {f: re.compile(re.sub("%.", lambda m: _SHAPES[m[0]], re.escape(f).replace("\\%", "%"))) for f in _PY_FORMATS}
+_TO_SHAPE = str.maketrans(dict.fromkeys("0123456789", "0") | dict.fromkeys("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "a"))
+
+
+@lru_cache(maxsize=10_000)
+def _formats_of(shape: str) -> list[str]:
+    """The formats that texts of a shape (digits as 0, letters as a) can have, in their order."""
+    return [f for f, p in _SHAPE_OF.items() if p.fullmatch(shape)]
+
+
+@lru_cache(maxsize=200_000)
 def _read_date(token: str, year_now: int) -> datetime | None:
     plain = re.sub(r"(?<=\d)(?:st|nd|rd|th)\b|[,]", "", re.sub(r"(?i)\bsept\b", "Sep", token)).replace("  ", " ").strip()
-    for f in _PY_FORMATS:
+    for f in _formats_of(plain.translate(_TO_SHAPE)):
         try:
             d = datetime.strptime(plain, f)
         except ValueError:
