@@ -59,6 +59,11 @@ def test_prerequisites_retry_exclude_and_identifiers(spark, project):
     assert [tuple(r)[:4] for r in retry_failed(spark, cfg).collect()] == [("gone", "completed", 1, 1)]
     assert {r["table_name"]: r["status"] for r in last_report(spark, cfg).collect()} == {"patients": "completed", "gone": "completed"}
     assert retry_failed(spark, cfg).count() == 0
+    cfg.rules["patients"]["absent"], cfg.prune = "MASK", True
+    assert run_tables(spark, cfg, ["patients"]).first()["status"] == "completed"
+    cfg.prune = False
+    assert "absent" in run_tables(spark, cfg, ["patients"]).first()["error"]
+    del cfg.rules["patients"]["absent"]
     cfg.identifiers = ["patientid"]
     assert run_tables(spark, cfg, ["patients"]).first()["status"] == "completed"
     assert spark.read.parquet(f"{dst}/patients.parquet").first()["dob"] == 1985

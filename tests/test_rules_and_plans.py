@@ -108,6 +108,19 @@ def test_get_or_create_by_several_runs(spark, monkeypatch):
     assert {tuple(r)[:2] for r in b.get_or_create(ids(6)).collect()} == {(10_000_002, 6)} and a.versions.current()[0] == 2
 
 
+def test_own_rules():
+    with pytest.raises(ValueError):
+        ru.register_rule("mask", lambda c, x: c)
+    with pytest.raises(ValueError):
+        ru.register_rule("PATIENT_X", lambda c, x: c)
+
+
+def test_id_windows(spark):
+    got = {r["id"]: (r["gt"], r["lt"]) for r in sources.id_windows(spark.createDataFrame([(5,), (14,), (15,), (None,)], "id bigint"), "id", 10).collect()}
+    assert got == {5: (4, 15), 14: (4, 15), 15: (14, 25), None: (None, None)}
+    assert sources.id_windows(spark.createDataFrame([], "id bigint"), "id", 10).count() == 0
+
+
 def test_sources_only_read():
     for sql in ("delete from t", " /* x */ INSERT into t values (1)", "select 1; drop table t", "with x as (select 1) update t set a = 1", "select * into u from t", "exec p"):
         with pytest.raises(PermissionError):

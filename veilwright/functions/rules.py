@@ -119,6 +119,14 @@ RULES: dict[str, tuple[Callable[[Column, dict], Column], str]] = {
 }
 
 
+def register_rule(name: str, f: Callable[[Column, dict], Column], kind: str = "string") -> None:
+    """Add a rule of one's own: a function of a column and its context, and the type it gives."""
+    n = name.strip().upper()
+    if not n or n in RULES or n == "NOTES" or n.startswith("PATIENT_"):
+        raise ValueError(f"rule {name!r} exists or means a patient id")
+    RULES[n] = (f, kind)
+
+
 def rule_of(name: str) -> str | None:
     """The registered rule a configured name stands for; unknown PATIENT_* names are patient ids, others nothing."""
     n = (name or "").strip().upper()

@@ -29,7 +29,8 @@ class Config:
     Tables in ``exclude`` are left out, in any letter case. ``identifiers`` are the
     project's identifiers, columns of the patient map. ``incremental`` gives tables that
     are taken up by runs their ``key`` and ``times`` columns, and ``state`` is where what
-    runs have taken is kept.
+    runs have taken is kept. With ``prune`` rules of columns that a table lacks are left
+    out instead of failing the table.
     """
 
     source: str
@@ -45,6 +46,7 @@ class Config:
     identifiers: list[str] = field(default_factory=list)
     incremental: dict[str, dict] = field(default_factory=dict)
     state: str = ""
+    prune: bool = False
     qc: dict = field(default_factory=dict)
     notes: dict = field(default_factory=dict)
 
@@ -102,6 +104,18 @@ def chosen(cfg: Config, tables: Sequence[str] | None = None) -> list[str]:
     return [t for t in tables or list(cfg.rules) if t.lower() not in out]
 
 
+def existing_rules(rules: Mapping[str, str], columns: Sequence[str]) -> dict[str, str]:
+    """Rules of the columns that exist, in any letter case."""
+    have = {c.lower() for c in columns}
+    return {c: r for c, r in rules.items() if c.lower() in have}
+
+
+def run_stats(reports: DataFrame) -> DataFrame:
+    """Totals of run reports by status: tables, rows in, out and rejected, errors."""
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return reports.groupBy("status").agg(F.count(F.lit(1)).alias("n_tables"), n("n_in"), n("n_out"), n("n_rejected"), F.count("error").alias("n_errors"))
+
+
 def effective_rules(cfg: Config, map_columns: Sequence[str]) -> dict[str, dict[str, str]]:
     """Rules after the identifier settings: checked, and old names mapped where there is one identifier."""
     if not cfg.identifiers:
@@ -127,6 +141,8 @@ def run_tables(spark: SparkSession, cfg: Config, tables: Sequence[str] | None =
             rules = all_rules.get(t)
             if rules is None:
                 raise UnsafePlan(f"table {t} isn't configured")
+            if cfg.prune:
+                rules = existing_rules(rules, read(t).columns)
             if t in cfg.incremental:
                 report.append((t, *_run_increment(spark, cfg, t, rules, read), None))
             elif not any(rules.values()):

@@ -103,6 +103,15 @@ def keyset_ranges(df: DataFrame, key: str, step: int) -> DataFrame:
     return r.select("hi", starts).select((F.col("s") - 1).alias("gt"), (F.least(F.col("s") + step - 1, F.col("hi")) + 1).alias("lt"))
 
 
+def id_windows(df: DataFrame, key: str, step: int) -> DataFrame:
+    """``df`` with ``gt`` and ``lt``, the window of ``step`` keys from the least one on that holds the row's key, so windows can be read apart without a cursor; null keys have none."""
+    low = df.agg(F.min(key)).first()[0]
+    if low is None:
+        return df.withColumns({"gt": F.lit(None).cast("bigint"), "lt": F.lit(None).cast("bigint")})
+    start = F.lit(low) + F.floor((F.col(key) - low) / step) * step
+    return df.withColumns({"gt": start - 1, "lt": start + step})
+
+
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
     v = F.trim(F.col(col).cast("string"))
     return df.select(v.alias(col)).where(F.col(col) != "").distinct()
