@@ -14,7 +14,7 @@ from ..operators import orphans as orp
 from ..operators.history import OPEN_END, attribute_history
 from ..operators.incremental import records_to_process
 from ..operators.table_diff import diff_tables
-from ..operators.timestamps import normalise_times
+from ..operators.timestamps import ABBREVIATIONS, normalise_times
 from ..session import read_table, scratch_path
 
 
@@ -222,6 +222,48 @@ j as (select refs.*, case when alive is null then 'missing' when not alive then
       from refs left join par using (rc, k) where k is not null)
 """
 
+# Notations for the SQL of p4: pattern and what its groups are.
+_P4_MONTH = "(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+_P4_CLOCK, _P4_ZONE = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,](\d{1,12}))?)?", r" *(z|[+-]\d{2}:?\d{2}|[a-z]{2,5})?"
+_P4_WEEKDAY = "(?:(?:mon|tue|wed|thu|fri|sat|sun)[a-z]*,? )?"
+_P4_NOTATIONS = [
+    (rf"^(\d{{4}})-(\d{{2}})-(\d{{2}})(?:(?:t| ) *{_P4_CLOCK}{_P4_ZONE}(?:\[[a-z_+\-/0-9]+\])?)?$", "y mo d h mi s f z"),
+    (rf"^(\d{{4}})/(\d{{1,2}})/(\d{{1,2}})(?: +{_P4_CLOCK}{_P4_ZONE})?$", "y mo d h mi s f z"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}})(?:t?(\d{{2}})(\d{{2}})(\d{{2}})?(?:[.,](\d{{1,12}}))?{_P4_ZONE})?$", "y mo d h mi s f z"),
+    *[(rf"^(\d{{1,2}}){sep}(\d{{1,2}}){sep}(\d{{{n}}})(?:,? +{_P4_CLOCK} *([ap]\.?m\.?)?{_P4_ZONE})?$", "a b y h mi s f ap z") for sep in ("/", r"\.", "-") for n in (4, 2)],
+    (rf"^{_P4_WEEKDAY}(\d{{1,2}})[ \-]{_P4_MONTH}\.?[ \-,] *(\d{{4}})(?:,? +(?:at +)?{_P4_CLOCK} *([ap]\.?m\.?)?{_P4_ZONE})?$", "d mon y h mi s f ap z"),
+    (rf"^{_P4_WEEKDAY}{_P4_MONTH}\.? +(\d{{1,2}})(?:st|nd|rd|th)?,? +(\d{{4}})(?:,? +(?:at +)?{_P4_CLOCK} *([ap]\.?m\.?)?{_P4_ZONE})?$", "mon d y h mi s f ap z"),
+]
+
+
+def _p4_take(name: str) -> str:
+    """SQL of one part of a time text: the group that holds it in the notation that matched."""
+    rows = [f"when n = {k} then regexp_extract(t, '{p}', {1 + g.split().index(name)})" for k, (p, g) in enumerate(_P4_NOTATIONS) if name in g.split()]
+    return f"coalesce(case {' '.join(rows)} end, '') as {name}"
+
+
+_P4_ABBREVIATIONS = ", ".join(f"('{r}', '{a.lower()}', {v})" for r, m in ABBREVIATIONS.items() for a, v in m.items())
+_P4 = rf"""
+with places as (select facilityid, min(tz_name) tz, min(date_order) ord from facilities where facilityid is not null group by 1),
+src as (select 'pii_data_table' st, nd_auto_increment_id id, registration_date v, facilityid from pii_data_table union all select 'encounter_notes', nd_auto_increment_id, note_date, facilityid from encounter_notes),
+t as (select distinct st, id, lower(trim(regexp_replace(v, '[\s\x{{A0}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{3000}}]+', ' ', 'g'))) t, coalesce(tz, 'UTC') tz, coalesce(upper(trim(ord)) = 'MDY', false) mdy from src left join places using (facilityid) where v is not null),
+n as (select *, case {' '.join(f"when regexp_matches(t, '{p}') then {k}" for k, (p, _) in enumerate(_P4_NOTATIONS))} end n from t),
+g as (select *, {', '.join(_p4_take(x) for x in ('y', 'mo', 'd', 'a', 'b', 'mon', 'h', 'mi', 's', 'f', 'ap', 'z'))} from n),
+w as (select st, id, t, tz, z, n, f,
+  case when length(y) = 2 then '20' || y else y end yy, case when mon <> '' then (1 + (instr('janfebmaraprmayjunjulaugsepoctnovdec', left(mon, 3)) - 1) // 3)::varchar when a <> '' then case when mdy then a else b end else mo end mm, case when a <> '' then case when mdy then b else a end else d end dd,
+  case when h = '' then '0' when ap = '' then h when h::int between 1 and 12 then (h::int % 12 + case when ap[1] = 'p' then 12 else 0 end)::varchar end hh, case when mi = '' then '0' else mi end mm2, case when s = '' then '0' else s end ss from g),
+x as (select *, case when yy <> '0000' then try_strptime(yy || '-' || mm || '-' || dd || ' ' || hh || ':' || mm2 || ':' || ss, '%Y-%m-%d %H:%M:%S') end + to_microseconds(rpad(case when f = '' then '0' else f end, 6, '0')[1:6]::bigint) wall from w),
+c as (select *, timezone(tz, wall) at time zone 'UTC' u from x),
+e as (select *, case when timezone(tz, timezone('UTC', u - interval 30 minute)) = wall then u - interval 30 minute when timezone(tz, timezone('UTC', u - interval 60 minute)) = wall then u - interval 60 minute when timezone(tz, timezone('UTC', u - interval 120 minute)) = wall then u - interval 120 minute else u end first from c),
+ab(part, name, minutes) as (values {_P4_ABBREVIATIONS}),
+i as (select e.*, case when regexp_matches(t, '^(/date\(-?\d{{1,14}}([+-]\d{{4}})?\)/|\d{{13}}|\d{{10}})$') then
+    timestamp '1970-01-01' + to_microseconds(case when t[1] = '/' then regexp_extract(t, '-?\d+')::bigint * 1000 when length(t) = 13 then t::bigint * 1000 else t::bigint * 1000000 end)
+  when z = '' then first when z in ('z', 'utc', 'gmt', 'ut') then wall
+  when regexp_matches(z, '^[+-](0\d|1[0-7]):?[0-5]\d$') then wall - to_minutes((case when z[1] = '-' then -1 else 1 end) * (z[2:3]::int * 60 + right(z, 2)::int))
+  else wall - to_minutes(minutes) end instant from e left join ab on part = split_part(tz, '/', 1) and name = z)
+select distinct st as source_table, id as row_id, strftime(instant, '%Y-%m-%dT%H:%M:%S.%fZ') as utc_ts from i where instant is not null
+"""
+
 _P6 = """
 with m as (
   select nd_patient_id k, patientid p, offset_days o, date_trunc('second', registration_date) r, excluded e
@@ -233,6 +275,7 @@ l as (
 """
 
 ORACLES = {
+    "p4_found": _P4,
     "p7_found": _P7,
     "p1_found": _P1,
     "p2_found": _P2_BODY + """
