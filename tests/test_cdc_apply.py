@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from veilwright.operators.cdc import id_validation, latest_snapshot, log_page, parse_inserts
+from veilwright.operators.cdc import filled_tables, id_validation, latest_snapshot, log_page, parse_inserts
 from veilwright.operators.cdc_apply import COUNTERS, apply_row_events, base_rows, counters, read_statement, row_events, run_day, statement_events
 
 LOG = "id bigint, operation string, payload string, binlog_file string, binlog_pos bigint"
@@ -118,3 +118,9 @@ def test_pages_snapshots_and_ids(spark):
     a, b = (spark.createDataFrame(x, "k bigint, v string") for x in ([(1, "a"), (1, "b"), (2, "c"), (None, "x"), (4, None)], [(1, "b"), (1, "a"), (3, "c"), (2, "d"), (4, None)]))
     summary, detail = id_validation(a, b, "k", "v")
     assert {tuple(r) for r in summary.collect()} == {("mismatch", 1), ("missing_here", 1)} and {r["key"] for r in detail.collect()} == {"2", "3"}
+
+
+def test_filled_tables(spark, tmp_path):
+    spark.range(2).write.parquet(f"{tmp_path}/a.parquet")
+    spark.range(0).write.parquet(f"{tmp_path}/b.parquet")
+    assert [r[0] for r in filled_tables(spark, str(tmp_path)).collect()] == ["a"] and filled_tables(spark, f"{tmp_path}/gone").count() == 0

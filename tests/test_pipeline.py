@@ -160,6 +160,9 @@ def test_gate_delta_audit_and_logs(spark, project, tmp_path, capsys, monkeypatch
     (tmp_path / "logs" / "bin.2").write_text("# at 7\n### INSERT INTO `a`.`c`\n### SET\n###   @1=1\n# at 9\n### DELETE FROM `a`.`D`\n### WHERE\n###   @1=1\n")
     assert cli.main(["cdc", "--logs", f"{tmp_path}/logs", "--out", f"{tmp_path}/log", "--exclude", "d"], spark) == 0
     assert '{"files": 1, "events": 1}' in capsys.readouterr().out
+    (tmp_path / "logs" / "bin.3").write_text("# at 7\n")
+    assert cli.main(["cdc", "--logs", f"{tmp_path}/logs", "--out", f"{tmp_path}/log", "--before", "2001-01-01T00:00:00"], spark) == 0
+    assert '{"files": 0, "events": 0}' in capsys.readouterr().out
     assert {r["table_name"] for r in spark.read.parquet(f"{tmp_path}/log").collect()} == {"b", "c"}
     notes.write.parquet(f"{tmp_path}/notes")
     master.write.parquet(f"{tmp_path}/master")

@@ -41,7 +41,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     x.add_argument("--out", required=True)
     x.add_argument("--schemas", nargs="*")
     x.add_argument("--tables", nargs="*")
-    x.add_argument("--exclude", nargs="*")
+    x.add_argument("--exclude", nargs="*", default=())
+    x.add_argument("--after", help="only logs changed after this time, YYYY-MM-DDTHH:MM:SS")
+    x.add_argument("--before", help="only logs changed before this time")
     y = sub.add_parser("decrypt-notes", help="decrypt the notes of a table")
     y.add_argument("--table", required=True)
     y.add_argument("--out", required=True)
@@ -65,7 +67,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(json.dumps(n.asDict()))
         return int(n["failed"] > 0)
     if a.command == "cdc":
-        n = cdc.take_logs(whole_texts(spark, a.logs), a.out, a.schemas, a.tables, a.exclude)
+        n = cdc.take_logs(whole_texts(spark, a.logs, a.after, a.before), a.out, a.schemas, a.tables, a.exclude)
         print(json.dumps(n))
         return 0
     if a.command == "decrypt-notes":

@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,6 +122,15 @@ def positions(log: DataFrame) -> DataFrame:
     return log.where("binlog_file is not null and binlog_pos is not null").groupBy(F.lower(F.trim("table_name")).alias("table_name")).agg(top.alias("t"), F.count("*").alias("n_events")).select("table_name", "t.binlog_file", "t.binlog_pos", "n_events")
 
 
+def filled_tables(spark: SparkSession, path: str) -> DataFrame:
+    """``(table_name)`` of the Parquet tables in a folder that have rows."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(hpath)) if fs.exists(hpath) else []
+    found = [n[:-8] for n in names if n.endswith(".parquet") and not spark.read.parquet(f"{path}/{n}").isEmpty()]
+    return spark.createDataFrame([(n,) for n in found], "table_name string")
+
+
 def carry_forward(today: DataFrame, before: DataFrame, key: str = "table_name") -> DataFrame:
     """Today's snapshot and the earlier rows of tables it lacks."""
     return today.unionByName(before.join(today.select(key).distinct(), key, "left_anti").select(*today.columns))

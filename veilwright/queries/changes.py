@@ -337,3 +337,13 @@ def c31_l08_log_page(s, d):
     first = cdc.log_page(_log(s, d), 500)
     last = first.select(sequence(F.col("binlog_file"), F.col("binlog_pos"), F.col("id")).alias("q")).agg(F.max("q").alias("q")).first()["q"]
     return cdc.log_page(_log(s, d), 1000, tuple(last)).select("id")
+
+
+_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "patient_mapping_table", "patient_mapping_local", "encounter_mapping_table", "enc_staging", "encounter_map_snapshots",
+           "pii_data_table", "encounter_notes", "change_log", "appointment_dump", "dump_metadata", "delta_runs", "facilities", "eval_items", "subject_areas", "subject_labels"]
+
+
+@query(" union all ".join(f"select '{t}' as table_name where exists (select 1 from {t})" for t in _TABLES))
+def c22_filled_tables(s, d):
+    """Tables of a folder that have rows and so take part in a merge."""
+    return cdc.filled_tables(s, d)
